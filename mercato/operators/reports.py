@@ -11,16 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.common import flag
+from ..functions.common import flag, fround
 from ..functions.dates import days_between, month_key
 from .master import order_grain
-from .stats import exact_quantiles
+from .stats import column_quantiles, exact_quantiles
 
 
 def _pct(df: DataFrame, count_col: str = "count", digits: int = 2, out: str = "pct") -> DataFrame:
     """Percent of the total of ``count_col`` over an already-reduced table."""
     total = F.sum(count_col).over(Window.partitionBy(F.lit(0)))
-    return df.withColumn(out, F.round(F.col(count_col) * 100.0 / total, digits))
+    return df.withColumn(out, fround(F.col(count_col) * 100.0 / total, digits))
 
 
 def _money_sum(c: str):
@@ -36,10 +36,10 @@ def kpis(master: DataFrame) -> DataFrame:
                F.countDistinct("customer_id").alias("total_customers"))
     s = master.agg(F.countDistinct("seller_id").alias("total_sellers"))
     return (o.crossJoin(s)   # 1 row x 1 row
-             .select("total_orders", F.round("total_revenue", 2).alias("total_revenue"),
+             .select("total_orders", fround("total_revenue", 2).alias("total_revenue"),
                      "total_customers", "total_sellers",
-                     F.round(F.coalesce(F.try_divide(F.col("total_revenue"), F.col("total_orders")),
-                                        F.lit(0.0)), 2).alias("avg_ticket")))
+                     fround(F.coalesce(F.try_divide(F.col("total_revenue"), F.col("total_orders")),
+                                       F.lit(0.0)), 2).alias("avg_ticket")))
 
 
 def sales_by_month(master: DataFrame) -> DataFrame:
@@ -47,7 +47,7 @@ def sales_by_month(master: DataFrame) -> DataFrame:
     og = order_grain(master).withColumn("year_month", month_key("order_purchase_timestamp"))
     return (og.filter(F.col("year_month").isNotNull()).groupBy("year_month")
               .agg(F.countDistinct("order_id").alias("num_orders"),
-                   F.round(_money_sum("payment_value_total"), 2).alias("revenue")))
+                   fround(_money_sum("payment_value_total"), 2).alias("revenue")))
 
 
 def orders_by_month(master: DataFrame) -> DataFrame:
@@ -126,35 +126,31 @@ def payment_mix(master: DataFrame) -> DataFrame:
 MONEY_COLS = ["price", "freight_value", "payment_value_total"]
 
 
+def _column_stats(df: DataFrame, cols: list[str], qs: list[float], qnames: list[str]) -> DataFrame:
+    """Per column: count, mean, sample std, min, max (one aggregation pass) and exact
+    quantiles (one distributed sort for all columns)."""
+    agg = df.agg(*[e for c in cols for e in (
+        F.count(c).alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"),
+        F.stddev_samp(c).alias(f"{c}__std"), F.min(c).cast("double").alias(f"{c}__min"),
+        F.max(c).cast("double").alias(f"{c}__max"))])
+    stack = ", ".join(f"'{c}', `{c}__count`, `{c}__mean`, `{c}__std`, `{c}__min`, `{c}__max`"
+                      for c in cols)
+    base = agg.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, count, mean, std, min, max)")
+    q = column_quantiles(df, cols, qs)
+    q = q.select("column_name", *[F.col(f"q_{i}").alias(n) for i, n in enumerate(qnames)])
+    return base.join(q, "column_name", "left")
+
+
 def price_stats(master: DataFrame, cols: list[str] = MONEY_COLS) -> DataFrame:
     """Mean, median, min, max, sample std of each money column (nulls dropped)."""
-    parts = []
-    for c in cols:
-        base = master.agg(F.avg(c).alias("mean"), F.min(c).cast("double").alias("min"),
-                          F.max(c).cast("double").alias("max"), F.stddev_samp(c).alias("std"))
-        med = exact_quantiles(master, c, [0.5]).withColumnRenamed("q_0", "median")
-        parts.append(base.crossJoin(med).select(F.lit(c).alias("metric"), "mean", "median",
-                                                "min", "max", "std"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    st = _column_stats(master, cols, [0.5], ["median"])
+    return st.select(F.col("column_name").alias("metric"), "mean", "median", "min", "max", "std")
 
 
 def describe_columns(df: DataFrame, cols: list[str]) -> DataFrame:
     """Count, mean, std, min, quartiles, max per column (long format)."""
-    parts = []
-    for c in cols:
-        base = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"),
-                      F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-                      F.max(c).cast("double").alias("max"))
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75]).toDF("p25", "p50", "p75")
-        parts.append(base.crossJoin(q).select(F.lit(c).alias("column_name"), "count", "mean", "std",
-                                              "min", "p25", "p50", "p75", "max"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    st = _column_stats(df, cols, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+    return st.select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def null_profile(df: DataFrame, k: int = 10) -> DataFrame:
@@ -162,7 +158,7 @@ def null_profile(df: DataFrame, k: int = 10) -> DataFrame:
     row = df.agg(F.count(F.lit(1)).alias("_n"),
                  *[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in df.columns])
     long = row.unpivot(["_n"], df.columns, "column_name", "nulls")
-    pct = long.select("column_name", F.round(F.col("nulls") * 100.0 / F.col("_n"), 4).alias("null_pct"))
+    pct = long.select("column_name", fround(F.col("nulls") * 100.0 / F.col("_n"), 4).alias("null_pct"))
     return top_k(pct.filter(F.col("null_pct") > 0), "null_pct", "column_name", k)
 
 
@@ -192,8 +188,8 @@ def delay_summary(master: DataFrame) -> DataFrame:
     return base.crossJoin(med).select(
         "n_delivered", F.coalesce(F.col("n_delayed"), F.lit(0)).alias("n_delayed"),
         (F.col("n_delivered") - F.coalesce(F.col("n_delayed"), F.lit(0))).alias("n_on_time"),
-        F.round(F.coalesce(F.try_divide(F.col("n_delayed") * 100.0, F.col("n_delivered")),
-                           F.lit(0.0)), 2).alias("pct_delayed"),
+        fround(F.coalesce(F.try_divide(F.col("n_delayed") * 100.0, F.col("n_delivered")),
+                          F.lit(0.0)), 2).alias("pct_delayed"),
         "mean_delay_days", "median_delay_days", "max_delay_days", "min_delay_days")
 
 
@@ -206,7 +202,7 @@ def distance_coverage(master: DataFrame) -> DataFrame:
     """Rows with a computed distance and their share."""
     return master.agg(F.count("distance_customer_seller_km").alias("n_with_distance"),
                       F.count(F.lit(1)).alias("n_rows")) \
-        .withColumn("pct", F.round(F.col("n_with_distance") * 100.0 / F.col("n_rows"), 2))
+        .withColumn("pct", fround(F.col("n_with_distance") * 100.0 / F.col("n_rows"), 2))
 
 
 def target_balance(df: DataFrame, label: str, by: list[str] | None = None) -> DataFrame:
@@ -214,7 +210,7 @@ def target_balance(df: DataFrame, label: str, by: list[str] | None = None) -> Da
     keys = list(by or [])
     c = df.groupBy(*keys, label).agg(F.count(F.lit(1)).alias("count"))
     total = F.sum("count").over(Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0)))
-    return c.withColumn("pct", F.round(F.col("count") * 100.0 / total, 2))
+    return c.withColumn("pct", fround(F.col("count") * 100.0 / total, 2))
 
 
 def best_sellers(master: DataFrame, k: int = 20) -> DataFrame:

@@ -1,10 +1,11 @@
 """Exact distributed quantiles (linear interpolation, as pandas/numpy).
 
-``percentile`` keeps every value of a group in one aggregation buffer, and a
-global percentile therefore puts the whole column into one task.  Here the
-values are ranked with the skew-safe ``exact_sequence`` (a range-partitioned
-sort) and only the two rows around each requested rank are kept: the result is
-exact and no task ever holds more than its range partition.
+``percentile`` keeps every value of a group in one aggregation buffer, so a
+global percentile puts a whole column into one task.  Here values are ranked
+with the skew-safe ``exact_sequence`` (a range-partitioned sort) and only the
+rows at the needed ranks are kept; the result is exact and no task holds more
+than its range partition.  Several columns are handled in ONE sort by
+unpivoting them into ``(column_name, value)`` and ranking per column.
 """
 
 from __future__ import annotations
@@ -15,30 +16,46 @@ from pyspark.sql import functions as F
 from .sequence import exact_sequence
 
 
-def exact_quantiles(df: DataFrame, column: str, qs: list[float]) -> DataFrame:
-    """One row with ``q_<i>`` columns: linear-interpolated quantiles of non-null values."""
-    vals = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    n = vals.agg(F.count(F.lit(1)).alias("n"))                      # one row
-    ranked = exact_sequence(vals, ["v"], out="pos")                 # 1-based positions
-    # rank targets: h = (n-1)q ; lo = floor(h)+1 ; hi = ceil(h)+1 (1-based)
-    targets = n.select(F.col("n"), *[
-        (F.lit(q) * (F.col("n") - 1)).alias(f"h{i}") for i, q in enumerate(qs)])
-    picks = []
+def quantiles_by(long: DataFrame, keys: list[str], value: str, qs: list[float]) -> DataFrame:
+    """Per ``keys`` group: columns ``q_0..`` = linear-interpolated quantiles of the
+    non-null ``value``s (NULL for an empty group)."""
+    vals = long.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    counts = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = exact_sequence(vals, ["_v"], keys, out="_pos")
+    # the 1-based ranks around h = (n-1)q: floor(h)+1 and ceil(h)+1
+    targets = counts.select(*keys, *[(F.lit(q) * (F.col("_n") - 1)).alias(f"_h{i}")
+                                     for i, q in enumerate(qs)])
+    j = ranked.join(targets, keys, "inner") if keys else ranked.crossJoin(F.broadcast(targets))
+    want = None
     for i, _ in enumerate(qs):
-        h = F.col(f"h{i}")
-        picks.append(F.max(F.when(F.col("pos") == F.floor(h) + 1, F.col("v"))).alias(f"lo{i}"))
-        picks.append(F.max(F.when(F.col("pos") == F.ceil(h) + 1, F.col("v"))).alias(f"hi{i}"))
-    wanted = None
+        h = F.col(f"_h{i}")
+        c = (F.col("_pos") == F.floor(h) + 1) | (F.col("_pos") == F.ceil(h) + 1)
+        want = c if want is None else (want | c)
+    picks = []
     for i, _ in enumerate(qs):
-        h = F.col(f"h{i}")
-        c = (F.col("pos") == F.floor(h) + 1) | (F.col("pos") == F.ceil(h) + 1)
-        wanted = c if wanted is None else (wanted | c)
-    near = ranked.crossJoin(F.broadcast(targets)).filter(wanted)    # targets: one row
-    agg = near.groupBy(*[f"h{i}" for i in range(len(qs))]).agg(*picks)
-    out = targets.join(agg, [f"h{i}" for i in range(len(qs))], "left")
-    cols = []
+        h = F.col(f"_h{i}")
+        picks.append(F.max(F.when(F.col("_pos") == F.floor(h) + 1, F.col("_v"))).alias(f"_lo{i}"))
+        picks.append(F.max(F.when(F.col("_pos") == F.ceil(h) + 1, F.col("_v"))).alias(f"_hi{i}"))
+        picks.append(F.first(h).alias(f"_h{i}"))
+    near = j.filter(want)
+    agg = near.groupBy(*keys).agg(*picks) if keys else near.agg(*picks)
+    out = []
     for i, _ in enumerate(qs):
-        h = F.col(f"h{i}")
-        frac = h - F.floor(h)
-        cols.append((F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * frac).alias(f"q_{i}"))
-    return out.select(*cols)
+        h = F.col(f"_h{i}")
+        out.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (h - F.floor(h)))
+                   .alias(f"q_{i}"))
+    return agg.select(*keys, *out)
+
+
+def exact_quantiles(df: DataFrame, column: str, qs: list[float]) -> DataFrame:
+    """One row with ``q_<i>`` columns for a single column."""
+    return quantiles_by(df.select(F.col(column).alias("_x")), [], "_x", qs)
+
+
+def column_quantiles(df: DataFrame, cols: list[str], qs: list[float]) -> DataFrame:
+    """Rows ``(column_name, q_0, ...)`` for several numeric columns, one sort in total."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
+        .unpivot([], cols, "column_name", "_val") if cols else None
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    res = quantiles_by(long, ["column_name"], "_val", qs)
+    return names.join(res, "column_name", "left")

@@ -220,11 +220,12 @@ FROM delivered""", _DELIVERED),
     lambda s, d: rp.delay_summary(master_of(s, d)))
 
 register("best_sellers", with_master("""
-WITH top AS (SELECT product_id, count(*) AS sales_count FROM master WHERE product_id IS NOT NULL
-             GROUP BY 1 ORDER BY sales_count DESC, product_id LIMIT 20)
 SELECT t.product_id, t.sales_count, c.product_category_name_english
 FROM top t LEFT JOIN (SELECT DISTINCT product_id, product_category_name_english FROM master) c
-  ON t.product_id = c.product_id"""))(lambda s, d: rp.best_sellers(master_of(s, d), 20))
+  ON t.product_id = c.product_id""", """
+top AS (SELECT product_id, count(*) AS sales_count FROM master WHERE product_id IS NOT NULL
+        GROUP BY 1 ORDER BY sales_count DESC, product_id LIMIT 20)"""))(
+    lambda s, d: rp.best_sellers(master_of(s, d), 20))
 
 # ---------------------------------------------------------------- feature tables
 

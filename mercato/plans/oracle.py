@@ -178,5 +178,5 @@ def rounded(select_sql: str, double_cols: list[str], digits: int = 6) -> str:
     """Round the given double output columns of a query (mirrors ``round_doubles``)."""
     if not double_cols:
         return select_sql
-    repl = ", ".join(f"round({c}, {digits}) AS {c}" for c in double_cols)
+    repl = ", ".join(f"round(round({c}, {digits + 3}), {digits}) AS {c}" for c in double_cols)
     return f"SELECT * REPLACE ({repl}) FROM ({select_sql}) _q"
