@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.common import flag, fround
+from ..functions.common import flag, round_clean
 from ..functions.dates import days_between, month_key
 from .master import order_grain
 from .stats import column_quantiles, exact_quantiles
@@ -20,7 +20,7 @@ from .stats import column_quantiles, exact_quantiles
 def _pct(df: DataFrame, count_col: str = "count", digits: int = 2, out: str = "pct") -> DataFrame:
     """Percent of the total of ``count_col`` over an already-reduced table."""
     total = F.sum(count_col).over(Window.partitionBy(F.lit(0)))
-    return df.withColumn(out, fround(F.col(count_col) * 100.0 / total, digits))
+    return df.withColumn(out, round_clean(F.col(count_col) * 100.0 / total, digits))
 
 
 def _money_sum(c: str):
@@ -36,9 +36,9 @@ def kpis(master: DataFrame) -> DataFrame:
                F.countDistinct("customer_id").alias("total_customers"))
     s = master.agg(F.countDistinct("seller_id").alias("total_sellers"))
     return (o.crossJoin(s)   # 1 row x 1 row
-             .select("total_orders", fround("total_revenue", 2).alias("total_revenue"),
+             .select("total_orders", round_clean("total_revenue", 2).alias("total_revenue"),
                      "total_customers", "total_sellers",
-                     fround(F.coalesce(F.try_divide(F.col("total_revenue"), F.col("total_orders")),
+                     round_clean(F.coalesce(F.try_divide(F.col("total_revenue"), F.col("total_orders")),
                                        F.lit(0.0)), 2).alias("avg_ticket")))
 
 
@@ -47,7 +47,7 @@ def sales_by_month(master: DataFrame) -> DataFrame:
     og = order_grain(master).withColumn("year_month", month_key("order_purchase_timestamp"))
     return (og.filter(F.col("year_month").isNotNull()).groupBy("year_month")
               .agg(F.countDistinct("order_id").alias("num_orders"),
-                   fround(_money_sum("payment_value_total"), 2).alias("revenue")))
+                   round_clean(_money_sum("payment_value_total"), 2).alias("revenue")))
 
 
 def orders_by_month(master: DataFrame) -> DataFrame:
@@ -158,7 +158,7 @@ def null_profile(df: DataFrame, k: int = 10) -> DataFrame:
     row = df.agg(F.count(F.lit(1)).alias("_n"),
                  *[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in df.columns])
     long = row.unpivot(["_n"], df.columns, "column_name", "nulls")
-    pct = long.select("column_name", fround(F.col("nulls") * 100.0 / F.col("_n"), 4).alias("null_pct"))
+    pct = long.select("column_name", round_clean(F.col("nulls") * 100.0 / F.col("_n"), 4).alias("null_pct"))
     return top_k(pct.filter(F.col("null_pct") > 0), "null_pct", "column_name", k)
 
 
@@ -188,7 +188,7 @@ def delay_summary(master: DataFrame) -> DataFrame:
     return base.crossJoin(med).select(
         "n_delivered", F.coalesce(F.col("n_delayed"), F.lit(0)).alias("n_delayed"),
         (F.col("n_delivered") - F.coalesce(F.col("n_delayed"), F.lit(0))).alias("n_on_time"),
-        fround(F.coalesce(F.try_divide(F.col("n_delayed") * 100.0, F.col("n_delivered")),
+        round_clean(F.coalesce(F.try_divide(F.col("n_delayed") * 100.0, F.col("n_delivered")),
                           F.lit(0.0)), 2).alias("pct_delayed"),
         "mean_delay_days", "median_delay_days", "max_delay_days", "min_delay_days")
 
@@ -202,7 +202,7 @@ def distance_coverage(master: DataFrame) -> DataFrame:
     """Rows with a computed distance and their share."""
     return master.agg(F.count("distance_customer_seller_km").alias("n_with_distance"),
                       F.count(F.lit(1)).alias("n_rows")) \
-        .withColumn("pct", fround(F.col("n_with_distance") * 100.0 / F.col("n_rows"), 2))
+        .withColumn("pct", round_clean(F.col("n_with_distance") * 100.0 / F.col("n_rows"), 2))
 
 
 def target_balance(df: DataFrame, label: str, by: list[str] | None = None) -> DataFrame:
@@ -210,7 +210,7 @@ def target_balance(df: DataFrame, label: str, by: list[str] | None = None) -> Da
     keys = list(by or [])
     c = df.groupBy(*keys, label).agg(F.count(F.lit(1)).alias("count"))
     total = F.sum("count").over(Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0)))
-    return c.withColumn("pct", fround(F.col("count") * 100.0 / total, 2))
+    return c.withColumn("pct", round_clean(F.col("count") * 100.0 / total, 2))
 
 
 def best_sellers(master: DataFrame, k: int = 20) -> DataFrame:

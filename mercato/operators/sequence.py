@@ -33,21 +33,21 @@ def exact_sequence(df: DataFrame, order_by: list[str], partition_by: list[str] |
     keys = list(partition_by)
     ensure_checkpoint_dir(df.sparkSession)
     ranked = (df.orderBy(*[F.col(c).asc_nulls_first() for c in keys + list(order_by)])
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .withColumn("_pid", F.spark_partition_id())
+                .withColumn("__seq_mid", F.monotonically_increasing_id())
+                .withColumn("__seq_pid", F.spark_partition_id())
                 .checkpoint(eager=True))
 
-    stats = ranked.groupBy("_pid", *keys).agg(F.min("_mid").alias("_first"),
-                                              F.count(F.lit(1)).alias("_n"))
-    w = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_pid")
-    stats = stats.withColumn("_before", F.sum("_n").over(w) - F.col("_n")).drop("_n")
+    stats = ranked.groupBy("__seq_pid", *keys).agg(F.min("__seq_mid").alias("__seq_first"),
+                                              F.count(F.lit(1)).alias("__seq_n"))
+    w = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("__seq_pid")
+    stats = stats.withColumn("__seq_before", F.sum("__seq_n").over(w) - F.col("__seq_n")).drop("__seq_n")
 
     if keys:
-        s = stats.select([F.col(c).alias(f"_s_{c}") for c in ["_pid", *keys]] + ["_first", "_before"])
-        cond = [ranked["_pid"] == s["_s__pid"]] + [ranked[c].eqNullSafe(s[f"_s_{c}"]) for c in keys]
+        s = stats.select([F.col(c).alias(f"__seq_s_{c}") for c in ["__seq_pid", *keys]] + ["__seq_first", "__seq_before"])
+        cond = [ranked["__seq_pid"] == s["__seq_s___seq_pid"]] + [ranked[c].eqNullSafe(s[f"__seq_s_{c}"]) for c in keys]
         joined = ranked.join(s, cond, "inner").drop(*s.columns[: 1 + len(keys)])
     else:
         # one summary row per range partition: size bounded by the partition count
-        joined = ranked.join(F.broadcast(stats), "_pid", "inner")
-    return (joined.withColumn(out, F.col("_mid") - F.col("_first") + F.col("_before") + 1)
-                  .drop("_mid", "_pid", "_first", "_before"))
+        joined = ranked.join(F.broadcast(stats), "__seq_pid", "inner")
+    return (joined.withColumn(out, F.col("__seq_mid") - F.col("__seq_first") + F.col("__seq_before") + 1)
+                  .drop("__seq_mid", "__seq_pid", "__seq_first", "__seq_before"))

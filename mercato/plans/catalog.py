@@ -57,9 +57,14 @@ def days(a: str, b: str) -> str:
     return f"(CAST(epoch_us({b}) - epoch_us({a}) AS DOUBLE) / 86400000000.0)"
 
 
+def rnd(expr: str, d: int) -> str:
+    """SQL twin of ``round_clean``."""
+    return f"round(round({expr}, {d + 3}), {d})"
+
+
 def pct(count: str, partition: str = "") -> str:
     over = f"OVER (PARTITION BY {partition})" if partition else "OVER ()"
-    return f"round(CAST({count} AS DOUBLE) * 100.0 / CAST(sum({count}) {over} AS DOUBLE), 2)"
+    return rnd(f"CAST({count} AS DOUBLE) * 100.0 / CAST(sum({count}) {over} AS DOUBLE)", 2)
 
 
 MASTER_DOUBLES = ("customer_lat", "customer_lng", "seller_lat", "seller_lng", "price",
@@ -94,14 +99,14 @@ register("order_grain", with_master("SELECT * EXCLUDE (_rn) FROM master_orders")
 
 register("distance_coverage", with_master(
     "SELECT count(distance_customer_seller_km) AS n_with_distance, count(*) AS n_rows, "
-    "round(CAST(count(distance_customer_seller_km) AS DOUBLE) * 100.0 / count(*), 2) AS pct FROM master"),
+    f"{rnd('CAST(count(distance_customer_seller_km) AS DOUBLE) * 100.0 / count(*)', 2)} AS pct FROM master"),
     ("pct",))(lambda s, d: rp.distance_coverage(master_of(s, d)))
 
 # ---------------------------------------------------------------- reports
 
-register("kpis", with_master("""
-SELECT total_orders, round(total_revenue, 2) AS total_revenue, total_customers, total_sellers,
-       round(coalesce(total_revenue / nullif(total_orders, 0), 0.0), 2) AS avg_ticket
+register("kpis", with_master(f"""
+SELECT total_orders, {rnd('total_revenue', 2)} AS total_revenue, total_customers, total_sellers,
+       {rnd('coalesce(total_revenue / nullif(total_orders, 0), 0.0)', 2)} AS avg_ticket
 FROM (SELECT count(DISTINCT order_id) AS total_orders,
              CAST(coalesce(sum(CAST(payment_value_total AS DECIMAL(38,2))), 0) AS DOUBLE) AS total_revenue,
              count(DISTINCT customer_id) AS total_customers FROM master_orders) o,
@@ -110,7 +115,7 @@ FROM (SELECT count(DISTINCT order_id) AS total_orders,
 
 register("sales_by_month", with_master("""
 SELECT strftime(order_purchase_timestamp, '%Y-%m') AS year_month, count(DISTINCT order_id) AS num_orders,
-       round(CAST(coalesce(sum(CAST(payment_value_total AS DECIMAL(38,2))), 0) AS DOUBLE), 2) AS revenue
+       round(round(CAST(coalesce(sum(CAST(payment_value_total AS DECIMAL(38,2))), 0) AS DOUBLE), 5), 2) AS revenue
 FROM master_orders WHERE order_purchase_timestamp IS NOT NULL GROUP BY 1"""), ("revenue",))(
     lambda s, d: rp.sales_by_month(master_of(s, d)))
 
@@ -191,7 +196,7 @@ SELECT '{c}' AS column_name, count({c}) AS count, avg({c}) AS mean, stddev_samp(
 _NULL_COLS = ms.MASTER_COLS
 register("null_profile", with_master(f"""
 SELECT column_name, null_pct FROM (
-  SELECT column_name, round(CAST(nulls AS DOUBLE) * 100.0 / t.n, 4) AS null_pct
+  SELECT column_name, round(round(CAST(nulls AS DOUBLE) * 100.0 / t.n, 7), 4) AS null_pct
   FROM (UNPIVOT (SELECT {", ".join(f"count(*) - count({c}) AS {c}" for c in _NULL_COLS)} FROM master)
         ON COLUMNS(*) INTO NAME column_name VALUE nulls) u
   CROSS JOIN (SELECT count(*) AS n FROM master) t) x
@@ -212,7 +217,7 @@ register("delivered_with_delay", with_master(
 register("delay_summary", with_master("""
 SELECT count(*) AS n_delivered, CAST(coalesce(sum(CASE WHEN delivery_delay_days > 0 THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_delayed,
        count(*) - CAST(coalesce(sum(CASE WHEN delivery_delay_days > 0 THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_on_time,
-       round(coalesce(CAST(sum(CASE WHEN delivery_delay_days > 0 THEN 1 ELSE 0 END) AS DOUBLE) * 100.0 / nullif(count(*), 0), 0.0), 2) AS pct_delayed,
+       round(round(coalesce(CAST(sum(CASE WHEN delivery_delay_days > 0 THEN 1 ELSE 0 END) AS DOUBLE) * 100.0 / nullif(count(*), 0), 0.0), 5), 2) AS pct_delayed,
        avg(delivery_delay_days) AS mean_delay_days, quantile_cont(delivery_delay_days, 0.5) AS median_delay_days,
        max(delivery_delay_days) AS max_delay_days, min(delivery_delay_days) AS min_delay_days
 FROM delivered""", _DELIVERED),
@@ -402,3 +407,399 @@ register("seller_delay_rate", with_master("SELECT * FROM s_delay", _SELLER), ("d
 
 register("seller_features", with_master("SELECT * FROM seller", _SELLER), SELLER_DOUBLES)(
     lambda s, d: fe.seller_features(master_of(s, d)))
+
+# ---------------------------------------------------------------- preparation
+from ..functions.text import ACCENTED, KEPT_LETTERS, PLAIN, review_text  # noqa: E402
+from ..operators import evaluate as ev  # noqa: E402
+from ..operators import prep as pp  # noqa: E402
+from ..operators import scoring as sc  # noqa: E402
+from ..operators import split as sp  # noqa: E402
+from ..operators import text as tx  # noqa: E402
+from ..sources.binding import bind_review_corpus  # noqa: E402
+
+DELAY_FEATURES = ["purchase_year", "purchase_month", "purchase_day", "purchase_weekday", "purchase_hour",
+                  "purchase_quarter", "promised_delivery_days", "num_items", "price", "freight_value",
+                  "payment_value_total", "payment_installments_max", "product_weight_g",
+                  "product_volume_cm3", "product_photos_qty", "distance_customer_seller_km", "same_state",
+                  "customer_state", "seller_state", "product_category_name_english", "payment_type_main"]
+DELAY_CATEGORICAL = ["customer_state", "seller_state", "product_category_name_english", "payment_type_main"]
+DELAY_NUMERIC = [c for c in DELAY_FEATURES if c not in DELAY_CATEGORICAL]
+
+
+def _encoded_delay(s, d):
+    df = fe.delay_features(master_of(s, d)).select("order_id", *DELAY_FEATURES)
+    out, _, _ = pp.prepare_features(df, DELAY_FEATURES)
+    return out
+
+
+def _label_map_sql(src: str, col: str) -> str:
+    return f"""
+lm_{col} AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS code
+  FROM (SELECT DISTINCT coalesce({col}, 'unknown') AS value FROM {src}) v)"""
+
+
+_ENCODED_DELAY = _DELAY_ROWS + "," + ",".join(_label_map_sql("delay", c) for c in DELAY_CATEGORICAL) + """,
+d_med AS (SELECT """ + ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in DELAY_NUMERIC) + """ FROM delay),
+encoded AS (
+  SELECT d.order_id, """ + ", ".join(f"coalesce(CAST(d.{c} AS DOUBLE), m.m_{c}) AS {c}" for c in DELAY_NUMERIC) + \
+    ", " + ", ".join(f"coalesce(lm_{c}.code, -1) AS {c}" for c in DELAY_CATEGORICAL) + """
+  FROM delay d CROSS JOIN d_med m """ + " ".join(
+        f"LEFT JOIN lm_{c} ON coalesce(d.{c}, 'unknown') = lm_{c}.value" for c in DELAY_CATEGORICAL) + ")"
+
+register("encoded_delay_features", with_master("SELECT * FROM encoded", _ENCODED_DELAY), tuple(DELAY_NUMERIC))(
+    _encoded_delay)
+
+register("label_map_customer_state", with_master("SELECT * FROM lm_customer_state",
+                                                 _CUSTOMER + "," + _label_map_sql("customer", "customer_state")))(
+    lambda s, d: pp.fit_label_map(pp.fill_unknown(fe.customer_features(master_of(s, d)), ["customer_state"]),
+                                  "customer_state"))
+
+register("pos_weight_delay", with_master("""
+SELECT coalesce(CAST(sum(CASE WHEN is_delayed = 0 THEN 1 ELSE 0 END) AS DOUBLE)
+                / nullif(CAST(sum(CASE WHEN is_delayed = 1 THEN 1 ELSE 0 END) AS DOUBLE), 0), 1.0) AS pos_weight
+FROM delay""", _DELAY_ROWS), ("pos_weight",))(
+    lambda s, d: pp.pos_weight(fe.delay_features(master_of(s, d)), "is_delayed"))
+
+register("balanced_weights_sentiment", with_master("""
+SELECT sentiment, CAST(sum(count(*)) OVER () AS DOUBLE) / (count(*) OVER () * count(*)) AS class_weight
+FROM sentiment GROUP BY sentiment""", _SENTIMENT), ("class_weight",))(
+    lambda s, d: pp.balanced_weights(fe.sentiment_dataset(bound(s, d)["reviews"]), "sentiment"))
+
+SELLER_CLUSTER_FEATURES = ["num_orders", "total_revenue", "avg_order_value", "avg_freight",
+                           "num_unique_products", "avg_review_score", "num_states_served", "num_customers",
+                           "delay_rate"]
+
+
+def _standardized_sellers(s, d):
+    sf = fe.seller_features(master_of(s, d)).select("seller_id", *SELLER_CLUSTER_FEATURES)
+    sf = pp.impute_median(sf, SELLER_CLUSTER_FEATURES)
+    return pp.standardize(sf, SELLER_CLUSTER_FEATURES)
+
+
+register("standardized_sellers", with_master(
+    "SELECT seller_id, " + ", ".join(
+        f"(x.{c} - avg(x.{c}) OVER ()) / coalesce(nullif(stddev_pop(x.{c}) OVER (), 0), 1.0) AS {c}"
+        for c in SELLER_CLUSTER_FEATURES) + " FROM (SELECT seller_id, " + ", ".join(
+        f"coalesce(CAST({c} AS DOUBLE), (SELECT quantile_cont({c}, 0.5) FROM seller)) AS {c}"
+        for c in SELLER_CLUSTER_FEATURES) + " FROM seller) x", _SELLER), tuple(SELLER_CLUSTER_FEATURES))(
+    _standardized_sellers)
+
+register("index_ids", with_master("""
+SELECT CAST(dense_rank() OVER (ORDER BY i.customer_unique_id) - 1 AS BIGINT) AS customer_idx,
+       p.product_idx, i.customer_unique_id, i.product_id, i.interaction_count
+FROM inter i JOIN (
+  SELECT product_id, CAST(row_number() OVER (ORDER BY min(customer_unique_id), product_id) - 1 AS BIGINT) AS product_idx
+  FROM inter GROUP BY product_id) p USING (product_id)""", _INTER))(
+    lambda s, d: pp.index_ids(fe.interactions(master_of(s, d))))
+
+# ---------------------------------------------------------------- splits
+
+register("delay_temporal_split", with_master("""
+SELECT order_id, CASE WHEN row_number() OVER (ORDER BY order_purchase_timestamp, order_id)
+                      <= floor(count(*) OVER () * 0.8) THEN 'train' ELSE 'test' END AS split
+FROM delay""", _DELAY_ROWS))(
+    lambda s, d: sp.temporal_split(fe.delay_features(master_of(s, d)).select("order_id", "order_purchase_timestamp"),
+                                   ["order_purchase_timestamp", "order_id"]).select("order_id", "split"))
+
+register("churn_split", with_master("""
+SELECT customer_unique_id, CASE WHEN row_number() OVER (ORDER BY last_purchase_date, customer_unique_id)
+                      <= floor(count(*) OVER () * 0.8) THEN 'train' ELSE 'test' END AS split
+FROM customer""", _CUSTOMER))(
+    lambda s, d: sp.churn_split(fe.customer_features(master_of(s, d))).select("customer_unique_id", "split"))
+
+register("pricing_temporal_split", with_master("""
+SELECT order_id, order_item_id, CASE WHEN row_number() OVER (ORDER BY purchase_year * 100 + purchase_month,
+                      order_id, order_item_id) <= floor(count(*) OVER () * 0.8) THEN 'train' ELSE 'test' END AS split
+FROM pricing""", _PRICING))(
+    lambda s, d: sp.temporal_split(
+        fe.pricing_features(master_of(s, d)).withColumn("_ym", F.col("purchase_year") * 100 + F.col("purchase_month"))
+          .select("order_id", "order_item_id", "_ym"), ["_ym", "order_id", "order_item_id"])
+        .select("order_id", "order_item_id", "split"))
+
+_STRAT = """
+strat AS (
+  SELECT review_id, sentiment,
+    CASE WHEN row_number() OVER (PARTITION BY sentiment ORDER BY md5('42:' || CAST(review_id AS VARCHAR)), review_id)
+              <= round(count(*) OVER (PARTITION BY sentiment) * 0.2) THEN 'test' ELSE 'train' END AS split
+  FROM sentiment)"""
+
+register("sentiment_stratified_split", with_master("SELECT * FROM strat", _SENTIMENT + "," + _STRAT))(
+    lambda s, d: sp.stratified_split(fe.sentiment_dataset(bound(s, d)["reviews"]).select("review_id", "sentiment"),
+                                     "review_id", "sentiment", 0.2, 42))
+
+# ---------------------------------------------------------------- text / TF-IDF
+
+
+def _clean_sql(title: str, message: str) -> str:
+    joined = f"trim(coalesce({title}, '') || ' ' || {message})"
+    return (f"trim(regexp_replace(regexp_replace(lower({joined}), '[^{KEPT_LETTERS}\\s]', ' ', 'g'), "
+            f"'\\s+', ' ', 'g'))")
+
+
+_CLEAN = _SENTIMENT + f""",
+cleaned AS (
+  SELECT review_id, sentiment, {_clean_sql('review_comment_title', 'review_comment_message')} AS review_clean
+  FROM sentiment)"""
+
+register("clean_reviews", with_master("SELECT * FROM cleaned WHERE length(review_clean) > 0", _CLEAN))(
+    lambda s, d: tx.clean_reviews(fe.sentiment_dataset(bound(s, d)["reviews"]))
+    .select("review_id", "sentiment", "review_clean"))
+
+
+def _corpus(s, d):
+    """Large-text sentiment corpus: every document as a review, cleaned, labelled, split."""
+    c = fe.sentiment_dataset(bind_review_corpus(s, d))
+    c = tx.clean_reviews(c).select("review_id", "sentiment", "review_clean")
+    return sp.stratified_split(c, "review_id", "sentiment", 0.2, 42)
+
+
+_TFIDF = f"""
+corpus AS (
+  SELECT doc_id AS review_id,
+    CASE WHEN 1 + n_chars % 5 <= 2 THEN 'negative' WHEN 1 + n_chars % 5 = 3 THEN 'neutral' ELSE 'positive' END AS sentiment,
+    {_clean_sql('source', 'text')} AS review_clean
+  FROM documents WHERE text IS NOT NULL),
+csplit AS (
+  SELECT *, CASE WHEN row_number() OVER (PARTITION BY sentiment ORDER BY md5('42:' || CAST(review_id AS VARCHAR)), review_id)
+              <= round(count(*) OVER (PARTITION BY sentiment) * 0.2) THEN 'test' ELSE 'train' END AS split
+  FROM corpus WHERE length(review_clean) > 0),
+toks AS (
+  SELECT review_id, split, list_filter(string_split(translate(review_clean, '{ACCENTED}', '{PLAIN}'), ' '),
+                                       lambda x: length(x) >= 2) AS t FROM csplit),
+grams AS (
+  SELECT review_id, split, unnest(t) AS term FROM toks
+  UNION ALL
+  SELECT review_id, split, t[i] || ' ' || t[i + 1] AS term
+  FROM (SELECT review_id, split, t, unnest(range(1, len(t))) AS i FROM toks) b),
+tf AS (SELECT review_id, split, term, count(*) AS tf FROM grams GROUP BY review_id, split, term),
+ntrain AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM csplit WHERE split = 'train'),
+tstats AS (SELECT term, count(*) AS df, sum(tf) AS total FROM tf WHERE split = 'train' GROUP BY term),
+vocab AS (SELECT term, df, total FROM tstats, ntrain WHERE df >= 5 AND df <= n * 0.8
+          ORDER BY total DESC, term LIMIT 5000),
+vocab_idx AS (
+  SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS term_index, df,
+         ln((1.0 + n) / (1.0 + CAST(df AS DOUBLE))) + 1.0 AS idf
+  FROM vocab, ntrain),
+tw AS (
+  SELECT f.review_id AS doc_id, f.term, v.term_index, (1.0 + ln(CAST(f.tf AS DOUBLE))) * v.idf AS raw
+  FROM tf f JOIN vocab_idx v USING (term)),
+tfidf AS (SELECT doc_id, term, term_index, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS weight FROM tw)"""
+
+
+def _fit_corpus_vocab(s, d):
+    c = _corpus(s, d)
+    return c, tx.fit_tfidf(c.filter(F.col("split") == "train"))
+
+
+register("tfidf_vocabulary", with_master("SELECT * FROM vocab_idx", _TFIDF), ("idf",))(
+    lambda s, d: _fit_corpus_vocab(s, d)[1])
+
+
+def _tfidf_weights(s, d):
+    c, vocab = _fit_corpus_vocab(s, d)
+    return tx.apply_tfidf(c, vocab)
+
+
+register("tfidf_weights", with_master("SELECT * FROM tfidf", _TFIDF), ("weight",))(_tfidf_weights)
+
+# ---------------------------------------------------------------- evaluation of data-derived scores
+
+
+def _heuristic_churn_scored(s, d):
+    c = sc.heuristic_churn(fe.customer_features(master_of(s, d)))
+    return c.withColumn("prediction", (F.col("prob_churn") > 0.5).cast("int"))
+
+
+_CHURN_SCORED = _CUSTOMER + """,
+hc AS (SELECT *, CASE WHEN customer_lifetime_days < 365 THEN least((365.0 - customer_lifetime_days) / 365.0, 0.95)
+                      ELSE 0.1 END AS prob_churn FROM customer),
+hcp AS (SELECT *, CAST(prob_churn > 0.5 AS INTEGER) AS prediction FROM hc)"""
+
+register("churn_heuristic_eval", with_master("""
+SELECT accuracy, precision, recall, f1_score, tp, fp, tn, fn, auc_roc FROM (
+  SELECT coalesce(CAST(tp + tn AS DOUBLE) / nullif(tp + fp + tn + fn, 0), 0.0) AS accuracy,
+         coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0.0) AS precision,
+         coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0) AS recall,
+         coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0.0) AS f1_score, tp, fp, tn, fn
+  FROM (SELECT CAST(sum(CASE WHEN is_churn = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+               CAST(sum(CASE WHEN is_churn = 0 AND prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+               CAST(sum(CASE WHEN is_churn = 0 AND prediction = 0 THEN 1 ELSE 0 END) AS BIGINT) AS tn,
+               CAST(sum(CASE WHEN is_churn = 1 AND prediction = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fn FROM hcp) c) m,
+(SELECT (sum(CASE WHEN is_churn = 1 THEN r ELSE 0 END) - np * (np + 1) / 2.0) / (np * (n - np)) AS auc_roc
+ FROM (SELECT is_churn, avg(rn) OVER (PARTITION BY prob_churn) AS r,
+              CAST(sum(CASE WHEN is_churn = 1 THEN 1 ELSE 0 END) OVER () AS DOUBLE) AS np,
+              CAST(count(*) OVER () AS DOUBLE) AS n
+       FROM (SELECT *, row_number() OVER (ORDER BY prob_churn) AS rn FROM hcp) z) y
+ GROUP BY np, n) a""", _CHURN_SCORED), ("accuracy", "precision", "recall", "f1_score", "auc_roc"))(
+    lambda s, d: ev.binary_metrics(_heuristic_churn_scored(s, d), "is_churn", "prediction").crossJoin(
+        ev.roc_auc(_heuristic_churn_scored(s, d), "is_churn", "prob_churn")))
+
+register("ltv_heuristic_eval", with_master("""
+SELECT sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae,
+       avg(CASE WHEN y <> 0 THEN abs((y - p) / y) END) * 100.0 AS mape,
+       1.0 - sum((y - p) * (y - p)) / nullif(sum((y - ybar) * (y - ybar)), 0) AS r2
+FROM (SELECT ltv AS y, avg_order_value * num_orders * 1.25 AS p, avg(ltv) OVER () AS ybar FROM customer) t""",
+    _CUSTOMER), ("rmse", "mae", "mape", "r2"))(
+    lambda s, d: ev.regression_metrics(sc.heuristic_ltv(fe.customer_features(master_of(s, d))), "ltv", "ltv_pred"))
+
+
+def _keyword_scored(s, d):
+    r = fe.sentiment_dataset(bound(s, d)["reviews"])
+    r = r.withColumn("review_text", review_text(F.col("review_comment_title"), F.col("review_comment_message")))
+    return sc.keyword_sentiment(r)
+
+
+def _hits_sql(words: list[str]) -> str:
+    return " + ".join(f"CASE WHEN instr(lower(review_text), '{w}') > 0 THEN 1 ELSE 0 END" for w in words)
+
+
+_KEYWORD = _SENTIMENT + f""",
+kw0 AS (SELECT review_id, sentiment, trim(coalesce(review_comment_title, '') || ' ' || review_comment_message) AS review_text
+        FROM sentiment),
+kw1 AS (SELECT review_id, sentiment, {_hits_sql(sc.POSITIVE_WORDS)} AS pos_hits,
+               {_hits_sql(sc.NEGATIVE_WORDS)} AS neg_hits FROM kw0),
+kw AS (SELECT review_id, sentiment, pos_hits, neg_hits,
+         CASE WHEN pos_hits > neg_hits THEN 'positive' WHEN neg_hits > pos_hits THEN 'negative' ELSE 'neutral' END
+           AS predicted_sentiment,
+         CASE WHEN pos_hits > neg_hits THEN 0.85 WHEN neg_hits > pos_hits THEN 0.80 ELSE 0.65 END AS confidence
+       FROM kw1)"""
+
+register("keyword_sentiment", with_master(
+    "SELECT review_id, CAST(pos_hits AS INTEGER) AS pos_hits, CAST(neg_hits AS INTEGER) AS neg_hits, "
+    "predicted_sentiment, CAST(confidence AS DOUBLE) AS confidence FROM kw", _KEYWORD), ("confidence",))(
+    lambda s, d: _keyword_scored(s, d).select("review_id", "pos_hits", "neg_hits", "predicted_sentiment",
+                                              "confidence"))
+
+register("keyword_sentiment_eval", with_master("""
+WITH_CLASSES""".replace("WITH_CLASSES", """
+SELECT coalesce(CAST(sum(tp) AS DOUBLE) / nullif(sum(support), 0), 0.0) AS accuracy, avg(f1) AS f1_macro,
+       coalesce(sum(f1 * support) / nullif(sum(support), 0), 0.0) AS f1_weighted
+FROM (SELECT c, coalesce(tp, 0) AS tp, coalesce(support, 0) AS support,
+        coalesce(CAST(2 * coalesce(tp, 0) AS DOUBLE) / nullif(coalesce(support, 0) + coalesce(predicted, 0), 0), 0.0) AS f1
+      FROM (SELECT sentiment AS c, count(*) AS support FROM kw GROUP BY 1) s
+      FULL JOIN (SELECT predicted_sentiment AS c, count(*) AS predicted FROM kw GROUP BY 1) p USING (c)
+      LEFT JOIN (SELECT sentiment AS c, count(*) AS tp FROM kw WHERE sentiment = predicted_sentiment GROUP BY 1) t
+        USING (c)) per"""), _KEYWORD), ("accuracy", "f1_macro", "f1_weighted"))(
+    lambda s, d: ev.multiclass_metrics(_keyword_scored(s, d), "sentiment", "predicted_sentiment"))
+
+register("negative_alerts", with_master(
+    "SELECT review_id, predicted_sentiment, [" + ", ".join(f"'{a}'" for a in sc.NEGATIVE_REVIEW_ACTIONS) +
+    "] AS actions FROM kw WHERE predicted_sentiment = 'negative'", _KEYWORD))(
+    lambda s, d: sc.negative_alerts(_keyword_scored(s, d)).select("review_id", "predicted_sentiment", "actions"))
+
+# ---------------------------------------------------------------- scoring rules over whole tables
+
+register("churn_status_heuristic", with_master("""
+SELECT customer_unique_id, prob_churn, CASE WHEN prob_churn > 0.5 THEN 'churned' ELSE 'active' END AS churn_status,
+       1.0 - prob_churn AS retention FROM hc""", _CHURN_SCORED), ("prob_churn", "retention"))(
+    lambda s, d: sc.churn_status(sc.heuristic_churn(fe.customer_features(master_of(s, d))))
+    .select("customer_unique_id", "prob_churn", "churn_status", "retention"))
+
+register("ltv_segments", with_master("""
+SELECT customer_unique_id, avg_order_value * num_orders * 1.25 AS ltv_pred,
+       CASE WHEN avg_order_value * num_orders * 1.25 > 500 THEN 'VIP'
+            WHEN avg_order_value * num_orders * 1.25 > 200 THEN 'Premium' ELSE 'Bronze' END AS segment
+FROM customer""", _CUSTOMER), ("ltv_pred",))(
+    lambda s, d: sc.ltv_segment(sc.heuristic_ltv(fe.customer_features(master_of(s, d))))
+    .select("customer_unique_id", "ltv_pred", "segment"))
+
+register("scoring_frequency", with_master("""
+SELECT customer_unique_id, num_orders / greatest(customer_lifetime_days, 1.0) AS frequency_orders_per_day
+FROM customer""", _CUSTOMER), ("frequency_orders_per_day",))(
+    lambda s, d: sc.scoring_frequency(fe.customer_features(master_of(s, d)).drop("frequency_orders_per_day"))
+    .select("customer_unique_id", "frequency_orders_per_day"))
+
+_PRICE_SQL = ("(product_weight_g * 0.05 + product_volume_cm3 * 0.001 + freight_value * 2 + product_photos_qty * 5)"
+              " * (1.0 + product_demand_count / 1000.0)")
+
+register("price_bands", with_master(f"""
+SELECT order_id, order_item_id, product_id, {_PRICE_SQL} AS base_price, {_PRICE_SQL} * 0.9 AS competitive_price,
+       {_PRICE_SQL} * 1.15 AS premium_price FROM pricing""", _PRICING),
+    ("base_price", "competitive_price", "premium_price"))(
+    lambda s, d: sc.price_bands(sc.heuristic_price(fe.pricing_features(master_of(s, d))))
+    .select("order_id", "order_item_id", "product_id", "base_price", "competitive_price", "premium_price"))
+
+
+def _product_price_demand(s, d):
+    p = fe.pricing_features(master_of(s, d))
+    return p.groupBy("product_id").agg(F.avg("price").alias("base_price"),
+                                       F.count(F.lit(1)).cast("double").alias("demand"))
+
+
+_CURVE = _PRICING + """,
+prod AS (SELECT product_id, avg(price) AS base_price, CAST(count(*) AS DOUBLE) AS demand FROM pricing GROUP BY 1),
+grid AS (
+  SELECT product_id, base_price, demand, CAST(g.point AS INTEGER) AS point,
+    CASE WHEN g.point = 19 THEN base_price * 1.3 ELSE g.point * ((base_price * 1.3 - base_price * 0.7) / 19)
+         + base_price * 0.7 END AS price
+  FROM prod CROSS JOIN generate_series(0, 19) g(point)),
+curve AS (
+  SELECT *, demand * (1.0 - (price - base_price) / base_price * 0.8) AS demand_at_price,
+         price * (demand * (1.0 - (price - base_price) / base_price * 0.8)) AS revenue FROM grid)"""
+
+register("elasticity_curve", with_master("SELECT * FROM curve", _CURVE),
+         ("base_price", "demand", "price", "demand_at_price", "revenue"))(
+    lambda s, d: sc.elasticity_curve(_product_price_demand(s, d)))
+
+register("optimal_price", with_master("""
+SELECT product_id, point AS optimal_point, price AS optimal_price, revenue AS optimal_revenue FROM (
+  SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY revenue DESC, point) AS rn FROM curve) x
+WHERE rn = 1""", _CURVE), ("optimal_price", "optimal_revenue"))(
+    lambda s, d: sc.optimal_price(sc.elasticity_curve(_product_price_demand(s, d))))
+
+register("recommend_by_category", with_master("""
+WITH_R""".replace("WITH_R", """
+SELECT h.customer_unique_id, h.category_rank, h.category, c.item_rank, c.item
+FROM (SELECT customer_unique_id, category, CAST(row_number() OVER (PARTITION BY customer_unique_id
+             ORDER BY first_ts, category) AS INTEGER) AS category_rank
+      FROM (SELECT customer_unique_id, product_category_name_english AS category,
+                   min(order_purchase_timestamp) AS first_ts FROM master
+            WHERE customer_unique_id IS NOT NULL AND product_category_name_english IS NOT NULL GROUP BY 1, 2) a
+      QUALIFY category_rank <= 2) h
+JOIN (SELECT category, CAST(row_number() OVER (PARTITION BY category ORDER BY sales DESC, product_id) AS INTEGER)
+             AS item_rank, CAST(product_id AS VARCHAR) AS item
+      FROM (SELECT product_category_name_english AS category, product_id, count(*) AS sales FROM master
+            WHERE product_id IS NOT NULL AND product_category_name_english IS NOT NULL GROUP BY 1, 2) b
+      QUALIFY item_rank <= 2) c USING (category)""")))(
+    lambda s, d: sc.recommend_by_category(master_of(s, d)))
+
+_STATE_PROFILE = _SELLER + """,
+st_profile AS (
+  SELECT seller_state, round(round(avg(num_orders), 5), 2) AS num_orders,
+         round(round(avg(total_revenue), 5), 2) AS total_revenue,
+         round(round(avg(avg_review_score), 5), 2) AS avg_review_score, round(round(avg(delay_rate), 5), 2) AS delay_rate
+  FROM seller GROUP BY 1),
+st_tiers AS (
+  SELECT seller_state, total_revenue,
+    CASE WHEN total_revenue >= (SELECT quantile_cont(total_revenue, 0.66) FROM st_profile) THEN 'premium'
+         WHEN total_revenue >= (SELECT quantile_cont(total_revenue, 0.33) FROM st_profile) THEN 'growing'
+         ELSE 'starter' END AS tier
+  FROM st_profile)"""
+
+
+def _state_profile(s, d):
+    return sc.cluster_profile(fe.seller_features(master_of(s, d)), "seller_state")
+
+
+register("cluster_sizes_by_state", with_master(f"""
+SELECT seller_state, count(*) AS count, {pct('count(*)')} AS pct FROM seller GROUP BY 1""", _SELLER), ("pct",))(
+    lambda s, d: sc.cluster_sizes(fe.seller_features(master_of(s, d)), "seller_state"))
+
+register("cluster_profile_by_state", with_master("SELECT * FROM st_profile", _STATE_PROFILE),
+         ("num_orders", "total_revenue", "avg_review_score", "delay_rate"))(_state_profile)
+
+register("cluster_tiers_by_state", with_master("SELECT * FROM st_tiers", _STATE_PROFILE), ("total_revenue",))(
+    lambda s, d: sc.cluster_tiers(_state_profile(s, d), "seller_state"))
+
+register("seller_tiers_by_state", with_master("""
+SELECT s.seller_id, s.seller_state, t.tier FROM seller s LEFT JOIN st_tiers t USING (seller_state)""",
+    _STATE_PROFILE))(
+    lambda s, d: sc.seller_tiers(fe.seller_features(master_of(s, d)),
+                                 sc.cluster_tiers(_state_profile(s, d), "seller_state"), "seller_state")
+    .select("seller_id", "seller_state", "tier"))
+
+register("seller_scorecard", with_master("""
+SELECT * FROM seller WHERE seller_id IN (SELECT seller_id FROM delay WHERE is_delayed = 1)""", _SELLER),
+    SELLER_DOUBLES)(
+    lambda s, d: sc.seller_scorecard(fe.seller_features(master_of(s, d)),
+                                     fe.delay_features(master_of(s, d)).filter(F.col("is_delayed") == 1)))
