@@ -803,3 +803,25 @@ SELECT * FROM seller WHERE seller_id IN (SELECT seller_id FROM delay WHERE is_de
     SELLER_DOUBLES)(
     lambda s, d: sc.seller_scorecard(fe.seller_features(master_of(s, d)),
                                      fe.delay_features(master_of(s, d)).filter(F.col("is_delayed") == 1)))
+
+# ---------------------------------------------------------------- model training (rows-only checks)
+from . import train as tr  # noqa: E402
+
+
+def _metrics_of(fn):
+    def run(s, d):
+        return fn(s, d).metrics
+    return run
+
+
+register("train_delay")(_metrics_of(lambda s, d: tr.train_delay(master_of(s, d))))
+register("train_churn_ltv")(_metrics_of(lambda s, d: tr.train_churn_ltv(master_of(s, d))))
+register("train_pricing")(_metrics_of(lambda s, d: tr.train_pricing(master_of(s, d))))
+register("train_sentiment")(_metrics_of(lambda s, d: tr.train_sentiment(bound(s, d)["reviews"])))
+register("cluster_sellers")(_metrics_of(lambda s, d: tr.cluster_sellers(master_of(s, d))))
+register("k_selection")(lambda s, d: tr.cluster_sellers(master_of(s, d)).extras["k_table"])
+register("train_als")(_metrics_of(lambda s, d: tr.train_als(fe.interactions(master_of(s, d)))))
+register("recommender_metrics", with_master("""
+SELECT count(DISTINCT customer_unique_id) AS num_customers, count(DISTINCT product_id) AS num_products,
+       count(*) AS num_interactions, 50 AS top_n_products FROM inter""", _INTER))(
+    lambda s, d: tr.recommender_metrics(fe.interactions(master_of(s, d))))
