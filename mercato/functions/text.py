@@ -22,11 +22,12 @@ def review_text(title, message) -> Column:
 
 def clean_text(c) -> Column:
     """Lower-case, every char outside the kept letters/whitespace -> space,
-    collapse whitespace runs, trim.  ``(?U)`` makes ``\\s`` Unicode-aware."""
-    lowered = F.lower(col_(c))
-    kept = F.regexp_replace(lowered, f"(?U)[^{KEPT_LETTERS}\\s]", " ")
-    collapsed = F.regexp_replace(kept, "(?U)\\s+", " ")
-    return F.regexp_replace(collapsed, "(?U)^\\s+|\\s+$", "")
+    collapse whitespace runs, trim.
+
+    Equivalently -- and in one regex pass -- every run of characters that are not
+    kept letters becomes one space, then the ends are trimmed: whitespace and
+    removed characters both end up as single separating spaces."""
+    return F.trim(F.regexp_replace(F.lower(col_(c)), f"[^{KEPT_LETTERS}]+", " "))
 
 
 def fold_accents(c) -> Column:

@@ -3,25 +3,83 @@
 ``row_number() OVER (PARTITION BY k ORDER BY o)`` puts every row of a key into
 one task, and without a PARTITION BY it puts the whole table into one task.  Here
 the table is range-partitioned on ``(k, o)`` by ``orderBy`` -- so even a key
-holding a third of all rows is spread over many tasks -- and each row's number is
-its position inside its range partition plus the number of rows of the same key
-in earlier partitions.  The per-(partition, key) summary has at most
-``#keys + #partitions`` rows, and the running sum over it only ever sees at most
-``#partitions`` rows per key.
-
-The numbered table is checkpointed (to the cluster's ``spark.checkpoint.dir``)
-before it is used twice: range boundaries come from sampling, so a recomputation
-after an executor loss could move rows between partitions; the checkpoint pins one
-partitioning for both uses.
+holding a third of all rows is spread over many tasks -- and
+
+1. inside each sorted range partition one streaming pass numbers the rows of each
+   key (Arrow batches through ``mapInPandas``, carrying the open run across
+   batches), in the same stage as the sort;
+2. the result is written once to the shared checkpoint folder and read back
+   (range boundaries come from sampling; the written table pins one partitioning
+   for the two uses below and survives executor loss);
+3. only keys that straddle a partition boundary need an offset: the per-partition
+   first/last key summary has one row per partition, so the offset table is
+   bounded by the partition count and is broadcast.
 """
 
 from __future__ import annotations
 
+import uuid
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
+PID, LOC = "__seq_pid", "__seq_loc"
+
+
+def pin(df: DataFrame, prefix: str = "pinned") -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back (cuts lineage,
+    fixes nondeterministic partitioning, survives executor loss)."""
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{root}/{prefix}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _local_numbering(keys: list[str]):
+    """mapInPandas body: 1-based position of each row within its key's run in the
+    (sorted) partition, plus the partition id."""
+
+    def same_as_previous(pdf: pd.DataFrame, prev: tuple | None) -> pd.Series:
+        if not keys:
+            s = pd.Series(True, index=pdf.index)
+            if prev is None and len(pdf):
+                s.iloc[0] = False
+            return s
+        eq = pd.Series(True, index=pdf.index)
+        for i, k in enumerate(keys):
+            col = pdf[k]
+            shifted = col.shift(1)
+            if prev is not None and len(pdf):
+                shifted.iloc[0] = prev[i]
+            both_null = col.isna() & shifted.isna()
+            eq &= (col == shifted) | both_null
+        if prev is None and len(pdf):
+            eq.iloc[0] = False
+        return eq
+
+    def run(batches):
+        from pyspark import TaskContext
+        pid = TaskContext.get().partitionId()
+        prev_key, prev_pos = None, 0
+        for pdf in batches:
+            if len(pdf) == 0:
+                yield pdf.assign(**{PID: pd.Series(dtype="int32"), LOC: pd.Series(dtype="int64")})
+                continue
+            cont = same_as_previous(pdf, prev_key).to_numpy()
+            run_id = (~cont).cumsum()
+            pos = pd.Series(1, index=pdf.index).groupby(run_id).cumsum().to_numpy()
+            if cont[0]:                       # the first run continues the previous batch's run
+                pos[run_id == 0] += prev_pos
+            prev_key = tuple(pdf[k].iloc[-1] for k in keys) if keys else ()
+            prev_pos = int(pos[-1])
+            yield pdf.assign(**{PID: pid, LOC: pos})
+
+    return run
+
 
 def exact_sequence(df: DataFrame, order_by: list[str], partition_by: list[str] | tuple = (),
                    out: str = "seq") -> DataFrame:
@@ -31,23 +89,27 @@ def exact_sequence(df: DataFrame, order_by: list[str], partition_by: list[str] |
     ``order_by`` should make the order total (ties are numbered arbitrarily but
     consistently, as in ``row_number``)."""
     keys = list(partition_by)
-    ensure_checkpoint_dir(df.sparkSession)
-    ranked = (df.orderBy(*[F.col(c).asc_nulls_first() for c in keys + list(order_by)])
-                .withColumn("__seq_mid", F.monotonically_increasing_id())
-                .withColumn("__seq_pid", F.spark_partition_id())
-                .checkpoint(eager=True))
-
-    stats = ranked.groupBy("__seq_pid", *keys).agg(F.min("__seq_mid").alias("__seq_first"),
-                                              F.count(F.lit(1)).alias("__seq_n"))
-    w = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("__seq_pid")
-    stats = stats.withColumn("__seq_before", F.sum("__seq_n").over(w) - F.col("__seq_n")).drop("__seq_n")
-
-    if keys:
-        s = stats.select([F.col(c).alias(f"__seq_s_{c}") for c in ["__seq_pid", *keys]] + ["__seq_first", "__seq_before"])
-        cond = [ranked["__seq_pid"] == s["__seq_s___seq_pid"]] + [ranked[c].eqNullSafe(s[f"__seq_s_{c}"]) for c in keys]
-        joined = ranked.join(s, cond, "inner").drop(*s.columns[: 1 + len(keys)])
-    else:
-        # one summary row per range partition: size bounded by the partition count
-        joined = ranked.join(F.broadcast(stats), "__seq_pid", "inner")
-    return (joined.withColumn(out, F.col("__seq_mid") - F.col("__seq_first") + F.col("__seq_before") + 1)
-                  .drop("__seq_mid", "__seq_pid", "__seq_first", "__seq_before"))
+    schema = T.StructType(df.schema.fields + [T.StructField(PID, T.IntegerType()),
+                                              T.StructField(LOC, T.LongType())])
+    ordered = df.orderBy(*[F.col(c).asc_nulls_first() for c in keys + list(order_by)])
+    numbered = pin(ordered.mapInPandas(_local_numbering(keys), schema), "sequence")
+
+    # per partition: first key, last key and the size of the last key's run
+    kstruct = F.struct(*[F.col(c) for c in keys]) if keys else F.struct(F.lit(0).alias("_"))
+    per = numbered.groupBy(PID).agg(F.min(kstruct).alias("_first"),
+                                    F.max_by(F.col(LOC), F.struct(kstruct, F.col(LOC))).alias("_last_n"),
+                                    F.max(kstruct).alias("_last"))
+    # offset of partition p's first key = sizes of that key's runs in earlier
+    # partitions; runs of one key are consecutive, so it is a running sum over the
+    # partitions whose last key equals it (<= #partitions rows: a tiny table)
+    w = Window.partitionBy("_last").orderBy(PID).rowsBetween(Window.unboundedPreceding, 0)
+    runs = per.withColumn("_cum", F.sum("_last_n").over(w))
+    prev = runs.select(F.col(PID).alias("_q"), F.col("_last").alias("_k"), "_cum")
+    off = per.join(prev, (prev["_k"] == per["_first"]) & (prev["_q"] < per[PID]), "left") \
+        .groupBy(PID, "_first").agg(F.max("_cum").alias("_before")).filter(F.col("_before").isNotNull())
+    off = off.select(F.col(PID).alias("_o_pid"), F.col("_first").alias("_o_key"), "_before")
+
+    j = numbered.withColumn("_key", kstruct).join(
+        F.broadcast(off), (F.col(PID) == F.col("_o_pid")) & (F.col("_key") == F.col("_o_key")), "left")
+    return (j.withColumn(out, F.col(LOC) + F.coalesce(F.col("_before"), F.lit(0)))
+             .drop(PID, LOC, "_key", "_o_pid", "_o_key", "_before"))

@@ -8,16 +8,38 @@ from pyspark.sql import functions as F
 from .sequence import exact_sequence
 
 
+def _le_struct(cols: list[str], bound: str) -> F.Column:
+    """(cols...) <= bound struct, lexicographic; NULLs sort first (as in the ranking)."""
+    row = F.struct(*[F.col(c) for c in cols])
+    return F.when(F.col(bound).isNull(), F.lit(False)).otherwise(
+        F.expr(f"struct({', '.join(f'`{c}`' for c in cols)}) <= `{bound}`")) if cols else F.lit(False)
+
+
+def _cutoffs(keys_df: DataFrame, order_by: list[str], group: list[str], count_expr) -> DataFrame:
+    """Per group: the ``order_by`` key of the row at 1-based position ``count_expr(n)``
+    (NULL when that count is 0).  Only the narrow key columns are ranked."""
+    narrow = keys_df.select(*group, *order_by)
+    counts = narrow.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")) if group else \
+        narrow.agg(F.count(F.lit(1)).alias("_n"))
+    ranked = exact_sequence(narrow, order_by, group, out="_pos")
+    want = counts.select(*group, count_expr(F.col("_n")).cast("long").alias("_k"))
+    j = ranked.join(F.broadcast(want), group) if group else ranked.crossJoin(F.broadcast(want))
+    hit = j.filter(F.col("_pos") == F.col("_k"))
+    cut = hit.select(*group, F.struct(*[F.col(c) for c in order_by]).alias("_cut"))
+    return want.join(cut, group, "left").drop("_k") if group else \
+        want.crossJoin(cut.select("_cut").unionByName(
+            keys_df.sparkSession.range(0).select(F.lit(None).cast(cut.schema["_cut"].dataType).alias("_cut")))
+            .agg(F.first("_cut", ignorenulls=True).alias("_cut"))).drop("_k")
+
+
 def temporal_split(df: DataFrame, order_by: list[str], frac: float = 0.8, out: str = "split") -> DataFrame:
-    """The first ``floor(frac * n)`` rows in ``order_by`` order are 'train', the
-    rest 'test'.  Positions come from the distributed exact sequence (range sort +
-    partition offsets); ``n`` is a one-row aggregate."""
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    ranked = exact_sequence(df, order_by, out="_pos")
-    cut = F.floor(F.col("_n") * F.lit(frac))
-    return (ranked.crossJoin(F.broadcast(n))
-                  .withColumn(out, F.when(F.col("_pos") <= cut, "train").otherwise("test"))
-                  .drop("_pos", "_n"))
+    """The first ``floor(frac * n)`` rows in ``order_by`` order (a total order)
+    are 'train', the rest 'test'.  The key at that position is found by ranking
+    only the key columns (distributed exact sequence); the wide rows are then
+    labelled by comparing with that one-row cutoff -- a narrow, broadcast filter."""
+    cut = _cutoffs(df, order_by, [], lambda n: F.floor(n * F.lit(frac)))
+    j = df.crossJoin(F.broadcast(cut))                                  # one row
+    return j.withColumn(out, F.when(_le_struct(order_by, "_cut"), "train").otherwise("test")).drop("_cut")
 
 
 def split_hash(id_col: str, seed: int) -> F.Column:
@@ -30,12 +52,10 @@ def stratified_split(df: DataFrame, id_col: str, label: str, test_frac: float =
     """M6: per label, the ``round(test_frac * n_label)`` rows with the smallest
     md5(seed:id) are 'test' -- exact class proportions, reproducible anywhere."""
     h = df.withColumn("_h", split_hash(id_col, seed))
-    counts = h.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = exact_sequence(h, ["_h", id_col], [label], out="_pos")
-    return (ranked.join(F.broadcast(counts), label)      # one row per class
-                  .withColumn(out, F.when(F.col("_pos") <= F.round(F.col("_n") * F.lit(test_frac)),
-                                          "test").otherwise("train"))
-                  .drop("_h", "_pos", "_n"))
+    cut = _cutoffs(h, ["_h", id_col], [label], lambda n: F.round(n * F.lit(test_frac)))
+    j = h.join(F.broadcast(cut), label, "left")                         # one row per class
+    return j.withColumn(out, F.when(_le_struct(["_h", id_col], "_cut"), "test").otherwise("train")) \
+        .drop("_h", "_cut")
 
 
 def churn_split(df: DataFrame, label: str = "is_churn", order_by=("last_purchase_date", "customer_unique_id"),

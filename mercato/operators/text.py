@@ -24,26 +24,30 @@ def clean_reviews(df: DataFrame, id_col: str = "review_id") -> DataFrame:
     return t.filter(F.length("review_clean") > 0)
 
 
-def terms(df: DataFrame, text_col: str, id_col: str, ngram_max: int = 2) -> DataFrame:
-    """``(id, term, tf)``: counts of unigrams and bigrams per document."""
+def terms(df: DataFrame, text_col: str, id_col: str, ngram_max: int = 2, keep: tuple = ()) -> DataFrame:
+    """``(doc_id, *keep, term, tf)``: counts of unigrams and bigrams per document.
+
+    Tokens (2+ characters) are exploded with their position; a bigram is a token
+    and the next kept token (``lead`` within the document -- one document is one
+    row, so the window never spans more than one document's tokens).  The
+    following group-by on (doc, term) reuses the document partitioning."""
     toks = F.filter(F.split(fold_accents(F.col(text_col)), " "), lambda t: F.length(t) >= 2)
-    d = df.select(F.col(id_col).alias("doc_id"), toks.alias("_toks"))
-    grams = F.col("_toks")
+    p = df.select(F.col(id_col).alias("doc_id"), *keep, F.posexplode(toks).alias("_pos", "term"))
     if ngram_max >= 2:
-        n = F.size("_toks")
-        bigrams = F.when(n >= 2, F.transform(F.sequence(F.lit(0), n - 2),
-                                             lambda i: F.concat(F.get("_toks", i), F.lit(" "),
-                                                                F.get("_toks", i + 1)))) \
-                   .otherwise(F.array().cast("array<string>"))
-        grams = F.concat(grams, bigrams)
-    return (d.select("doc_id", F.explode(grams).alias("term"))
-             .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+        nxt = F.lead("term").over(Window.partitionBy("doc_id").orderBy("_pos"))
+        p = p.withColumn("_next", nxt).select(
+            "doc_id", *keep, F.explode(F.array(F.col("term"), F.when(F.col("_next").isNotNull(),
+                                       F.concat(F.col("term"), F.lit(" "), F.col("_next"))))).alias("term"))
+        p = p.filter(F.col("term").isNotNull())
+    return p.groupBy("doc_id", *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def fit_tfidf(train: DataFrame, text_col: str = "review_clean", id_col: str = "review_id",
-              max_features: int = 5000, min_df: int = 5, max_df: float = 0.8) -> DataFrame:
-    """M8 fit: vocabulary ``(term, term_index, df, idf)`` from the training docs."""
-    tf = terms(train, text_col, id_col)
+              max_features: int = 5000, min_df: int = 5, max_df: float = 0.8,
+              tf: DataFrame | None = None) -> DataFrame:
+    """M8 fit: vocabulary ``(term, term_index, df, idf)`` from the training docs
+    (``tf``: their precomputed term counts, when already at hand)."""
+    tf = terms(train, text_col, id_col) if tf is None else tf
     n_docs = train.agg(F.count(F.lit(1)).alias("n_docs"))
     stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
     kept = (stats.crossJoin(F.broadcast(n_docs))                          # one row
@@ -56,9 +60,9 @@ def fit_tfidf(train: DataFrame, text_col: str = "review_clean", id_col: str = "r
 
 
 def apply_tfidf(df: DataFrame, vocab: DataFrame, text_col: str = "review_clean",
-                id_col: str = "review_id") -> DataFrame:
+                id_col: str = "review_id", tf: DataFrame | None = None) -> DataFrame:
     """M8 apply: ``(doc_id, term, term_index, weight)`` with L2-normalised rows."""
-    tf = terms(df, text_col, id_col)
+    tf = terms(df, text_col, id_col) if tf is None else tf
     w = (tf.join(F.broadcast(vocab.select("term", "term_index", "idf")), "term")   # <= max_features
            .withColumn("raw", (F.lit(1.0) + F.log(F.col("tf").cast("double"))) * F.col("idf")))
     # a document has at most max_features terms: the per-document window is bounded
@@ -66,6 +70,17 @@ def apply_tfidf(df: DataFrame, vocab: DataFrame, text_col: str = "review_clean",
     return w.select("doc_id", "term", "term_index", (F.col("raw") / norm).alias("weight"))
 
 
+def fit_apply_tfidf(docs: DataFrame, split_col: str = "split", text_col: str = "review_clean",
+                    id_col: str = "review_id", **kw) -> tuple[DataFrame, DataFrame]:
+    """Fit on the 'train' rows and weight all rows from ONE tokenisation: the term
+    counts are computed once and feed both the vocabulary and the weights (the
+    shared shuffle is reused by the planner)."""
+    tf = terms(docs, text_col, id_col, keep=(split_col,))
+    vocab = fit_tfidf(docs.filter(F.col(split_col) == "train"), text_col, id_col,
+                      tf=tf.filter(F.col(split_col) == "train").drop(split_col), **kw)
+    return vocab, apply_tfidf(docs, vocab, text_col, id_col, tf=tf.drop(split_col))
+
+
 def tfidf_vectors(weights: DataFrame, docs: DataFrame, size: int, id_col: str = "review_id",
                   out: str = "features") -> DataFrame:
     """Sparse feature vectors per document (documents with no vocabulary term get an

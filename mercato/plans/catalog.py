@@ -18,6 +18,7 @@ from ..operators import features as fe
 from ..operators import master as ms
 from ..operators import reports as rp
 from ..sources.binding import bind_marketplace
+from .etl import master_location, materialize_master
 from .oracle import mode_cte, rounded, with_master
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,8 +36,16 @@ def bound(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return _BOUND[key]
 
 
+_MASTER: dict[tuple[str, str], DataFrame] = {}
+
+
 def master_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ms.build_master(bound(spark, sf_dir))
+    """The master table of ``sf_dir``: built once per application, written to the
+    shared checkpoint folder and read back (downstream jobs scan parquet)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MASTER:
+        _MASTER[key] = materialize_master(spark, bound(spark, sf_dir), master_location(spark, sf_dir))
+    return _MASTER[key]
 
 
 def register(name: str, sql: str | None = None, doubles: tuple[str, ...] = ()):
@@ -75,7 +84,7 @@ MASTER_DOUBLES = ("customer_lat", "customer_lng", "seller_lat", "seller_lng", "p
 # ---------------------------------------------------------------- master / ETL
 
 register("build_master", with_master("SELECT * FROM master"), MASTER_DOUBLES)(
-    lambda s, d: master_of(s, d))
+    lambda s, d: ms.build_master(bound(s, d)))
 
 register("geo_by_zip", with_master("SELECT * FROM geo_zip"), ("geolocation_lat", "geolocation_lng"))(
     lambda s, d: ms.geo_by_zip(bound(s, d)["geolocation"]))
@@ -596,8 +605,7 @@ register("tfidf_vocabulary", with_master("SELECT * FROM vocab_idx", _TFIDF), ("i
 
 
 def _tfidf_weights(s, d):
-    c, vocab = _fit_corpus_vocab(s, d)
-    return tx.apply_tfidf(c, vocab)
+    return tx.fit_apply_tfidf(_corpus(s, d))[1]
 
 
 register("tfidf_weights", with_master("SELECT * FROM tfidf", _TFIDF), ("weight",))(_tfidf_weights)
