@@ -156,10 +156,12 @@ master_raw AS (
   LEFT JOIN rev_by_order r ON o.order_id = r.order_id),
 master AS (
   SELECT *,
+    CASE WHEN customer_lat IS NOT NULL AND customer_lng IS NOT NULL AND seller_lat IS NOT NULL
+              AND seller_lng IS NOT NULL THEN
     2 * 6371.0 * asin(sqrt(least(
       pow(sin((radians(seller_lat) - radians(customer_lat)) / 2), 2)
       + cos(radians(customer_lat)) * cos(radians(seller_lat))
-        * pow(sin((radians(seller_lng) - radians(customer_lng)) / 2), 2), 1.0))) AS distance_customer_seller_km
+        * pow(sin((radians(seller_lng) - radians(customer_lng)) / 2), 2), 1.0))) END AS distance_customer_seller_km
   FROM master_raw),
 master_orders AS (
   SELECT * FROM (
