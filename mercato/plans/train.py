@@ -226,7 +226,12 @@ def cluster_sellers(master: DataFrame, ks=range(2, 9), restarts: int = 10, seed:
         "num_sellers", F.lit(int(k)).alias("best_k"), F.lit(float(sil)).alias("silhouette_score"),
         F.lit(float(model.summary.trainingCost)).alias("inertia"))
     data.unpersist()
-    return TrainResult(metrics, model, {"k_table": table, "sellers": labelled})
+    from ..operators import scoring as sc
+    profile = sc.cluster_profile(labelled)                      # A35 on the K-means labels
+    tiers = sc.cluster_tiers(profile)                           # A36
+    return TrainResult(metrics, model, {"k_table": table, "sellers": sc.seller_tiers(labelled, tiers),
+                                        "sizes": sc.cluster_sizes(labelled), "profile": profile,
+                                        "tiers": tiers})
 
 
 def train_als(inter: DataFrame, rank: int = 10, reg: float = 0.1, alpha: float = 1.0, seed: int = 42

@@ -47,7 +47,15 @@ def load_marketplace(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The nine marketplace tables from a folder of parquet/CSV files."""
     names = ["orders", "order_items", "payments", "reviews", "customers", "sellers",
              "products", "geolocation", "category_translation"]
-    return {n: read_table(spark, root, n) for n in names}
+    t = {n: read_table(spark, root, n) for n in names}
+    t["orders"] = coerce_timestamps(t["orders"], ORDER_TIMESTAMPS)
+    t["reviews"] = coerce_timestamps(t["reviews"], REVIEW_TIMESTAMPS)
+    return t
+
+
+ORDER_TIMESTAMPS = ["order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
+                    "order_delivered_customer_date", "order_estimated_delivery_date"]
+REVIEW_TIMESTAMPS = ["review_creation_date", "review_answer_timestamp"]
 
 
 def normalize_nulls(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

@@ -169,3 +169,51 @@ def test_sentiment_label_null_is_positive(spark):
     df = spark.createDataFrame([(1,), (2,), (3,), (4,), (None,)], "s int")
     assert [r[0] for r in df.select(fe.sentiment_label("s")).collect()] == \
         ["negative", "negative", "neutral", "positive", "positive"]
+
+
+def test_decision_rules(spark):
+    df = spark.createDataFrame([(1, 0.7), (2, 0.5)], "id int, p double")
+    rb = [r.risk_band for r in sc.risk_band(df, "p").orderBy("id").collect()]
+    cs = sc.churn_status(df, "p").orderBy("id").collect()
+    assert rb == ["high", "low"] and [r.churn_status for r in cs] == ["churned", "active"]
+    assert abs(cs[0].retention - 0.3) < 1e-12 and len(cs[0].actions) == 3
+    pb = sc.price_bands(spark.createDataFrame([(100.0,)], "base_price double")).first()
+    assert abs(pb.competitive_price - 90.0) < 1e-9 and abs(pb.premium_price - 115.0) < 1e-9
+    hp = sc.heuristic_price(spark.createDataFrame(
+        [(1000.0, 5000.0, 15.0, 3.0, 50)],
+        "product_weight_g double, product_volume_cm3 double, freight_value double, product_photos_qty double, "
+        "product_demand_count int")).first().base_price
+    assert abs(hp - (50 + 5 + 30 + 15) * 1.05) < 1e-9
+    fq = sc.scoring_frequency(spark.createDataFrame([(3, 0.0), (4, 2.0)],
+                                                    "num_orders int, customer_lifetime_days double")).collect()
+    assert [r.frequency_orders_per_day for r in fq] == [3.0, 2.0]
+
+
+def test_recommendations_take_first_categories_and_top_items(spark):
+    t = dt.datetime
+    m = spark.createDataFrame([
+        (1, "toys", 10, t(2020, 1, 1)), (1, "books", 11, t(2020, 2, 1)), (1, "garden", 12, t(2020, 3, 1)),
+        (2, "toys", 10, t(2020, 1, 5)), (2, "toys", 13, t(2020, 1, 6)), (3, "books", 11, t(2020, 1, 1)),
+    ], "customer_unique_id int, product_category_name_english string, product_id int, "
+       "order_purchase_timestamp timestamp_ntz")
+    rec = sc.recommend_by_category(m).collect()
+    cats1 = {(r.category_rank, r.category) for r in rec if r.customer_unique_id == 1}
+    assert cats1 == {(1, "toys"), (2, "books")}
+    toys = {(r.item_rank, r.item) for r in rec if r.customer_unique_id == 2}
+    assert toys == {(1, "10"), (2, "13")}
+
+
+def test_io_roundtrip(spark, tmp_path):
+    from mercato.sources import io
+    df = spark.createDataFrame([("o1", "2020-01-02 03:04:05", "NA"), ("o2", "not a date", "x")],
+                               "order_id string, order_purchase_timestamp string, note string")
+    out = io.coerce_timestamps(io.normalize_nulls(df), ["order_purchase_timestamp"]).orderBy("order_id").collect()
+    assert out[0].order_purchase_timestamp == dt.datetime(2020, 1, 2, 3, 4, 5) and out[0].note is None
+    assert out[1].order_purchase_timestamp is None
+    io.write_table(df, str(tmp_path), "t")
+    assert io.read_table(spark, str(tmp_path), "t").count() == 2
+    import pytest
+    with pytest.raises(io.MissingTableError):
+        io.read_table(spark, str(tmp_path), "absent")
+    with pytest.raises(ValueError):
+        io.require(df, ["order_id", "missing_col"])
