@@ -42,14 +42,8 @@ def terms(df: DataFrame, text_col: str, id_col: str, ngram_max: int = 2, keep: t
     return p.groupBy("doc_id", *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def fit_tfidf(train: DataFrame, text_col: str = "review_clean", id_col: str = "review_id",
-              max_features: int = 5000, min_df: int = 5, max_df: float = 0.8,
-              tf: DataFrame | None = None) -> DataFrame:
-    """M8 fit: vocabulary ``(term, term_index, df, idf)`` from the training docs
-    (``tf``: their precomputed term counts, when already at hand)."""
-    tf = terms(train, text_col, id_col) if tf is None else tf
-    n_docs = train.agg(F.count(F.lit(1)).alias("n_docs"))
-    stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
+def _vocabulary(stats: DataFrame, n_docs: DataFrame, max_features: int, min_df: int,
+                max_df: float) -> DataFrame:
     kept = (stats.crossJoin(F.broadcast(n_docs))                          # one row
                  .filter((F.col("df") >= min_df) & (F.col("df") <= F.col("n_docs") * F.lit(max_df))))
     vocab = kept.orderBy(F.col("total").desc(), F.col("term").asc()).limit(max_features)
@@ -59,10 +53,16 @@ def fit_tfidf(train: DataFrame, text_col: str = "review_clean", id_col: str = "r
                  .select("term", "term_index", "df", "idf"))
 
 
-def apply_tfidf(df: DataFrame, vocab: DataFrame, text_col: str = "review_clean",
-                id_col: str = "review_id", tf: DataFrame | None = None) -> DataFrame:
-    """M8 apply: ``(doc_id, term, term_index, weight)`` with L2-normalised rows."""
-    tf = terms(df, text_col, id_col) if tf is None else tf
+def fit_tfidf(train: DataFrame, text_col: str = "review_clean", id_col: str = "review_id",
+              max_features: int = 5000, min_df: int = 5, max_df: float = 0.8) -> DataFrame:
+    """M8 fit: vocabulary ``(term, term_index, df, idf)`` from the training docs."""
+    tf = terms(train, text_col, id_col)
+    stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
+    n_docs = train.agg(F.count(F.lit(1)).alias("n_docs"))
+    return _vocabulary(stats, n_docs, max_features, min_df, max_df)
+
+
+def _weights(tf: DataFrame, vocab: DataFrame) -> DataFrame:
     w = (tf.join(F.broadcast(vocab.select("term", "term_index", "idf")), "term")   # <= max_features
            .withColumn("raw", (F.lit(1.0) + F.log(F.col("tf").cast("double"))) * F.col("idf")))
     # a document has at most max_features terms: the per-document window is bounded
@@ -70,15 +70,27 @@ def apply_tfidf(df: DataFrame, vocab: DataFrame, text_col: str = "review_clean",
     return w.select("doc_id", "term", "term_index", (F.col("raw") / norm).alias("weight"))
 
 
+def apply_tfidf(df: DataFrame, vocab: DataFrame, text_col: str = "review_clean",
+                id_col: str = "review_id") -> DataFrame:
+    """M8 apply: ``(doc_id, term, term_index, weight)`` with L2-normalised rows."""
+    return _weights(terms(df, text_col, id_col), vocab)
+
+
 def fit_apply_tfidf(docs: DataFrame, split_col: str = "split", text_col: str = "review_clean",
-                    id_col: str = "review_id", **kw) -> tuple[DataFrame, DataFrame]:
-    """Fit on the 'train' rows and weight all rows from ONE tokenisation: the term
-    counts are computed once and feed both the vocabulary and the weights (the
-    shared shuffle is reused by the planner)."""
+                    id_col: str = "review_id", max_features: int = 5000, min_df: int = 5,
+                    max_df: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """Fit on the 'train' rows and weight all rows from ONE tokenisation.  The
+    vocabulary statistics count only training documents with conditional
+    aggregates over the shared term counts, so both branches use the same
+    subtree and the planner reuses its shuffle."""
     tf = terms(docs, text_col, id_col, keep=(split_col,))
-    vocab = fit_tfidf(docs.filter(F.col(split_col) == "train"), text_col, id_col,
-                      tf=tf.filter(F.col(split_col) == "train").drop(split_col), **kw)
-    return vocab, apply_tfidf(docs, vocab, text_col, id_col, tf=tf.drop(split_col))
+    is_train = F.col(split_col) == "train"
+    stats = (tf.groupBy("term")
+               .agg(F.count(F.when(is_train, 1)).alias("df"), F.sum(F.when(is_train, F.col("tf"))).alias("total"))
+               .filter(F.col("df") > 0))
+    n_docs = docs.agg(F.count(F.when(is_train, 1)).alias("n_docs"))
+    vocab = _vocabulary(stats, n_docs, max_features, min_df, max_df)
+    return vocab, _weights(tf.drop(split_col), vocab)
 
 
 def tfidf_vectors(weights: DataFrame, docs: DataFrame, size: int, id_col: str = "review_id",

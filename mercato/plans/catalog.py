@@ -816,19 +816,33 @@ SELECT * FROM seller WHERE seller_id IN (SELECT seller_id FROM delay WHERE is_de
 from . import train as tr  # noqa: E402
 
 
-def _metrics_of(fn):
-    def run(s, d):
-        return fn(s, d).metrics
-    return run
-
-
-register("train_delay")(_metrics_of(lambda s, d: tr.train_delay(master_of(s, d))))
-register("train_churn_ltv")(_metrics_of(lambda s, d: tr.train_churn_ltv(master_of(s, d))))
-register("train_pricing")(_metrics_of(lambda s, d: tr.train_pricing(master_of(s, d))))
-register("train_sentiment")(_metrics_of(lambda s, d: tr.train_sentiment(bound(s, d)["reviews"])))
-register("cluster_sellers")(_metrics_of(lambda s, d: tr.cluster_sellers(master_of(s, d))))
-register("k_selection")(lambda s, d: tr.cluster_sellers(master_of(s, d)).extras["k_table"])
-register("train_als")(_metrics_of(lambda s, d: tr.train_als(fe.interactions(master_of(s, d)))))
+_TRAINED: dict[tuple[str, str, str], object] = {}
+
+
+def _trained(name: str, fn):
+    """Train once per application and input folder (later queries reuse the result)."""
+    def get(s, d):
+        key = (s.sparkContext.applicationId, d, name)
+        if key not in _TRAINED:
+            _TRAINED[key] = fn(s, d)
+        return _TRAINED[key]
+    return get
+
+
+_delay = _trained("delay", lambda s, d: tr.train_delay(master_of(s, d)))
+_churn = _trained("churn", lambda s, d: tr.train_churn_ltv(master_of(s, d)))
+_pricing = _trained("pricing", lambda s, d: tr.train_pricing(master_of(s, d)))
+_sentiment = _trained("sentiment", lambda s, d: tr.train_sentiment(bound(s, d)["reviews"]))
+_clusters = _trained("clusters", lambda s, d: tr.cluster_sellers(master_of(s, d)))
+_als = _trained("als", lambda s, d: tr.train_als(fe.interactions(master_of(s, d))))
+
+register("train_delay")(lambda s, d: _delay(s, d).metrics)
+register("train_churn_ltv")(lambda s, d: _churn(s, d).metrics)
+register("train_pricing")(lambda s, d: _pricing(s, d).metrics)
+register("train_sentiment")(lambda s, d: _sentiment(s, d).metrics)
+register("cluster_sellers")(lambda s, d: _clusters(s, d).metrics)
+register("k_selection")(lambda s, d: _clusters(s, d).extras["k_table"])
+register("train_als")(lambda s, d: _als(s, d).metrics)
 register("recommender_metrics", with_master("""
 SELECT count(DISTINCT customer_unique_id) AS num_customers, count(DISTINCT product_id) AS num_products,
        count(*) AS num_interactions, 50 AS top_n_products FROM inter""", _INTER))(
