@@ -847,3 +847,58 @@ register("recommender_metrics", with_master("""
 SELECT count(DISTINCT customer_unique_id) AS num_customers, count(DISTINCT product_id) AS num_products,
        count(*) AS num_interactions, 50 AS top_n_products FROM inter""", _INTER))(
     lambda s, d: tr.recommender_metrics(fe.interactions(master_of(s, d))))
+
+
+# ---------------------------------------------------------------- model-based scoring (rows-only checks)
+
+
+def _delay_risk(s, d):
+    r = _delay(s, d)
+    rows = fe.delay_features(master_of(s, d)).select("order_id", *tr.DELAY_FEATURES)
+    scored = tr.score_with_model(r.model, rows, tr.DELAY_FEATURES, r.extras["label_maps"], r.extras["medians"],
+                                 "prob_delay")
+    return sc.risk_band(scored, "prob_delay").select("order_id", "prob_delay", "risk_band", "actions")
+
+
+def _customer_scores(s, d):
+    r = _churn(s, d)
+    churn_model, ltv_model = r.model
+    c = fe.customer_features(master_of(s, d))
+    churn = tr.score_with_model(churn_model, c.select("customer_unique_id", *tr.CHURN_FEATURES),
+                                tr.CHURN_FEATURES, r.extras["churn_maps"], r.extras["churn_medians"], "prob_churn")
+    ltv = tr.score_with_model(ltv_model, c.select("customer_unique_id", *tr.LTV_FEATURES), tr.LTV_FEATURES,
+                              r.extras["ltv_maps"], r.extras["ltv_medians"], None) \
+        .select("customer_unique_id", F.col("prediction").alias("ltv_pred"))
+    out = sc.churn_status(churn.select("customer_unique_id", "prob_churn"), "prob_churn").join(
+        ltv, "customer_unique_id")
+    return sc.ltv_segment(out, "ltv_pred").select("customer_unique_id", "prob_churn", "churn_status", "retention",
+                                                  "ltv_pred", "segment")
+
+
+def _price_suggestions(s, d):
+    r = _pricing(s, d)
+    rows = fe.pricing_features(master_of(s, d)).select("order_id", "order_item_id", "product_id",
+                                                       *tr.PRICING_FEATURES)
+    scored = tr.score_with_model(r.model, rows, tr.PRICING_FEATURES, r.extras["label_maps"], r.extras["medians"],
+                                 None).withColumnRenamed("prediction", "base_price")
+    return sc.price_bands(scored).select("order_id", "order_item_id", "product_id", "base_price",
+                                         "competitive_price", "premium_price")
+
+
+def _sentiment_scores(s, d):
+    r = _sentiment(s, d)
+    pred = r.extras["predictions"].join(
+        r.extras["classes"].select(F.col("code").cast("double").alias("prediction"),
+                                   F.col("value").alias("predicted_sentiment")), "prediction")
+    return pred.select("review_id", "sentiment", "predicted_sentiment", "confidence")
+
+
+register("delay_risk_scores")(_delay_risk)
+register("customer_scores")(_customer_scores)
+register("price_suggestions")(_price_suggestions)
+register("sentiment_scores")(_sentiment_scores)
+register("model_negative_alerts")(
+    lambda s, d: sc.negative_alerts(_sentiment_scores(s, d)).select("review_id", "predicted_sentiment", "confidence",
+                                                                    "actions"))
+register("seller_clusters")(lambda s, d: _clusters(s, d).extras["sellers"].select("seller_id", "cluster", "tier"))
+register("cluster_profile")(lambda s, d: _clusters(s, d).extras["profile"])

@@ -109,10 +109,10 @@ def train_delay(master: DataFrame, params: TreeParams | None = None) -> TrainRes
     """Late-delivery classifier on the delay table, temporal 80/20 split."""
     params = params or TreeParams(max_depth=6)
     d = fe.delay_features(master).select("order_id", "order_purchase_timestamp", "is_delayed", *DELAY_FEATURES)
-    d, maps, _ = pp.prepare_features(d, DELAY_FEATURES)
+    d, maps, medians = pp.prepare_features(d, DELAY_FEATURES)
     d = sp.temporal_split(d, ["order_purchase_timestamp", "order_id"])
     r = _classify(d, DELAY_FEATURES, "is_delayed", params)
-    r.extras["label_maps"] = maps
+    r.extras.update(label_maps=maps, medians=medians)
     return r
 
 
@@ -122,14 +122,16 @@ def train_churn_ltv(master: DataFrame, params: TreeParams | None = None) -> Trai
     params = params or TreeParams(max_depth=5)
     c = fe.customer_features(master)
     c = sp.churn_split(c)
-    churn_prep, _, _ = pp.prepare_features(c, CHURN_FEATURES)
+    churn_prep, churn_maps, churn_medians = pp.prepare_features(c, CHURN_FEATURES)
     churn = _classify(churn_prep, CHURN_FEATURES, "is_churn", params, prefix="churn_")
-    ltv_prep, _, _ = pp.prepare_features(c, LTV_FEATURES)
+    ltv_prep, ltv_maps, ltv_medians = pp.prepare_features(c, LTV_FEATURES)
     ltv = _regress(ltv_prep, LTV_FEATURES, "ltv", params, prefix="ltv_")
     m = churn.metrics.crossJoin(ltv.metrics.drop("train_size", "test_size")).withColumn(
         "leakage_alarm", F.col("churn_auc_roc") > 0.95)
-    return TrainResult(m, (churn.model, ltv.model), {"churn_importance": churn.extras["importance"],
-                                                     "ltv_importance": ltv.extras["importance"]})
+    return TrainResult(m, (churn.model, ltv.model), {
+        "churn_importance": churn.extras["importance"], "ltv_importance": ltv.extras["importance"],
+        "churn_maps": churn_maps, "churn_medians": churn_medians, "ltv_maps": ltv_maps,
+        "ltv_medians": ltv_medians})
 
 
 def _regress(prepared: DataFrame, features: list[str], label: str, params: TreeParams,
@@ -149,11 +151,11 @@ def train_pricing(master: DataFrame, params: TreeParams | None = None) -> TrainR
     """T5: price regressor, temporal split on year*100+month."""
     params = params or TreeParams(max_depth=6)
     p = fe.pricing_features(master)
-    p, maps, _ = pp.prepare_features(p, PRICING_FEATURES)
+    p, maps, medians = pp.prepare_features(p, PRICING_FEATURES)
     p = p.withColumn("_ym", F.col("purchase_year") * 100 + F.col("purchase_month"))
     p = sp.temporal_split(p, ["_ym", "order_id", "order_item_id"])
     r = _regress(p, PRICING_FEATURES, "price", params)
-    r.extras["label_maps"] = maps
+    r.extras.update(label_maps=maps, medians=medians)
     return r
 
 
@@ -220,7 +222,9 @@ def cluster_sellers(master: DataFrame, ks=range(2, 9), restarts: int = 10, seed:
         if best is None or sil > best[1]:
             best = (k, sil, model)
     k, sil, model = best
-    labelled = model.transform(data).drop("features")
+    # cluster labels on the raw (unscaled) seller table, as the profiles report raw means
+    labels = model.transform(data).select("seller_id", "cluster")
+    labelled = s.join(labels, "seller_id")
     table = spark.createDataFrame(per_k, "k int, inertia double, silhouette double")
     metrics = data.agg(F.count(F.lit(1)).alias("num_sellers")).select(
         "num_sellers", F.lit(int(k)).alias("best_k"), F.lit(float(sil)).alias("silhouette_score"),
@@ -257,10 +261,13 @@ def recommender_metrics(inter: DataFrame, top_n: int = 50) -> DataFrame:
 
 
 def score_with_model(model, df: DataFrame, features: list[str], maps: dict, medians: DataFrame | None = None,
-                     prob_col: str = "prob") -> DataFrame:
-    """C1/C2/C4 batch scoring: apply the *fitted* encoders and medians (unseen -> -1)
-    then the model; the positive-class probability lands in ``prob_col``."""
+                     prob_col: str | None = "prob") -> DataFrame:
+    """C1/C2/C3/C8 batch scoring: apply the *fitted* encoders and medians (unseen
+    -> -1) then the model.  Classifiers: positive-class probability in
+    ``prob_col``; regressors: ``prediction``."""
+    keep = [c for c in df.columns if c not in features]
     prepared, _, _ = pp.prepare_features(df, features, maps=maps, medians=medians)
-    out = model.transform(pp.assemble(prepared, features))
-    return out.withColumn(prob_col, vector_to_array("probability")[1])
+    out = model.transform(pp.assemble(prepared, features)).select(*keep, "prediction",
+                                                                 *(["probability"] if prob_col else []))
+    return out.withColumn(prob_col, vector_to_array("probability")[1]).drop("probability") if prob_col else out
 

@@ -56,7 +56,9 @@ def test_every_query_has_callable_and_named_oracle():
     assert set(o) <= set(q)
     no_oracle = set(q) - set(o)
     assert no_oracle == {"train_delay", "train_churn_ltv", "train_pricing", "train_sentiment",
-                         "cluster_sellers", "k_selection", "train_als"}
+                         "cluster_sellers", "k_selection", "train_als", "delay_risk_scores", "customer_scores",
+                         "price_suggestions", "sentiment_scores", "model_negative_alerts", "seller_clusters",
+                         "cluster_profile"}
 
 
 def test_entry_smoke(spark):
