@@ -902,3 +902,18 @@ register("model_negative_alerts")(
                                                                     "actions"))
 register("seller_clusters")(lambda s, d: _clusters(s, d).extras["sellers"].select("seller_id", "cluster", "tier"))
 register("cluster_profile")(lambda s, d: _clusters(s, d).extras["profile"])
+
+
+def _importance_table(s, pairs):
+    """E5 result (at most 10 (feature, importance) pairs) as a table."""
+    return s.createDataFrame([(i + 1, n, float(v)) for i, (n, v) in enumerate(pairs)],
+                             "rank int, feature string, importance double")
+
+
+register("delay_feature_importance")(lambda s, d: _importance_table(s, _delay(s, d).extras["importance"]))
+register("churn_feature_importance")(lambda s, d: _importance_table(s, _churn(s, d).extras["churn_importance"]))
+register("ltv_feature_importance")(lambda s, d: _importance_table(s, _churn(s, d).extras["ltv_importance"]))
+register("pricing_feature_importance")(lambda s, d: _importance_table(s, _pricing(s, d).extras["importance"]))
+register("sentiment_top_terms")(
+    lambda s, d: tr.top_terms(_sentiment(s, d).model, _sentiment(s, d).extras["vocab"],
+                              _sentiment(s, d).extras["classes"], 10))

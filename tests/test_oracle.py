@@ -58,7 +58,8 @@ def test_every_query_has_callable_and_named_oracle():
     assert no_oracle == {"train_delay", "train_churn_ltv", "train_pricing", "train_sentiment",
                          "cluster_sellers", "k_selection", "train_als", "delay_risk_scores", "customer_scores",
                          "price_suggestions", "sentiment_scores", "model_negative_alerts", "seller_clusters",
-                         "cluster_profile"}
+                         "cluster_profile", "delay_feature_importance", "churn_feature_importance",
+                         "ltv_feature_importance", "pricing_feature_importance", "sentiment_top_terms"}
 
 
 def test_entry_smoke(spark):
