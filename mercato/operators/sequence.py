@@ -14,6 +14,12 @@ holding a third of all rows is spread over many tasks -- and
 3. only keys that straddle a partition boundary need an offset: the per-partition
    first/last key summary has one row per partition, so the offset table is
    bounded by the partition count and is broadcast.
+
+Fast path: when the groups are *proven* small -- one aggregation over the key
+columns shows the largest group has at most ``MAX_WINDOW_GROUP`` rows -- a plain
+``row_number()`` window is used, since no task can then receive more than that
+bound of rows for one key.  Global numbering (no keys) always takes the
+distributed path.
 """
 
 from __future__ import annotations
@@ -29,6 +35,9 @@ from ..session import ensure_checkpoint_dir
 
 PID, LOC = "__seq_pid", "__seq_loc"
 
+# largest group a single window task may number (rows); beyond it, the range path
+MAX_WINDOW_GROUP = 1_000_000
+
 
 def pin(df: DataFrame, prefix: str = "pinned") -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back (cuts lineage,
@@ -89,6 +98,20 @@ def exact_sequence(df: DataFrame, order_by: list[str], partition_by: list[str] |
     ``order_by`` should make the order total (ties are numbered arbitrarily but
     consistently, as in ``row_number``)."""
     keys = list(partition_by)
+    if keys and max_group_size(df, keys) <= MAX_WINDOW_GROUP:
+        w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
+        return df.withColumn(out, F.row_number().over(w).cast("long"))
+    return ranked_by_range(df, order_by, keys, out)
+
+
+def max_group_size(df: DataFrame, keys: list[str]) -> int:
+    """Rows in the largest ``keys`` group (a partial aggregate over the key columns only)."""
+    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return int(r or 0)
+
+
+def ranked_by_range(df: DataFrame, order_by: list[str], keys: list[str], out: str) -> DataFrame:
+    """The distributed path (module docstring, steps 1-3)."""
     schema = T.StructType(df.schema.fields + [T.StructField(PID, T.IntegerType()),
                                               T.StructField(LOC, T.LongType())])
     ordered = df.orderBy(*[F.col(c).asc_nulls_first() for c in keys + list(order_by)])

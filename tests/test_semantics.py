@@ -73,12 +73,17 @@ def test_round_clean_half(spark):
     assert [r[0] for r in df.select(round_clean("x", 6)).collect()] == [16.650312, 2.675]
 
 
-def test_exact_sequence_matches_row_number_with_hot_key(spark):
-    # one key holds most rows: numbering must still be exact and restart per key
+def test_exact_sequence_matches_row_number_with_hot_key(spark, monkeypatch):
+    # one key holds most rows: numbering must still be exact and restart per key,
+    # both on the bounded-window path and on the range path (forced by a low bound)
+    from mercato.operators import sequence
     rows = [(1, i) for i in range(3000)] + [(k, i) for k in range(2, 50) for i in range(3)]
     df = spark.createDataFrame(rows, "k int, v int").repartition(7)
     got = exact_sequence(df, ["v"], ["k"], "n").collect()
     assert all(r.n == r.v + 1 for r in got) and len(got) == len(rows)
+    monkeypatch.setattr(sequence, "MAX_WINDOW_GROUP", 100)
+    got = exact_sequence(df, ["v"], ["k"], "n").collect()
+    assert all(r.n == r.v + 1 for r in got) and len(got) == len(rows)
     glob = exact_sequence(df, ["k", "v"], [], "g").orderBy("g").collect()
     assert [r.g for r in glob] == list(range(1, len(rows) + 1))
 
