@@ -36,15 +36,21 @@ def geo_by_zip(geolocation: DataFrame) -> DataFrame:
                  modal("geolocation_state").alias("geolocation_state")))
 
 
+# zip prefixes are 5-digit codes, so the per-zip geography has at most this many rows
+MAX_ZIP_PREFIXES = 100_000
+
+
 def attach_geo(df: DataFrame, geo_zip: DataFrame, role: str) -> DataFrame:
-    """J1/J2 + P1: left-join zip geography, renamed with the role prefix."""
+    """J1/J2 + P1: left-join zip geography, renamed with the role prefix.  The
+    per-zip table is bounded by the zip-prefix domain (``MAX_ZIP_PREFIXES`` rows,
+    a few MB), so it is broadcast and the large side is never shuffled for it."""
     g = geo_zip.select(
         F.col("geolocation_zip_code_prefix").alias("_zip"),
         F.col("geolocation_lat").alias(f"{role}_lat"),
         F.col("geolocation_lng").alias(f"{role}_lng"),
         F.col("geolocation_city").alias(f"{role}_geo_city"),
         F.col("geolocation_state").alias(f"{role}_geo_state"))
-    return df.join(g, df[f"{role}_zip_code_prefix"] == g["_zip"], "left").drop("_zip")
+    return df.join(F.broadcast(g), df[f"{role}_zip_code_prefix"] == g["_zip"], "left").drop("_zip")
 
 
 def payments_by_order(payments: DataFrame) -> DataFrame:
@@ -87,14 +93,19 @@ def build_master(t: dict[str, DataFrame]) -> DataFrame:
     orders = t["orders"].select(*ORDER_COLS)
     items = t["order_items"].select("order_id", "order_item_id", "product_id", "seller_id",
                                     "price", "freight_value")
+    # Seller / product / category enrichment keys all come from the item, so the
+    # left joins are applied to the narrow item table first (equivalent to joining
+    # them after the order->item join): the wide master is then only ever shuffled
+    # by order_id, the key shared by the item, payment and review joins.
+    items = (items
+             .join(sellers_geo, "seller_id", "left")
+             .join(t["products"].select("product_id", *PRODUCT_COLS), "product_id", "left")
+             .join(t["category_translation"].select("product_category_name",
+                                                    "product_category_name_english"),
+                   "product_category_name", "left"))
     m = (orders
          .join(customers_geo, "customer_id", "left")
          .join(items, "order_id", "left")
-         .join(sellers_geo, "seller_id", "left")
-         .join(t["products"].select("product_id", *PRODUCT_COLS), "product_id", "left")
-         .join(t["category_translation"].select("product_category_name",
-                                                "product_category_name_english"),
-               "product_category_name", "left")
          .join(payments_by_order(t["payments"]), "order_id", "left")
          .join(reviews_by_order(t["reviews"]), "order_id", "left"))
     m = with_distance(m)
