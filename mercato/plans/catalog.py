@@ -917,3 +917,23 @@ register("pricing_feature_importance")(lambda s, d: _importance_table(s, _pricin
 register("sentiment_top_terms")(
     lambda s, d: tr.top_terms(_sentiment(s, d).model, _sentiment(s, d).extras["vocab"],
                               _sentiment(s, d).extras["classes"], 10))
+
+# ---------------------------------------------------------------- describe reports of the feature tables
+
+
+def _describe_sql(src: str, cols: list[str]) -> str:
+    return " UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std,
+       CAST(min({c}) AS DOUBLE) AS min, quantile_cont({c}, 0.25) AS p25, quantile_cont({c}, 0.5) AS p50,
+       quantile_cont({c}, 0.75) AS p75, CAST(max({c}) AS DOUBLE) AS max FROM {src}""" for c in cols)
+
+
+_DESC_DOUBLES = ("mean", "std", "min", "p25", "p50", "p75", "max")
+_SELLER_DESC = ["num_orders", "total_revenue", "avg_review_score", "delay_rate"]
+
+register("describe_ltv", with_master(_describe_sql("customer", ["ltv"]), _CUSTOMER), _DESC_DOUBLES)(
+    lambda s, d: rp.describe_columns(fe.customer_features(master_of(s, d)), ["ltv"]))
+register("describe_pricing_price", with_master(_describe_sql("pricing", ["price"]), _PRICING), _DESC_DOUBLES)(
+    lambda s, d: rp.describe_columns(fe.pricing_features(master_of(s, d)), ["price"]))
+register("describe_seller_features", with_master(_describe_sql("seller", _SELLER_DESC), _SELLER), _DESC_DOUBLES)(
+    lambda s, d: rp.describe_columns(fe.seller_features(master_of(s, d)), _SELLER_DESC))
