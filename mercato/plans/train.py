@@ -32,6 +32,7 @@ from ..operators import features as fe
 from ..operators import prep as pp
 from ..operators import split as sp
 from ..operators import text as tx
+from ..operators.sequence import pin
 
 DELAY_FEATURES = ["purchase_year", "purchase_month", "purchase_day", "purchase_weekday", "purchase_hour",
                   "purchase_quarter", "promised_delivery_days", "num_items", "price", "freight_value",
@@ -61,6 +62,12 @@ class TreeParams:
     max_bins: int = 64
 
 
+def _materialize(m: DataFrame) -> DataFrame:
+    """A one-row metrics table as a local relation (constant size), so caches used to
+    compute it can be released."""
+    return m.sparkSession.createDataFrame(m.collect(), m.schema)
+
+
 @dataclass
 class TrainResult:
     metrics: DataFrame
@@ -102,6 +109,8 @@ def _classify(prepared: DataFrame, features: list[str], label: str, params: Tree
     m = m.crossJoin(ev.roc_auc(pred, label, "score")).crossJoin(_split_sizes(data))
     if prefix:
         m = m.select(*[F.col(c).alias(c if c.endswith("_size") else f"{prefix}{c}") for c in m.columns])
+    m = _materialize(m)
+    data.unpersist()
     return TrainResult(m, model, {"importance": ev.feature_importance(model, features)})
 
 
@@ -126,8 +135,8 @@ def train_churn_ltv(master: DataFrame, params: TreeParams | None = None) -> Trai
     churn = _classify(churn_prep, CHURN_FEATURES, "is_churn", params, prefix="churn_")
     ltv_prep, ltv_maps, ltv_medians = pp.prepare_features(c, LTV_FEATURES)
     ltv = _regress(ltv_prep, LTV_FEATURES, "ltv", params, prefix="ltv_")
-    m = churn.metrics.crossJoin(ltv.metrics.drop("train_size", "test_size")).withColumn(
-        "leakage_alarm", F.col("churn_auc_roc") > 0.95)
+    m = _materialize(churn.metrics.crossJoin(ltv.metrics.drop("train_size", "test_size")).withColumn(
+        "leakage_alarm", F.col("churn_auc_roc") > 0.95))
     return TrainResult(m, (churn.model, ltv.model), {
         "churn_importance": churn.extras["importance"], "ltv_importance": ltv.extras["importance"],
         "churn_maps": churn_maps, "churn_medians": churn_medians, "ltv_maps": ltv_maps,
@@ -144,6 +153,8 @@ def _regress(prepared: DataFrame, features: list[str], label: str, params: TreeP
     m = ev.regression_metrics(pred, "label", "prediction").crossJoin(_split_sizes(data))
     if prefix:
         m = m.select(*[F.col(c).alias(c if c.endswith("_size") else f"{prefix}{c}") for c in m.columns])
+    m = _materialize(m)
+    data.unpersist()
     return TrainResult(m, model, {"importance": ev.feature_importance(model, features)})
 
 
@@ -165,8 +176,8 @@ def train_sentiment(reviews: DataFrame, c: float = 1.0, max_iter: int = 1000, ma
     class weights, stratified 80/20 split."""
     ds = fe.sentiment_dataset(reviews)
     cleaned = tx.clean_reviews(ds).select("review_id", "sentiment", "review_clean")
-    split = sp.stratified_split(cleaned, "review_id", "sentiment", 0.2, 42).persist()
-    vocab = tx.fit_tfidf(split.filter(F.col("split") == "train"), max_features=max_features).persist()
+    split = pin(sp.stratified_split(cleaned, "review_id", "sentiment", 0.2, 42), "sentiment_split")
+    vocab = pin(tx.fit_tfidf(split.filter(F.col("split") == "train"), max_features=max_features), "vocab")
     size = vocab.count()
     weights = tx.apply_tfidf(split, vocab)
     vec = tx.tfidf_vectors(weights, split, max(size, 1))
@@ -182,7 +193,10 @@ def train_sentiment(reviews: DataFrame, c: float = 1.0, max_iter: int = 1000, ma
                             maxIter=max_iter, tol=1e-6)
     model = lr.fit(train)
     pred = model.transform(test).withColumn("confidence", F.array_max(vector_to_array("probability")))
-    m = ev.multiclass_metrics(pred, "label", "prediction").crossJoin(_split_sizes(vec))
+    pred = pin(pred.select("review_id", "sentiment", "label", "prediction", "confidence"), "sentiment_pred")
+    m = _materialize(ev.multiclass_metrics(pred, "label", "prediction").crossJoin(_split_sizes(vec)))
+    vec.unpersist()
+    classes = pin(classes, "sentiment_classes")
     return TrainResult(m, model, {"vocab": vocab, "classes": classes, "predictions": pred})
 
 
@@ -222,14 +236,14 @@ def cluster_sellers(master: DataFrame, ks=range(2, 9), restarts: int = 10, seed:
         if best is None or sil > best[1]:
             best = (k, sil, model)
     k, sil, model = best
-    # cluster labels on the raw (unscaled) seller table, as the profiles report raw means
-    labels = model.transform(data).select("seller_id", "cluster")
-    labelled = s.join(labels, "seller_id")
-    table = spark.createDataFrame(per_k, "k int, inertia double, silhouette double")
-    metrics = data.agg(F.count(F.lit(1)).alias("num_sellers")).select(
+    table = spark.createDataFrame(per_k, "k int, inertia double, silhouette double")   # one row per k
+    metrics = _materialize(data.agg(F.count(F.lit(1)).alias("num_sellers")).select(
         "num_sellers", F.lit(int(k)).alias("best_k"), F.lit(float(sil)).alias("silhouette_score"),
-        F.lit(float(model.summary.trainingCost)).alias("inertia"))
+        F.lit(float(model.summary.trainingCost)).alias("inertia")))
+    labels = pin(model.transform(data).select("seller_id", "cluster"), "seller_clusters")
     data.unpersist()
+    # cluster labels on the raw (unscaled) seller table, as the profiles report raw means
+    labelled = s.join(labels, "seller_id")
     from ..operators import scoring as sc
     profile = sc.cluster_profile(labelled)                      # A35 on the K-means labels
     tiers = sc.cluster_tiers(profile)                           # A36
@@ -248,9 +262,9 @@ def train_als(inter: DataFrame, rank: int = 10, reg: float = 0.1, alpha: float =
     model = als.fit(ids.withColumn("customer_idx", F.col("customer_idx").cast("int"))
                        .withColumn("product_idx", F.col("product_idx").cast("int"))
                        .withColumn("interaction_count", F.col("interaction_count").cast("float")))
-    metrics = ids.agg(F.countDistinct("customer_idx").alias("num_customers"),
-                      F.countDistinct("product_idx").alias("num_products"),
-                      F.count(F.lit(1)).alias("num_interactions"))
+    metrics = _materialize(ids.agg(F.countDistinct("customer_idx").alias("num_customers"),
+                                   F.countDistinct("product_idx").alias("num_products"),
+                                   F.count(F.lit(1)).alias("num_interactions")))
     return TrainResult(metrics, model, {"ids": ids})
 
 
