@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, fold_accents, review_text
+from .sequence import pin
 
 
 def clean_reviews(df: DataFrame, id_col: str = "review_id") -> DataFrame:
@@ -79,11 +80,11 @@ def apply_tfidf(df: DataFrame, vocab: DataFrame, text_col: str = "review_clean",
 def fit_apply_tfidf(docs: DataFrame, split_col: str = "split", text_col: str = "review_clean",
                     id_col: str = "review_id", max_features: int = 5000, min_df: int = 5,
                     max_df: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Fit on the 'train' rows and weight all rows from ONE tokenisation.  The
-    vocabulary statistics count only training documents with conditional
-    aggregates over the shared term counts, so both branches use the same
-    subtree and the planner reuses its shuffle."""
-    tf = terms(docs, text_col, id_col, keep=(split_col,))
+    """Fit on the 'train' rows and weight all rows from ONE tokenisation: the term
+    counts are written once to the shared checkpoint folder (lineage cut for the
+    longest text job) and read by both the vocabulary statistics -- conditional
+    aggregates counting training documents only -- and the weights."""
+    tf = pin(terms(docs, text_col, id_col, keep=(split_col,)), "term_counts")
     is_train = F.col(split_col) == "train"
     stats = (tf.groupBy("term")
                .agg(F.count(F.when(is_train, 1)).alias("df"), F.sum(F.when(is_train, F.col("tf"))).alias("total"))
