@@ -128,11 +128,11 @@ def ranked_by_range(df: DataFrame, order_by: list[str], keys: list[str], out: st
     w = Window.partitionBy("_last").orderBy(PID).rowsBetween(Window.unboundedPreceding, 0)
     runs = per.withColumn("_cum", F.sum("_last_n").over(w))
     prev = runs.select(F.col(PID).alias("_q"), F.col("_last").alias("_k"), "_cum")
-    off = per.join(prev, (prev["_k"] == per["_first"]) & (prev["_q"] < per[PID]), "left") \
+    off = per.join(prev, prev["_k"].eqNullSafe(per["_first"]) & (prev["_q"] < per[PID]), "left") \
         .groupBy(PID, "_first").agg(F.max("_cum").alias("_before")).filter(F.col("_before").isNotNull())
     off = off.select(F.col(PID).alias("_o_pid"), F.col("_first").alias("_o_key"), "_before")
 
     j = numbered.withColumn("_key", kstruct).join(
-        F.broadcast(off), (F.col(PID) == F.col("_o_pid")) & (F.col("_key") == F.col("_o_key")), "left")
+        F.broadcast(off), (F.col(PID) == F.col("_o_pid")) & F.col("_key").eqNullSafe(F.col("_o_key")), "left")
     return (j.withColumn(out, F.col(LOC) + F.coalesce(F.col("_before"), F.lit(0)))
              .drop(PID, LOC, "_key", "_o_pid", "_o_key", "_before"))

@@ -222,3 +222,13 @@ def test_io_roundtrip(spark, tmp_path):
         io.read_table(spark, str(tmp_path), "absent")
     with pytest.raises(ValueError):
         io.require(df, ["order_id", "missing_col"])
+
+
+def test_exact_sequence_range_path_null_keys(spark, monkeypatch):
+    # a NULL group large enough to straddle range partitions keeps one numbering
+    from mercato.operators import sequence
+    monkeypatch.setattr(sequence, "MAX_WINDOW_GROUP", 10)
+    rows = [(None, i) for i in range(500)] + [(1, i) for i in range(300)] + [(2, 0)]
+    df = spark.createDataFrame(rows, "k int, v int").repartition(5)
+    got = exact_sequence(df, ["v"], ["k"], "n").collect()
+    assert len(got) == len(rows) and all(r.n == r.v + 1 for r in got)
