@@ -63,9 +63,13 @@ def main() -> None:
 
     timed("tfidf", tfidf)
     total = round(sum(timings.values()), 3)
+    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(sf)
+    except ValueError:
+        pass
     print(json.dumps({"metric": "headline_total_seconds", "value": total, "unit": "sec",
-                      "queries": timings, "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
-                      "cpus": cpus}))
+                      "queries": timings, "sf": sf, "cpus": cpus}))
     spark.stop()
 
 
