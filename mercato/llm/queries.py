@@ -6,11 +6,16 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from . import embedding_dedup as em
 from . import exact_dedup as ed
+from . import langid as li
 from . import mixing as mx
 from . import packing as pk
+from . import simhash as sh
+from . import substring_dedup as sd
 from . import token_files as tf
 from .tokenize import default_tokenizer
 
@@ -19,10 +24,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sh.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sd.remove_repeats(table(spark, sf_dir, "documents"), length=35).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pk.best_fit_packing(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return em.embedding_near_dedup(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ed.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -38,10 +56,32 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tf.read_token_files(spark, folder)
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return li.identify(docs, li.fit_on_training_rows(docs)).select(
+        "doc_id", li.held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_best_fit_packing, op6_exact_dedup, op7_mixing, op8_token_files)}
+    f.__name__: f for f in (op1_simhash_near_dedup, op2_substring_dedup, op4_best_fit_packing, op5_embedding_near_dedup, op6_exact_dedup, op7_mixing, op8_token_files,
+                              op9_language_id)}
 
 ORACLES: dict[str, str] = {
+    "op5_embedding_near_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+                  ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98),
+        reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+        least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+        n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links,
+               least(e.vec_id, coalesce(least.b, e.vec_id)) AS component_id,
+               e.vec_id <= coalesce(least.b, e.vec_id) AS kept
+        FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN least ON least.a = e.vec_id""",
     "op6_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
