@@ -31,3 +31,12 @@ def words(text: Column) -> Column:
 def n_words(text: Column) -> Column:
     t = trimmed(text)
     return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, SPACE_CLASS))).cast("long")
+
+
+def rows_with(docs: DataFrame, keys: DataFrame, named: dict[str, Column]) -> DataFrame:
+    """The rows of ``docs``, its columns alone, whose ``named`` values are a row of ``keys``."""
+    match = F.lit(True)
+    for k, (name, value) in enumerate(named.items()):
+        match = match & value.eqNullSafe(F.col(f"_key_{k}_"))
+    keys = keys.select(*[F.col(name).alias(f"_key_{k}_") for k, name in enumerate(named)])
+    return docs.join(keys, match, "left_semi")

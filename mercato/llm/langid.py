@@ -152,6 +152,18 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         .mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns, whose ``text`` the model doesn't call ``und``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            yield batch.filter(pa.array([own.predict(t)[0] != "und" for t in batch.column("text").to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(doc_id: str = "doc_id"):
     """True for the quarter of ids that training never sees (a null id is never held out)."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -15,9 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words, pinned
+from .common import n_words, pinned, trimmed
 
 BUCKETS = 4096
+MAX_SENT = 100_000                 # sources whose plan is sent to every task
 WEIGHTS = (5, 2, 1)
 
 
@@ -52,35 +53,62 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epo
                     .otherwise(F.least(share, F.col("_cap").cast("double"))).alias("target"))
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3, seed: str = "mix") -> DataFrame:
-    """One row per row of ``docs`` (``doc_id``, ``text``, ``source``): doc_id, size, source, source_size,
-    target, repeats, taken (= repeats x size).
+def mixing_plan(own: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataFrame:
+    """One row a source: source, source_size, target, whole repetitions, and where the next one ends.
 
-    A document's size is its number of words (null text: 0).  Documents without words are never
-    repeated.  Equal ids get equal decisions within a source; reruns agree.  An empty table gives
-    an empty result; other columns are ignored."""
-    own = pinned(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
-                 .withColumn("_bucket", _hash(seed, 1) % BUCKETS).withColumn("_fine", _hash(seed, 9)))
+    ``own`` has source, size and the seeded ``_bucket`` of every document."""
     sums = own.groupBy("source", "_bucket").agg(F.sum("size").alias("_mass"))
     targets = pinned(source_targets(sums.groupBy("source").agg(F.sum("_mass").alias("source_size")), weights, max_epochs))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     targets = targets.withColumn("_whole", whole).withColumn("_rest", F.col("target") - F.col("_whole") * F.col("source_size"))
-
-    def match(left: DataFrame, right: DataFrame) -> DataFrame:
-        right = right.withColumnRenamed("source", "_source")
-        return left.join(right, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-
     # the bucket in which a source's rest runs out, and the share of it that is taken
     upto = F.sum("_mass").over(Window.partitionBy("source").orderBy("_bucket"))
-    cut = match(sums.withColumn("_upto", upto), targets.select("source", "_rest")) \
+    share = (F.col("_rest") - F.col("_upto") + F.col("_mass")) / F.col("_mass")
+    cut = _match(sums.withColumn("_upto", upto), targets.select("source", "_rest")) \
         .filter((F.col("_upto") > F.col("_rest")) & (F.col("_mass") > 0)) \
-        .groupBy("source").agg(F.min(F.struct("_bucket", ((F.col("_rest") - F.col("_upto") + F.col("_mass")) / F.col("_mass"))
-                                              .alias("share"))).alias("_cut"))
-    plan = pinned(targets.join(cut.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")), "left")
-                  .drop("_source"))
-    more = F.when(F.col("_cut").isNull(), F.lit(0)).when(F.col("_bucket") < F.col("_cut._bucket"), F.lit(1)) \
-        .when((F.col("_bucket") == F.col("_cut._bucket")) & (F.col("_fine") < F.col("_cut.share") * (1 << 28)), F.lit(1)) \
-        .otherwise(F.lit(0))
-    return match(own, plan).withColumn("repeats", F.when(F.col("size") > 0, F.col("_whole") + more).otherwise(0).cast("long")) \
+        .groupBy("source").agg(F.min(F.struct("_bucket", share.alias("share"))).alias("_cut"))
+    return pinned(_match(targets, cut, "left").select("source", "source_size", "target", "_whole", "_cut"))
+
+
+def _match(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    right = right.withColumnRenamed("source", "_source")
+    return left.join(right, F.col("source").eqNullSafe(F.col("_source")), how).drop("_source")
+
+
+def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """The table of sources is sent to every task while it is small, which is checked."""
+    return _match(rows, F.broadcast(plan) if plan.count() <= MAX_SENT else plan)
+
+
+def _repeats(size: Column, bucket: Column, fine: Column) -> Column:
+    more = F.when(F.col("_cut").isNull(), F.lit(0)).when(bucket < F.col("_cut._bucket"), F.lit(1)) \
+        .when((bucket == F.col("_cut._bucket")) & (fine < F.col("_cut.share") * (1 << 28)), F.lit(1)).otherwise(F.lit(0))
+    return F.when(size > 0, F.col("_whole") + more).otherwise(0).cast("long")
+
+
+def _sized(docs: DataFrame, seed: str) -> DataFrame:
+    return pinned(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
+                  .withColumn("_bucket", _hash(seed, 1) % BUCKETS).withColumn("_fine", _hash(seed, 9)))
+
+
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3, seed: str = "mix") -> DataFrame:
+    """One row per row of ``docs`` (``doc_id``, ``text``, ``source``): doc_id, size, source, source_size,
+    target, repeats, taken (= repeats x size).
+
+    A document's size is its number of words (null text: 0).  Documents without words are never
+    repeated.  Equal ids get equal decisions within a source; reruns agree.  An empty table gives
+    an empty result; other columns are ignored."""
+    own = _sized(docs, seed)
+    rows = _with_plan(own, mixing_plan(own, weights, max_epochs))
+    return rows.withColumn("repeats", _repeats(F.col("size"), F.col("_bucket"), F.col("_fine"))) \
         .select("doc_id", "size", "source", "source_size", "target", "repeats",
                 (F.col("repeats") * F.col("size")).alias("taken"))
+
+
+def repeated(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3, seed: str = "mix") -> DataFrame:
+    """The rows of ``docs``, all columns, as often as ``mix_sources`` takes them."""
+    plan = mixing_plan(_sized(docs, seed), weights, max_epochs)
+    columns = docs.columns
+    taken = _with_plan(docs, plan.withColumnsRenamed({"source_size": "_source_size", "target": "_target"}))
+    times = _repeats(F.length(trimmed(F.col("text"))), _hash(seed, 1) % BUCKETS, _hash(seed, 9))
+    return taken.select(*columns, F.explode(F.array_repeat(F.lit(0), times.cast("int"))).alias("_again")).drop("_again")

@@ -12,8 +12,10 @@ from ..session import ensure_checkpoint_dir
 from . import embedding_dedup as em
 from . import exact_dedup as ed
 from . import langid as li
+from . import licenses as lc
 from . import mixing as mx
 from . import packing as pk
+from . import private_data as pd
 from . import simhash as sh
 from . import substring_dedup as sd
 from . import token_files as tf
@@ -33,6 +35,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lc.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pk.best_fit_packing(table(spark, sf_dir, "documents"), default_tokenizer())
 
@@ -62,9 +68,13 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", li.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op10_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pd.replace_private_data(table(spark, sf_dir, "documents"), key="surrogate-key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_substring_dedup, op4_best_fit_packing, op5_embedding_near_dedup, op6_exact_dedup, op7_mixing, op8_token_files,
-                              op9_language_id)}
+    f.__name__: f for f in (op1_simhash_near_dedup, op2_substring_dedup, op3_license_scan, op4_best_fit_packing, op5_embedding_near_dedup, op6_exact_dedup, op7_mixing, op8_token_files,
+                              op9_language_id, op10_private_data)}
 
 ORACLES: dict[str, str] = {
     "op5_embedding_near_dedup": """

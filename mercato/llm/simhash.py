@@ -23,10 +23,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pinned
+from .common import pinned, rows_with
 from .graph import connected_components
 from .tokenize import text_batches
 
@@ -55,15 +55,17 @@ def fingerprint(text: bytes, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long, for every row of ``docs``."""
+    """(doc_id, digest, fp): the text's hash and its fingerprint, signed longs, for every row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, "text", BATCH_BYTES):
             texts = pc.fill_null(batch.column("text").cast(pa.large_binary()), b"").to_pylist()
             fp = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(fp)], names=["doc_id", "fp"])
+            yield pa.record_batch([batch.column("doc_id"), batch.column("digest"), pa.array(fp)],
+                                  names=["doc_id", "digest", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("digest"), "text") \
+        .mapInArrow(run, "doc_id long, digest long, fp long")
 
 
 def position_sets(max_bits: int) -> list[tuple[int, ...]]:
@@ -150,13 +152,7 @@ def near_edges(fps: DataFrame, max_bits: int, posting: int = POSTING) -> DataFra
     return edges.distinct()
 
 
-def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """One row per row of ``docs`` (``doc_id``, ``text``): doc_id, fingerprint (16 hex digits), component_id.
-
-    Fingerprints at ``max_bits`` or fewer differing bits are linked; component_id is the smallest
-    doc_id that links reach, the document's own included.  Texts without words, empty and null ones
-    have fingerprint zero and are linked like any other.  Rows with a null doc_id take part; they
-    have a null component_id only where no id is reachable.  Other columns are ignored."""
+def _components(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
     own = pinned(fingerprints(docs, shingle))
     first = pinned(own.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = connected_components(near_edges(first.select("fp"), max_bits))
@@ -164,8 +160,24 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3) ->
                    .withColumn("root", F.coalesce("root", "fp")))
     smallest = first.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = pinned(first.join(smallest, "root").select("fp", "component_id"))
-    return own.join(classes, "fp").select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+    return own.join(classes, "fp")
+
+
+def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """One row per row of ``docs`` (``doc_id``, ``text``): doc_id, fingerprint (16 hex digits), component_id.
+
+    Fingerprints at ``max_bits`` or fewer differing bits are linked; component_id is the smallest
+    doc_id that links reach, the document's own included.  Texts without words, empty and null ones
+    have fingerprint zero and are linked like any other.  Rows with a null doc_id take part; they
+    have a null component_id only where no id is reachable.  Other columns are ignored."""
+    return _components(docs, shingle, max_bits).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
 
+def keep_one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """The rows of ``docs``, all columns, whose doc_id is their component's smallest.
 
-def hex_digits(fp: Column) -> Column:
-    return F.lower(F.lpad(F.hex(fp), 16, "0"))
+    Rows without an id stay only in components that hold no id."""
+    kept = _components(docs, shingle, max_bits).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
+        .select("doc_id", "digest").distinct()
+    return rows_with(docs, kept, {"doc_id": F.col("doc_id"), "digest": F.xxhash64("text")})
