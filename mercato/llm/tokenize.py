@@ -23,7 +23,7 @@ _WHOLE = "[\\s\\x{0b}\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\
 _MARK = "\x02"                      # leads pieces that begin with a line break
 _ALONE = re.compile(r"\s$|^$|<\|")
 _GROUP = 2000                      # distinct pieces encoded as one string
-_KEEP = 400_000                    # pieces remembered between batches
+_KEEP = 200_000                    # pieces remembered between batches
 
 
 def default_tokenizer() -> str:
