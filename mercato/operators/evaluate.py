@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import exact_sequence
+from .sequence import running_total
 
 
 def _div0(a, b):
@@ -38,14 +38,13 @@ def binary_metrics(pred: DataFrame, label: str = "label", prediction: str = "pre
 def roc_auc(pred: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Exact ROC AUC (one row ``auc_roc``; NULL when one class is absent).
 
-    Rows get exact global positions in score order (distributed range sort); the
-    rows of one distinct score occupy positions [lo, hi] and share the average
-    rank (lo + hi) / 2, so the positive rank sum is one grouped aggregate."""
+    Equal scores are counted first, so a score that most rows share is one row per
+    task; the rows of one distinct score cover ranks [lo, hi] of a running total and
+    share the average rank (lo + hi) / 2."""
     rows = pred.select(F.col(score).cast("double").alias("_s"),
                        F.when(F.col(label) == 1, 1).otherwise(0).alias("_y"))
-    ranked = exact_sequence(rows, ["_s"], out="_pos")
-    per = ranked.groupBy("_s").agg(F.min("_pos").alias("_lo"), F.max("_pos").alias("_hi"),
-                                  F.sum("_y").alias("_np"), F.count(F.lit(1)).alias("_n"))
+    per = running_total(rows.groupBy("_s").agg(F.sum("_y").alias("_np"), F.count(F.lit(1)).alias("_n")),
+                        ["_s"], "_n", out="_hi").withColumn("_lo", F.col("_hi") - F.col("_n") + 1)
     return per.agg(F.sum(F.col("_np") * (F.col("_lo") + F.col("_hi")) / 2.0).alias("_rs"),
                    F.sum("_np").cast("double").alias("_np"),
                    F.sum("_n").cast("double").alias("_n")).select(

@@ -36,21 +36,16 @@ def geo_by_zip(geolocation: DataFrame) -> DataFrame:
                  modal("geolocation_state").alias("geolocation_state")))
 
 
-# zip prefixes are 5-digit codes, so the per-zip geography has at most this many rows
-MAX_ZIP_PREFIXES = 100_000
-
-
 def attach_geo(df: DataFrame, geo_zip: DataFrame, role: str) -> DataFrame:
     """J1/J2 + P1: left-join zip geography, renamed with the role prefix.  The
-    per-zip table is bounded by the zip-prefix domain (``MAX_ZIP_PREFIXES`` rows,
-    a few MB), so it is broadcast and the large side is never shuffled for it."""
+    join strategy is left to the optimiser, which knows the size of the per-zip table."""
     g = geo_zip.select(
         F.col("geolocation_zip_code_prefix").alias("_zip"),
         F.col("geolocation_lat").alias(f"{role}_lat"),
         F.col("geolocation_lng").alias(f"{role}_lng"),
         F.col("geolocation_city").alias(f"{role}_geo_city"),
         F.col("geolocation_state").alias(f"{role}_geo_state"))
-    return df.join(F.broadcast(g), df[f"{role}_zip_code_prefix"] == g["_zip"], "left").drop("_zip")
+    return df.join(g, df[f"{role}_zip_code_prefix"] == g["_zip"], "left").drop("_zip")
 
 
 def payments_by_order(payments: DataFrame) -> DataFrame:
@@ -125,6 +120,8 @@ MASTER_COLS = ORDER_COLS + [
 
 
 def order_grain(master: DataFrame) -> DataFrame:
-    """One row per order -- its first item row (item numbers are 1-based per
-    order), or the single item-less row.  A narrow filter: no shuffle, no window."""
-    return master.filter(F.coalesce(F.col("order_item_id"), F.lit(1)) == 1)
+    """One row per order -- its item row with the lowest number, or the single
+    item-less row.  The lowest number is a partial aggregate over two columns."""
+    first = master.groupBy(F.col("order_id").alias("_first_order")).agg(F.min("order_item_id").alias("_first_item"))
+    return master.join(first, F.col("order_id").eqNullSafe(F.col("_first_order"))
+                       & F.col("order_item_id").eqNullSafe(F.col("_first_item")), "left_semi")

@@ -11,7 +11,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import exact_sequence
+from .sequence import exact_sequence, pin
 from .stats import column_quantiles
 
 UNKNOWN = "unknown"
@@ -26,7 +26,7 @@ def numeric_and_categorical(df: DataFrame, cols: list[str]) -> tuple[list[str],
 def fit_medians(df: DataFrame, cols: list[str]) -> DataFrame:
     """M1 fit: one row, one exact median per column (one distributed sort)."""
     q = column_quantiles(df, cols, [0.5])
-    return q.groupBy().pivot("column_name", cols).agg(F.first("q_0"))
+    return pin(q.groupBy().pivot("column_name", cols).agg(F.first("q_0")), "medians")
 
 
 def impute_median(df: DataFrame, cols: list[str], medians: DataFrame | None = None) -> DataFrame:
@@ -50,7 +50,7 @@ def fit_label_map(df: DataFrame, col: str) -> DataFrame:
     distinct values are numbered with the distributed exact sequence (no
     single-task window even for a large vocabulary)."""
     vals = df.select(F.col(col).alias("value")).filter(F.col("value").isNotNull()).distinct()
-    return exact_sequence(vals, ["value"], out="code").withColumn("code", (F.col("code") - 1).cast("int"))
+    return pin(exact_sequence(vals, ["value"], out="code").withColumn("code", (F.col("code") - 1).cast("int")), "label_map")
 
 
 def apply_label_map(df: DataFrame, col: str, mapping: DataFrame, out: str | None = None) -> DataFrame:

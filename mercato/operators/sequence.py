@@ -1,42 +1,29 @@
-"""Exact, skew-safe row numbering without a single-task window.
-
-``row_number() OVER (PARTITION BY k ORDER BY o)`` puts every row of a key into
-one task, and without a PARTITION BY it puts the whole table into one task.  Here
-the table is range-partitioned on ``(k, o)`` by ``orderBy`` -- so even a key
-holding a third of all rows is spread over many tasks -- and
-
-1. inside each sorted range partition one streaming pass numbers the rows of each
-   key (Arrow batches through ``mapInPandas``, carrying the open run across
-   batches), in the same stage as the sort;
-2. the result is written once to the shared checkpoint folder and read back
-   (range boundaries come from sampling; the written table pins one partitioning
-   for the two uses below and survives executor loss);
-3. only keys that straddle a partition boundary need an offset: the per-partition
-   first/last key summary has one row per partition, so the offset table is
-   bounded by the partition count and is broadcast.
-
-Fast path: when the groups are *proven* small -- one aggregation over the key
-columns shows the largest group has at most ``MAX_WINDOW_GROUP`` rows -- a plain
-``row_number()`` window is used, since no task can then receive more than that
-bound of rows for one key.  Global numbering (no keys) always takes the
-distributed path.
+"""Exact, skew-safe row numbering and running totals without a single-task window.
+
+``row_number() OVER (PARTITION BY k ORDER BY o)`` puts every row of a key into one task, and
+without a PARTITION BY it puts the whole table into one task.  Here the table is sorted by
+``(k, o)`` and a seeded random number, so that neither a key nor a value that a third of the
+rows have stays in one range partition.  Then
+
+1. ``monotonically_increasing_id`` gives each sorted row its partition and place in it (in the
+   same stage as the sort), and the result is written once to the shared checkpoint folder,
+   which pins one partitioning for the uses below and survives lost executors;
+2. a running sum over one row per partition gives each partition's offset;
+3. a key's first position, a partial aggregate, turns global into per-key positions.
+
+There is one path for tables and groups of every size, and no Python in the tasks.
 """
 
 from __future__ import annotations
 
 import uuid
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
-PID, LOC = "__seq_pid", "__seq_loc"
-
-# largest group a single window task may number (rows); beyond it, the range path
-MAX_WINDOW_GROUP = 1_000_000
+_PID, _AT, _TIE = "__seq_pid", "__seq_at", "__seq_tie"
 
 
 def pin(df: DataFrame, prefix: str = "pinned") -> DataFrame:
@@ -48,46 +35,32 @@ def pin(df: DataFrame, prefix: str = "pinned") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _local_numbering(keys: list[str]):
-    """mapInPandas body: 1-based position of each row within its key's run in the
-    (sorted) partition, plus the partition id."""
-
-    def same_as_previous(pdf: pd.DataFrame, prev: tuple | None) -> pd.Series:
-        if not keys:
-            s = pd.Series(True, index=pdf.index)
-            if prev is None and len(pdf):
-                s.iloc[0] = False
-            return s
-        eq = pd.Series(True, index=pdf.index)
-        for i, k in enumerate(keys):
-            col = pdf[k]
-            shifted = col.shift(1)
-            if prev is not None and len(pdf):
-                shifted.iloc[0] = prev[i]
-            both_null = col.isna() & shifted.isna()
-            eq &= (col == shifted) | both_null
-        if prev is None and len(pdf):
-            eq.iloc[0] = False
-        return eq
-
-    def run(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        prev_key, prev_pos = None, 0
-        for pdf in batches:
-            if len(pdf) == 0:
-                yield pdf.assign(**{PID: pd.Series(dtype="int32"), LOC: pd.Series(dtype="int64")})
-                continue
-            cont = same_as_previous(pdf, prev_key).to_numpy()
-            run_id = (~cont).cumsum()
-            pos = pd.Series(1, index=pdf.index).groupby(run_id).cumsum().to_numpy()
-            if cont[0]:                       # the first run continues the previous batch's run
-                pos[run_id == 0] += prev_pos
-            prev_key = tuple(pdf[k].iloc[-1] for k in keys) if keys else ()
-            prev_pos = int(pos[-1])
-            yield pdf.assign(**{PID: pid, LOC: pos})
-
-    return run
+def _sorted(df: DataFrame, order_by: list[str], keys: list[str]) -> DataFrame:
+    """Globally sorted rows with their partition and place in it, written once."""
+    order = [F.col(c).asc_nulls_first() for c in [*keys, *order_by]]
+    place = F.monotonically_increasing_id()
+    return pin(df.withColumn(_TIE, F.rand(7)).orderBy(*order, _TIE).drop(_TIE)
+                 .withColumn(_AT, place).withColumn(_PID, F.shiftright(_AT, 33))
+                 .withColumn(_AT, F.col(_AT).bitwiseAND(F.lit((1 << 33) - 1))), "sequence")
+
+
+def _with_offset(placed: DataFrame, size: F.Column) -> DataFrame:
+    """Adds ``_before``: ``size`` summed over the earlier partitions (one row per partition)."""
+    per = placed.groupBy(_PID).agg(size.alias("_size"))
+    before = per.select(F.col(_PID).alias("_p"), (F.sum("_size").over(Window.orderBy(_PID)) - F.col("_size")).alias("_before"))
+    return placed.join(F.broadcast(before), F.col(_PID) == F.col("_p")).drop("_p")
+
+
+def _within_key(df: DataFrame, keys: list[str], begin: F.Column, position: str) -> DataFrame:
+    """``position`` less the smallest ``begin`` of the row's key."""
+    if not keys:
+        return df
+    first = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.min(begin).alias("_first"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return df.join(first, same).withColumn(position, F.col(position) - F.col("_first")) \
+        .drop("_first", *[f"_k_{k}" for k in keys])
 
 
 def exact_sequence(df: DataFrame, order_by: list[str], partition_by: list[str] | tuple = (),
@@ -97,42 +70,18 @@ def exact_sequence(df: DataFrame, order_by: list[str], partition_by: list[str] |
 
     ``order_by`` should make the order total (ties are numbered arbitrarily but
     consistently, as in ``row_number``)."""
-    keys = list(partition_by)
-    if keys and max_group_size(df, keys) <= MAX_WINDOW_GROUP:
-        w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-        return df.withColumn(out, F.row_number().over(w).cast("long"))
-    return ranked_by_range(df, order_by, keys, out)
-
-
-def max_group_size(df: DataFrame, keys: list[str]) -> int:
-    """Rows in the largest ``keys`` group (a partial aggregate over the key columns only)."""
-    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return int(r or 0)
-
-
-def ranked_by_range(df: DataFrame, order_by: list[str], keys: list[str], out: str) -> DataFrame:
-    """The distributed path (module docstring, steps 1-3)."""
-    schema = T.StructType(df.schema.fields + [T.StructField(PID, T.IntegerType()),
-                                              T.StructField(LOC, T.LongType())])
-    ordered = df.orderBy(*[F.col(c).asc_nulls_first() for c in keys + list(order_by)])
-    numbered = pin(ordered.mapInPandas(_local_numbering(keys), schema), "sequence")
-
-    # per partition: first key, last key and the size of the last key's run
-    kstruct = F.struct(*[F.col(c) for c in keys]) if keys else F.struct(F.lit(0).alias("_"))
-    per = numbered.groupBy(PID).agg(F.min(kstruct).alias("_first"),
-                                    F.max_by(F.col(LOC), F.struct(kstruct, F.col(LOC))).alias("_last_n"),
-                                    F.max(kstruct).alias("_last"))
-    # offset of partition p's first key = sizes of that key's runs in earlier
-    # partitions; runs of one key are consecutive, so it is a running sum over the
-    # partitions whose last key equals it (<= #partitions rows: a tiny table)
-    w = Window.partitionBy("_last").orderBy(PID).rowsBetween(Window.unboundedPreceding, 0)
-    runs = per.withColumn("_cum", F.sum("_last_n").over(w))
-    prev = runs.select(F.col(PID).alias("_q"), F.col("_last").alias("_k"), "_cum")
-    off = per.join(prev, prev["_k"].eqNullSafe(per["_first"]) & (prev["_q"] < per[PID]), "left") \
-        .groupBy(PID, "_first").agg(F.max("_cum").alias("_before")).filter(F.col("_before").isNotNull())
-    off = off.select(F.col(PID).alias("_o_pid"), F.col("_first").alias("_o_key"), "_before")
-
-    j = numbered.withColumn("_key", kstruct).join(
-        F.broadcast(off), (F.col(PID) == F.col("_o_pid")) & F.col("_key").eqNullSafe(F.col("_o_key")), "left")
-    return (j.withColumn(out, F.col(LOC) + F.coalesce(F.col("_before"), F.lit(0)))
-             .drop(PID, LOC, "_key", "_o_pid", "_o_key", "_before"))
+    placed = _with_offset(_sorted(df, list(order_by), list(partition_by)), F.count(F.lit(1)))
+    placed = placed.withColumn(out, F.col("_before") + F.col(_AT)).drop("_before", _PID, _AT)
+    return _within_key(placed, list(partition_by), F.col(out), out).withColumn(out, F.col(out) + 1)
+
+
+def running_total(df: DataFrame, order_by: list[str], weight: str, partition_by: list[str] | tuple = (),
+                  out: str = "total") -> DataFrame:
+    """Append ``out`` = sum of ``weight`` up to and including each row in ``order_by`` order, restarting
+    for every ``partition_by`` group.  Meant for pre-aggregated rows: one per group and value."""
+    placed = _sorted(df, list(order_by), list(partition_by))
+    placed = _with_offset(placed, F.sum(weight))
+    # a range partition's rows, which one task already held to sort them
+    local = F.sum(weight).over(Window.partitionBy(_PID).orderBy(_AT))
+    placed = placed.withColumn(out, F.col("_before") + local).drop("_before", _PID, _AT)
+    return _within_key(placed, list(partition_by), F.col(out) - F.col(weight), out)

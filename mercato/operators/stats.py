@@ -1,11 +1,11 @@
 """Exact distributed quantiles (linear interpolation, as pandas/numpy).
 
 ``percentile`` keeps every value of a group in one aggregation buffer, so a
-global percentile puts a whole column into one task.  Here values are ranked
-with the skew-safe ``exact_sequence`` (a range-partitioned sort) and only the
-rows at the needed ranks are kept; the result is exact and no task holds more
-than its range partition.  Several columns are handled in ONE sort by
-unpivoting them into ``(column_name, value)`` and ranking per column.
+global percentile puts a whole column into one task.  Here equal values are
+counted first (with map-side combine, so a value that most rows have is one row
+per task), and the distinct values get the range of ranks they cover from a
+running total.  Several columns are handled in ONE sort by unpivoting them into
+``(column_name, value)``.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import exact_sequence
+from .sequence import running_total
 
 
 def quantiles_by(long: DataFrame, keys: list[str], value: str, qs: list[float]) -> DataFrame:
@@ -21,21 +21,25 @@ def quantiles_by(long: DataFrame, keys: list[str], value: str, qs: list[float])
     non-null ``value``s (NULL for an empty group)."""
     vals = long.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     counts = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = exact_sequence(vals, ["_v"], keys, out="_pos")
-    # the 1-based ranks around h = (n-1)q: floor(h)+1 and ceil(h)+1
+    ranked = running_total(vals.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")), ["_v"], "_c", keys, out="_to")
+    # a value covers the 1-based ranks (_to - _c, _to]; those wanted are floor(h)+1 and ceil(h)+1, h = (n-1)q
     targets = counts.select(*keys, *[(F.lit(q) * (F.col("_n") - 1)).alias(f"_h{i}")
                                      for i, q in enumerate(qs)])
     j = ranked.join(targets, keys, "inner") if keys else ranked.crossJoin(F.broadcast(targets))
+
+    def covers(rank: F.Column) -> F.Column:
+        return (rank <= F.col("_to")) & (rank > F.col("_to") - F.col("_c"))
+
     want = None
     for i, _ in enumerate(qs):
         h = F.col(f"_h{i}")
-        c = (F.col("_pos") == F.floor(h) + 1) | (F.col("_pos") == F.ceil(h) + 1)
+        c = covers(F.floor(h) + 1) | covers(F.ceil(h) + 1)
         want = c if want is None else (want | c)
     picks = []
     for i, _ in enumerate(qs):
         h = F.col(f"_h{i}")
-        picks.append(F.max(F.when(F.col("_pos") == F.floor(h) + 1, F.col("_v"))).alias(f"_lo{i}"))
-        picks.append(F.max(F.when(F.col("_pos") == F.ceil(h) + 1, F.col("_v"))).alias(f"_hi{i}"))
+        picks.append(F.max(F.when(covers(F.floor(h) + 1), F.col("_v"))).alias(f"_lo{i}"))
+        picks.append(F.max(F.when(covers(F.ceil(h) + 1), F.col("_v"))).alias(f"_hi{i}"))
         picks.append(F.first(h).alias(f"_h{i}"))
     near = j.filter(want)
     agg = near.groupBy(*keys).agg(*picks) if keys else near.agg(*picks)

@@ -28,19 +28,20 @@ def clean_reviews(df: DataFrame, id_col: str = "review_id") -> DataFrame:
 def terms(df: DataFrame, text_col: str, id_col: str, ngram_max: int = 2, keep: tuple = ()) -> DataFrame:
     """``(doc_id, *keep, term, tf)``: counts of unigrams and bigrams per document.
 
-    Tokens (2+ characters) are exploded with their position; a bigram is a token
-    and the next kept token (``lead`` within the document -- one document is one
-    row, so the window never spans more than one document's tokens).  The
-    following group-by on (doc, term) reuses the document partitioning."""
+    Tokens (2+ characters) and the bigrams of consecutive tokens are built inside the
+    row's own array, so nothing is shuffled or sorted before the counts are combined
+    in each task, and rows that share an id never form bigrams with each other."""
     toks = F.filter(F.split(fold_accents(F.col(text_col)), " "), lambda t: F.length(t) >= 2)
-    p = df.select(F.col(id_col).alias("doc_id"), *keep, F.posexplode(toks).alias("_pos", "term"))
-    if ngram_max >= 2:
-        nxt = F.lead("term").over(Window.partitionBy("doc_id").orderBy("_pos"))
-        p = p.withColumn("_next", nxt).select(
-            "doc_id", *keep, F.explode(F.array(F.col("term"), F.when(F.col("_next").isNotNull(),
-                                       F.concat(F.col("term"), F.lit(" "), F.col("_next"))))).alias("term"))
-        p = p.filter(F.col("term").isNotNull())
-    return p.groupBy("doc_id", *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+    def both(t):
+        last = F.size(t) - 1
+        pairs = F.when(last < 1, F.array().cast("array<string>")).otherwise(F.transform(
+            F.sequence(F.lit(0), F.greatest(last, F.lit(1)) - 1), lambda i: F.concat(t[i], F.lit(" "), t[i + 1])))
+        return F.concat(t, pairs)
+
+    each = F.transform(F.array(toks), both)[0] if ngram_max >= 2 else toks
+    return df.select(F.col(id_col).alias("doc_id"), *keep, F.explode(each).alias("term")) \
+        .groupBy("doc_id", *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def _vocabulary(stats: DataFrame, n_docs: DataFrame, max_features: int, min_df: int,

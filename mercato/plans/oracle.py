@@ -53,10 +53,14 @@ b_payments AS (
 b_reviews AS (
   SELECT e.event_id AS review_id, e.event_id // 2 AS order_id,
          CAST(1 + (e.event_id * 7 + e.user_id) % 5 AS INTEGER) AS review_score,
-         CASE WHEN e.event_type = 'purchase' THEN 'title ' || e.event_type END AS review_comment_title,
+         CASE WHEN e.event_type = 'purchase' THEN
+           CASE e.event_id % 3
+             WHEN 0 THEN (['excelente', 'ótimo', 'perfeito', 'adorei', 'parabéns', 'recomendo', 'rápido'])[1 + (e.event_id // 3) % 7]
+             WHEN 1 THEN (['ruim', 'péssimo', 'não', 'atraso', 'defeito', 'problema'])[1 + (e.event_id // 3) % 6]
+             ELSE 'title ' || e.event_type END END AS review_comment_title,
          CASE WHEN e.event_type <> 'error' THEN d.text END AS review_comment_message,
          e.ts AS review_creation_date, e.ts AS review_answer_timestamp
-  FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id % 200),
+  FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents)),
 b_sellers AS (
   SELECT s.s_suppkey AS seller_id, s.s_nationkey * 10 + s.s_suppkey % 10 AS seller_zip_code_prefix,
          'city_' || CAST(s.s_suppkey % 50 AS VARCHAR) AS seller_city, n.n_name AS seller_state

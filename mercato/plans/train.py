@@ -119,7 +119,7 @@ def train_delay(master: DataFrame, params: TreeParams | None = None) -> TrainRes
     params = params or TreeParams(max_depth=6)
     d = fe.delay_features(master).select("order_id", "order_purchase_timestamp", "is_delayed", *DELAY_FEATURES)
     d, maps, medians = pp.prepare_features(d, DELAY_FEATURES)
-    d = sp.temporal_split(d, ["order_purchase_timestamp", "order_id"])
+    d = pin(sp.temporal_split(d, ["order_purchase_timestamp", "order_id"]), "delay_prepared")
     r = _classify(d, DELAY_FEATURES, "is_delayed", params)
     r.extras.update(label_maps=maps, medians=medians)
     return r
@@ -129,8 +129,7 @@ def train_churn_ltv(master: DataFrame, params: TreeParams | None = None) -> Trai
     """T2 + T3: churn classifier and LTV regressor on the customer table (temporal
     split on last purchase, stratified fallback when train has one class)."""
     params = params or TreeParams(max_depth=5)
-    c = fe.customer_features(master)
-    c = sp.churn_split(c)
+    c = pin(sp.churn_split(pin(fe.customer_features(master), "customers")), "customer_split")
     churn_prep, churn_maps, churn_medians = pp.prepare_features(c, CHURN_FEATURES)
     churn = _classify(churn_prep, CHURN_FEATURES, "is_churn", params, prefix="churn_")
     ltv_prep, ltv_maps, ltv_medians = pp.prepare_features(c, LTV_FEATURES)
@@ -186,15 +185,15 @@ def train_sentiment(reviews: DataFrame, c: float = 1.0, max_iter: int = 1000, ma
         .withColumn("label", F.col("label").cast("double")) \
         .select("review_id", "sentiment", "split", "label", "features").persist()
     train = pp.with_balanced_weights(vec.filter(F.col("split") == "train"), "sentiment", "weight")
-    test = vec.filter(F.col("split") == "test")
     n_train = train.count()
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", family="multinomial",
                             regParam=1.0 / (c * max(n_train, 1)), elasticNetParam=0.0, standardization=False,
                             maxIter=max_iter, tol=1e-6)
     model = lr.fit(train)
-    pred = model.transform(test).withColumn("confidence", F.array_max(vector_to_array("probability")))
-    pred = pin(pred.select("review_id", "sentiment", "label", "prediction", "confidence"), "sentiment_pred")
-    m = _materialize(ev.multiclass_metrics(pred, "label", "prediction").crossJoin(_split_sizes(vec)))
+    pred = model.transform(vec).withColumn("confidence", F.array_max(vector_to_array("probability")))
+    pred = pin(pred.select("review_id", "sentiment", "split", "label", "prediction", "confidence"), "sentiment_pred")
+    m = _materialize(ev.multiclass_metrics(pred.filter(F.col("split") == "test"), "label", "prediction")
+                     .crossJoin(_split_sizes(vec)))
     vec.unpersist()
     classes = pin(classes, "sentiment_classes")
     return TrainResult(m, model, {"vocab": vocab, "classes": classes, "predictions": pred})

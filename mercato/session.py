@@ -41,8 +41,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster configured.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder and
-    is used as is.  Only when it is unset -- local tests -- a private scratch
-    folder is created.
+    is used as is.  Where it is unset a private scratch folder is created in local
+    mode; on a cluster that would be another folder on each machine, so it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="mercato-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.scoring import NEGATIVE_WORDS, POSITIVE_WORDS
 from ..operators.sequence import exact_sequence
 
 # fixed values: order status codes of the test data -> marketplace statuses
@@ -104,17 +105,19 @@ def bind_items_and_payments(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 def bind_reviews(spark, sf_dir) -> DataFrame:
     e = _read(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
-    # at most 200 documents (doc_id is the key and is filtered to [0, 200)):
-    # a broadcast with a proven size bound
-    d = _read(spark, sf_dir, "documents", ["doc_id", "text"]) \
-        .filter((F.col("doc_id") >= 0) & (F.col("doc_id") < 200))
-    j = e.join(F.broadcast(d), (e.event_id % 200) == d.doc_id, "left")
+    d = _read(spark, sf_dir, "documents", ["doc_id", "text"])
+    n = _read(spark, sf_dir, "documents", ["doc_id"]).agg(F.count(F.lit(1)).alias("_n"))   # one row
+    e = e.crossJoin(F.broadcast(n)).withColumn("_doc", F.try_mod(F.col("event_id"), F.col("_n")))
+    j = e.join(d, F.col("_doc") == F.col("doc_id"), "left")
+    word = F.expr("event_id div 3")
+    title = (F.when(F.col("event_id") % 3 == 0, F.array(*map(F.lit, POSITIVE_WORDS))[(word % len(POSITIVE_WORDS)).cast("int")])
+             .when(F.col("event_id") % 3 == 1, F.array(*map(F.lit, NEGATIVE_WORDS))[(word % len(NEGATIVE_WORDS)).cast("int")])
+             .otherwise(F.concat(F.lit("title "), F.col("event_type"))))
     return j.select(
         F.col("event_id").alias("review_id"),
         F.expr("event_id div 2").alias("order_id"),
         (F.lit(1) + (F.col("event_id") * 7 + F.col("user_id")) % 5).cast("int").alias("review_score"),
-        F.when(F.col("event_type") == "purchase", F.concat(F.lit("title "), F.col("event_type")))
-         .alias("review_comment_title"),
+        F.when(F.col("event_type") == "purchase", title).alias("review_comment_title"),
         F.when(F.col("event_type") != "error", F.col("text")).alias("review_comment_message"),
         F.col("ts").alias("review_creation_date"),
         F.col("ts").alias("review_answer_timestamp"))
