@@ -5,8 +5,8 @@ borders) of the labelled rows, by language.  A word is scored by its per-languag
 frequency if the model knows it; else by its n-grams of the longest length of which the
 model knows any.  A document's score for a language is the mean over its words.
 
-Counts cover all labelled rows; the model keeps the ``MAX_WORDS`` most frequent words and
-``MAX_GRAMS`` most frequent n-grams, which bounds what is broadcast.
+Counts cover all labelled rows; the model keeps at most ``MAX_WORDS`` words and ``MAX_GRAMS``
+n-grams, the most frequent ones, which bounds what is collected and broadcast.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import pinned
 from .tokenize import text_batches
 
 MAX_N = 4
@@ -37,100 +38,136 @@ def grams(word: str, n: int) -> list[str]:
     return [padded[i:i + n] for i in range(len(padded) - n + 1)]
 
 
-def counts(labelled: DataFrame) -> DataFrame:
-    """(lang, n, gram, count) over rows of (lang, text); n is 0 for words."""
+def word_counts(labelled: DataFrame) -> DataFrame:
+    """(lang, gram, count) of the words of rows of (lang, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {}
         for batch in text_batches(batches, "text", BATCH_BYTES):
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                held.setdefault(lang, Counter()).update(LETTERS.findall((text or "").lower()))
+                held.setdefault(lang, Counter()).update(LETTERS.findall(text.lower()))
             if sum(map(len, held.values())) > FLUSH:
-                yield _counted(held)
+                yield _counted((x, w, c) for x, words in held.items() for w, c in words.items())
                 held = {}
-        yield _counted(held)
+        yield _counted((x, w, c) for x, words in held.items() for w, c in words.items())
 
-    return labelled.select("lang", "text").mapInArrow(run, "lang string, n int, gram string, count long") \
-        .groupBy("lang", "n", "gram").agg(F.sum("count").alias("count"))
+    return labelled.select("lang", "text").mapInArrow(run, "lang string, gram string, count long") \
+        .groupBy("lang", "gram").agg(F.sum("count").alias("count"))
 
 
-def _counted(held: dict[str, Counter]) -> pa.RecordBatch:
-    rows: list[tuple[str, int, str, int]] = []
-    for lang, words in held.items():
-        rows.extend((lang, 0, w, c) for w, c in words.items())
-        for n in range(1, MAX_N + 1):
-            own: Counter = Counter()
-            for w, c in words.items():
-                for g in grams(w, n):
-                    own[g] += c
-            rows.extend((lang, n, g, c) for g, c in own.items())
-    cols = zip(*rows) if rows else ([], [], [], [])
-    return pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), pa.string(), pa.int64()))],
-                           names=["lang", "n", "gram", "count"])
+def gram_counts(words: DataFrame) -> DataFrame:
+    """(lang, gram, count) of the n-grams of counted words; a gram's length tells its n and border."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, str], int] = {}
+        for batch in batches:
+            for lang, word, count in zip(*(batch.column(c).to_pylist() for c in ("lang", "gram", "count"))):
+                for n in range(1, MAX_N + 1):
+                    for g in grams(word, n):
+                        held[lang, g] = held.get((lang, g), 0) + count
+            if len(held) > FLUSH:
+                yield _counted((x, g, c) for (x, g), c in held.items())
+                held = {}
+        yield _counted((x, g, c) for (x, g), c in held.items())
+
+    return words.select("lang", "gram", "count").mapInArrow(run, "lang string, gram string, count long") \
+        .groupBy("lang", "gram").agg(F.sum("count").alias("count"))
+
+
+def _counted(rows) -> pa.RecordBatch:
+    cols = list(zip(*rows)) or [(), (), ()]
+    return pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64()))],
+                           names=["lang", "gram", "count"])
+
+
+class _Rows(dict):
+    """Row numbers of words in a growing table; a word that is asked for first is scored then."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model, self.n = model, 1
+        self.table = np.zeros((1 << 16, len(model.langs)))       # row 0: not a letter is known
+
+    def __missing__(self, w: str) -> int:
+        score = self.model.score(w)
+        k = 0
+        if score is not None:
+            if self.n == len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            k, self.n = self.n, self.n + 1
+            self.table[k] = score
+        self[w] = k
+        return k
 
 
 class Model:
-    """Log frequencies by language: one row of ``table`` for each known word or n-gram."""
+    """Log frequencies by language: one row of ``table`` for each known word and n-gram."""
 
-    def __init__(self, langs: list[str], index: dict[tuple[int, str], int], table: np.ndarray):
-        self.langs, self.index, self.table = langs, index, table
-        self._words: dict[str, np.ndarray | None] = {}
+    def __init__(self, langs: list[str], words: dict[str, int], grams: dict[str, int], table: np.ndarray):
+        self.langs, self.words, self.grams, self.table = langs, words, grams, table
+        self._rows: _Rows | None = None
 
     def __getstate__(self):
-        return {"langs": self.langs, "index": self.index, "table": self.table, "_words": {}}
+        return self.__dict__ | {"_rows": None}
 
-    def word(self, w: str) -> np.ndarray | None:
+    def score(self, w: str) -> np.ndarray | None:
         """A word's log frequencies; null if not even a letter of it is known."""
-        if w not in self._words:
-            if len(self._words) > FLUSH:
-                self._words.clear()
-            self._words[w] = self._score(w)
-        return self._words[w]
-
-    def _score(self, w: str) -> np.ndarray | None:
-        if (k := self.index.get((0, w))) is not None:
+        if (k := self.words.get(w)) is not None:
             return self.table[k]
         for n in range(MAX_N, 0, -1):
-            if known := [k for g in grams(w, n) if (k := self.index.get((n, g))) is not None]:
-                return self.table[known].mean(axis=0)
+            if known := [k for g in grams(w, n) if (k := self.grams.get(g)) is not None]:
+                return self.table[known].sum(axis=0) / len(known)
         return None
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = Counter(LETTERS.findall((text or "").lower()))
         if not words or not self.langs:
             return "und", 0.0
-        found = [(v, c) for w, c in words.items() if (v := self.word(w)) is not None]
-        if not found:
+        if self._rows is None or len(self._rows) > FLUSH:
+            self._rows = _Rows(self)
+        rows = np.fromiter(map(self._rows.__getitem__, words), np.int64, len(words))
+        weight = np.fromiter(words.values(), float, len(words)) * (rows > 0)
+        total = weight.sum()
+        if not total:
             return self.langs[0], 1.0 / len(self.langs)
-        weight = np.array([c for _, c in found], float)
-        mean = weight @ np.array([v for v, _ in found]) / weight.sum()
-        p = np.exp((mean - mean.max()) * min(weight.sum(), EVIDENCE))
+        mean = weight @ self._rows.table[rows] / total
+        p = np.exp((mean - mean.max()) * min(total, EVIDENCE))
         p /= p.sum()
         best = int(p.argmax())
         return self.langs[best], float(p[best])
 
 
+def most_frequent(counted: DataFrame, most: int) -> DataFrame:
+    """Rows of (gram, total, of) for the most frequent grams, ``most`` at most: all that are more
+    frequent than a bound, which a histogram of log frequencies (under 20,000 rows) gives."""
+    by_gram = pinned(counted.groupBy("gram").agg(
+        F.sum("count").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "count"))).alias("of")))
+    level = F.floor(F.log2("total") * 256)
+    left, least = most, None
+    for r in sorted(by_gram.groupBy(level.alias("level")).count().collect(), reverse=True):
+        if r["count"] > left:
+            break
+        left, least = left - r["count"], r["level"]
+    return by_gram.filter(level >= least) if least is not None else by_gram.limit(0)
+
+
 def fit(labelled: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
     """A model from rows of (lang, text); rows with a null lang or text teach nothing."""
-    all_counts = counts(labelled.filter("lang is not null and text is not null"))
-    by_gram = all_counts.groupBy("n", "gram").agg(
-        F.sum("count").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "count"))).alias("of"))
-    by_gram.persist()
-    try:
-        totals = by_gram.select("n", F.explode("of").alias("lang", "count")).groupBy("n", "lang").agg(F.sum("count")).collect()
-        kinds = dict(by_gram.groupBy("n").count().collect())
-        order = [F.desc("total"), F.asc("n"), F.asc("gram")]
-        kept = by_gram.filter("n = 0").orderBy(*order).limit(max_words).collect() \
-            + by_gram.filter("n > 0").orderBy(*order).limit(max_grams).collect()
-    finally:
-        by_gram.unpersist()
-    langs = sorted({r["lang"] for r in totals})
-    size = {(r[0], r[1]): r[2] for r in totals}
-    index, table = {}, np.zeros((len(kept), len(langs)))
-    for k, r in enumerate(kept):
-        index[r["n"], r["gram"]] = k
-        table[k] = [np.log((r["of"].get(x, 0) + 0.5) / (size.get((r["n"], x), 0) + 0.5 * kinds[r["n"]])) for x in langs]
-    return Model(langs, index, table)
+    words = pinned(word_counts(labelled.filter("lang is not null and text is not null")))
+    found, rows, langs = [], [], sorted(r[0] for r in words.select("lang").distinct().collect())
+    for counted, most in ((words, max_words), (gram_counts(words).withColumn("n", F.length("gram")), max_grams)):
+        counted = pinned(counted)
+        # grams are compared with those of their length, words with words
+        kind = F.col("n") if "n" in counted.columns else F.lit(0)
+        sizes = {(r[0], r[1]): r[2] for r in counted.groupBy(kind.alias("n"), "lang").agg(F.sum("count")).collect()}
+        kinds = {r[0]: r[1] for r in counted.groupBy(kind.alias("n")).agg(F.countDistinct("gram")).collect()}
+        index = {}
+        for r in most_frequent(counted, most).select("gram", "of").collect():
+            n = len(r["gram"]) if "n" in counted.columns else 0
+            index[r["gram"]] = len(rows)
+            rows.append([np.log((r["of"].get(x, 0) + 0.5) / (sizes.get((n, x), 0) + 0.5 * kinds[n])) for x in langs])
+        found.append(index)
+    return Model(langs, *found, np.array(rows, float).reshape(len(rows), len(langs)))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
