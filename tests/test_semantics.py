@@ -73,17 +73,12 @@ def test_round_clean_half(spark):
     assert [r[0] for r in df.select(round_clean("x", 6)).collect()] == [16.650312, 2.675]
 
 
-def test_exact_sequence_matches_row_number_with_hot_key(spark, monkeypatch):
-    # one key holds most rows: numbering must still be exact and restart per key,
-    # both on the bounded-window path and on the range path (forced by a low bound)
-    from mercato.operators import sequence
+def test_exact_sequence_matches_row_number_with_hot_key(spark):
+    # one key holds most rows: numbering must still be exact and restart per key
     rows = [(1, i) for i in range(3000)] + [(k, i) for k in range(2, 50) for i in range(3)]
     df = spark.createDataFrame(rows, "k int, v int").repartition(7)
     got = exact_sequence(df, ["v"], ["k"], "n").collect()
     assert all(r.n == r.v + 1 for r in got) and len(got) == len(rows)
-    monkeypatch.setattr(sequence, "MAX_WINDOW_GROUP", 100)
-    got = exact_sequence(df, ["v"], ["k"], "n").collect()
-    assert all(r.n == r.v + 1 for r in got) and len(got) == len(rows)
     glob = exact_sequence(df, ["k", "v"], [], "g").orderBy("g").collect()
     assert [r.g for r in glob] == list(range(1, len(rows) + 1))
 
@@ -224,11 +219,21 @@ def test_io_roundtrip(spark, tmp_path):
         io.require(df, ["order_id", "missing_col"])
 
 
-def test_exact_sequence_range_path_null_keys(spark, monkeypatch):
+def test_exact_sequence_null_keys(spark):
     # a NULL group large enough to straddle range partitions keeps one numbering
-    from mercato.operators import sequence
-    monkeypatch.setattr(sequence, "MAX_WINDOW_GROUP", 10)
     rows = [(None, i) for i in range(500)] + [(1, i) for i in range(300)] + [(2, 0)]
     df = spark.createDataFrame(rows, "k int, v int").repartition(5)
     got = exact_sequence(df, ["v"], ["k"], "n").collect()
     assert len(got) == len(rows) and all(r.n == r.v + 1 for r in got)
+
+
+def test_exact_sequence_spreads_equal_values_and_keeps_large_longs(spark):
+    # nine rows in ten share one value: no partition of the written sort holds more than its share
+    from mercato.operators.sequence import _AT, _PID, _sorted
+    rows = [(2**53 + 2 * i + 1 if i % 3 else None, 1 if i % 10 else i) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "big long, v int").repartition(8)
+    placed = _sorted(df, ["v"], [])
+    assert max(r["count"] for r in placed.groupBy(_PID).count().collect()) < 6_000
+    got = exact_sequence(df, ["v"], [], "n").collect()
+    assert sorted(r.n for r in got) == list(range(1, 20_001))
+    assert sorted(str(r.big) for r in got) == sorted(str(b) for b, _ in rows)
