@@ -125,7 +125,9 @@ def surrogate_of(key: str) -> Column:
 
 def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canonical, surrogate) for distinct (kind, canonical): no surrogate twice in a kind, none that is an entity."""
-    entities = pinned(entities)
+    # a surrogate costs far more than its row's bytes suggest, so partitions aren't merged by size
+    parts = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entities = pinned(entities.repartition(parts, "kind", "canonical"))
     now = pinned(entities.withColumn("attempt", F.lit(0)).withColumn("surrogate", surrogate_of(key)))
     for _ in range(MAX_ROUNDS):
         first = now.groupBy("kind", "surrogate").agg(F.min("canonical").alias("_first"), F.count("*").alias("_n"))
