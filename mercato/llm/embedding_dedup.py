@@ -4,13 +4,14 @@ Unit vectors at cosine >= t are at squared distance <= 2 - 2t.  After a fixed ra
 the dimensions are split into blocks, and by the pigeonhole principle at least one block of
 a linked pair lies within the block's proportional share of that squared distance.  So each
 block is range-joined under its budget: a vector lives in the grid cell of its first block
-coordinates and visits the neighbouring cells that its range touches.  The union of the
-blocks' candidates is verified by the cosine of the vectors themselves, in double precision.
-
-A pair is taken in the cell that the smaller id lives in, and in the first block whose budget
-it meets, so every link is counted once without a table of pairs: a cell returns one row a
-vector, its number of links and the root of its local component.  Equal vectors are one class
-with a count.  A cell with more than ``CELL`` vectors is split into pairs of parts.
+coordinates and visits the neighbouring cells that its range touches and that come after its
+own.  The union of the blocks' candidates is verified by the cosine of the vectors themselves,
+in double precision.
+
+A pair is taken in the later one of the cells that its vectors live in, and in the first block
+whose budget it meets, so every link is counted once without a table of pairs: a cell returns
+one row a vector, its number of links and the root of its local component.  Equal vectors are
+one class with a count.  A cell with more than ``CELL`` vectors is split into pairs of parts.
 """
 
 from __future__ import annotations
@@ -27,22 +28,25 @@ from .common import pinned
 from .graph import connected_components
 
 BLOCKS = 4
-CELL = 2048
-PER_CELL = 500                     # vectors of the largest label aimed at in a cell
+CELL = 4096
+PER_CELL = 4000                    # vectors of the largest label aimed at in a cell: a copy costs as much as some thousand pairs
 TILE = 512
 SLACK = 1e-9                       # rounding in the range join, before exact verification
 
 _rotations: dict[int, np.ndarray] = {}
 
 
-def rotated(x: np.ndarray) -> np.ndarray:
-    """Unit vectors of the rows of ``x``, rotated; the same for a row whatever stands beside it."""
-    d = x.shape[1]
+def rotation(d: int) -> np.ndarray:
     if d not in _rotations:
         _rotations[d] = np.linalg.qr(np.random.default_rng(d).standard_normal((d, d)))[0]
+    return _rotations[d]
+
+
+def rotated(x: np.ndarray) -> np.ndarray:
+    """Unit vectors of the rows of ``x``, rotated; the same for a row whatever stands beside it."""
     out = np.zeros_like(x)
-    for j in range(d):
-        out += x[:, j, None] * _rotations[d][j]
+    for j, row in enumerate(rotation(x.shape[1])):
+        out += x[:, j, None] * row
     return out / np.sqrt((x * x).sum(axis=1))[:, None]
 
 
@@ -55,8 +59,10 @@ def _matrix(column: pa.Array, rows: np.ndarray, d: int) -> np.ndarray:
     return column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), d)
 
 
-def cells(classes: DataFrame, budget: float, grid_dims: int) -> DataFrame:
-    """(id, embedding, mult, label, block, cell, home): every class in the cells that it lives in or touches."""
+def cells(classes: DataFrame, budget: float, grid_dims: int, carried: str) -> DataFrame:
+    """The ``carried`` columns (a schema) with (block, cell, home): every class in the cell of each
+    block that it lives in and in the later ones that its range touches."""
+    names = [c.split()[0] for c in carried.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,7 +71,7 @@ def cells(classes: DataFrame, budget: float, grid_dims: int) -> DataFrame:
                 of = np.flatnonzero(sizes == d)
                 x = rotated(_matrix(batch.column("embedding"), of, d))
                 for k, (a, b) in enumerate(block_bounds(d)):
-                    radius = np.sqrt(budget * (b - a) / d) + SLACK
+                    radius = np.sqrt(budget * (b - a) / d + SLACK) + SLACK
                     own = x[:, a:min(b, a + grid_dims)]
                     low = np.floor((own - radius) / (2 * radius)).astype(np.int64)
                     high = np.floor((own + radius) / (2 * radius)).astype(np.int64)
@@ -73,17 +79,18 @@ def cells(classes: DataFrame, budget: float, grid_dims: int) -> DataFrame:
                     # a range is one cell wide, so it touches at most two cells a dimension
                     for step in product((0, 1), repeat=own.shape[1]):
                         cell = low + np.array(step)
-                        rows = np.flatnonzero((cell <= high).all(axis=1))
-                        names = ["/".join(map(str, c)) for c in cell[rows].tolist()]
+                        after = np.zeros(len(cell), np.int64)            # by the first coordinate that differs
+                        for j in range(cell.shape[1] - 1, -1, -1):
+                            after = np.where(cell[:, j] != live[:, j], cell[:, j] - live[:, j], after)
+                        rows = np.flatnonzero((cell <= high).all(axis=1) & (after >= 0))
                         picked = batch.take(pa.array(of[rows]))
                         yield pa.record_batch(
-                            [*(picked.column(c) for c in ("id", "embedding", "mult", "label")),
-                             pa.array(np.full(len(rows), k, np.int32)), pa.array([f"{d}:{c}" for c in names], pa.string()),
-                             pa.array((cell[rows] == live[rows]).all(axis=1))],
-                            names=["id", "embedding", "mult", "label", "block", "cell", "home"])
+                            [*(picked.column(c) for c in names), pa.array(np.full(len(rows), k, np.int32)),
+                             pa.array([f"{d}:" + "/".join(map(str, c)) for c in cell[rows].tolist()], pa.string()),
+                             pa.array(after[rows] == 0)], names=[*names, "block", "cell", "home"])
 
     return classes.select("id", "embedding", "mult", "label").mapInArrow(
-        run, "id long, embedding array<float>, mult long, label string, block int, cell string, home boolean")
+        run, f"{carried}, block int, cell string, home boolean")
 
 
 def cell_links(threshold: float):
@@ -101,18 +108,20 @@ def cell_links(threshold: float):
         d = len(emb[0])
         x = _matrix(emb, np.arange(len(ids)), d)
         norm = np.sqrt((x * x).sum(axis=1))
-        r = rotated(x)
         bounds, k = block_bounds(d), table.column("block")[0].as_py()
         share = [budget * (b - a) / d + SLACK for a, b in bounds]
-        own = r[:, bounds[k][0]:bounds[k][1]]
-        square = (own * own).sum(axis=1)
+        own = x @ rotation(d)[:, bounds[k][0]:bounds[k][1]] / norm[:, None]
+        half = (own * own).sum(axis=1) / 2
+        r, known = np.empty_like(x), np.zeros(len(ids), bool)    # whole rotated vectors, of linked rows alone
         first, second = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         left = np.flatnonzero(home & ((part == first) | (part == second)))
         links: list[tuple[np.ndarray, np.ndarray]] = []
         for a in range(0, len(left), TILE):
             p = left[a:a + TILE]
-            near = square[p][:, None] + square[None, :] - 2 * (own[p] @ own.T) <= share[k] + SLACK
-            near &= ids[p][:, None] < ids[None, :]            # the other one lives here too, or visits
+            dot = own[p] @ own.T
+            dot -= half[p][:, None]
+            near = dot >= half - (share[k] + SLACK) / 2          # squared distance within the block's budget
+            near &= (ids[p][:, None] < ids) | ~home              # of two that live here, the smaller id leads
             if first != second:
                 near &= part[p][:, None] != part[None, :]
             u, v = np.nonzero(near)
@@ -121,10 +130,12 @@ def cell_links(threshold: float):
                 y, z = u[c:c + (1 << 16)], v[c:c + (1 << 16)]
                 good = (x[y] * x[z]).sum(axis=1) / (norm[y] * norm[z]) >= threshold
                 y, z = y[good], z[good]
-                earlier = np.zeros(len(y), bool)
-                for (s, t), most in zip(bounds[:k], share):
-                    earlier |= ((r[y, s:t] - r[z, s:t]) ** 2).sum(axis=1) <= most
-                links.append((y[~earlier], z[~earlier]))
+                new = np.unique(np.concatenate([y, z]))
+                new = new[~known[new]]
+                r[new], known[new] = rotated(x[new]), True
+                within = [((r[y, s:t] - r[z, s:t]) ** 2).sum(axis=1) <= most for (s, t), most in zip(bounds[:k + 1], share)]
+                mine = within[k] & ~np.any([*within[:k], np.zeros(len(y), bool)], axis=0)
+                links.append((y[mine], z[mine]))
         y = np.concatenate([np.empty(0, np.int64), *(u for u, _ in links)])
         z = np.concatenate([np.empty(0, np.int64), *(v for _, v in links)])
         n = np.zeros(len(ids), np.int64)
@@ -164,10 +175,11 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.98, grid_dims:
     if grid_dims is None:
         largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 1
         grid_dims = int(min(8, max(1, np.ceil(np.log(max(1, largest / PER_CELL)) / np.log(3)))))
-    placed = cells(classes, 2 - 2 * threshold, grid_dims)
-    by = ["label", "block", "cell"]
-    sizes = placed.groupBy(*by).agg(F.count("*").alias("n")).filter("n > 1") \
+    budget, by = 2 - 2 * threshold, ["label", "block", "cell"]
+    # vectors are placed twice, the first time for the cells' sizes alone: cheaper than to keep all copies
+    sizes = cells(classes, budget, grid_dims, "label string").groupBy(*by).agg(F.count("*").alias("n")).filter("n > 1") \
         .withColumn("parts", F.ceil(F.col("n") / CELL).cast("int"))
+    placed = cells(classes, budget, grid_dims, "id long, embedding array<float>, mult long, label string")
     placed = placed.join(sizes, by).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))) \
         .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
