@@ -174,6 +174,9 @@ def text_batches(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int)
             at = upto
     if held:
         yield merged(held)
+    # worker processes serve other tasks and stages next: freed pages go back to the machine
+    held = []
+    pa.default_memory_pool().release_unused()
 
 
 def merged(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
