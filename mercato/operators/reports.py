@@ -47,14 +47,15 @@ def sales_by_month(master: DataFrame) -> DataFrame:
     og = order_grain(master).withColumn("year_month", month_key("order_purchase_timestamp"))
     return (og.filter(F.col("year_month").isNotNull()).groupBy("year_month")
               .agg(F.countDistinct("order_id").alias("num_orders"),
-                   round_clean(_money_sum("payment_value_total"), 2).alias("revenue")))
+                   round_clean(_money_sum("payment_value_total"), 2).alias("revenue"))
+              .orderBy("year_month"))
 
 
 def orders_by_month(master: DataFrame) -> DataFrame:
     """Orders per purchase month."""
     og = order_grain(master).withColumn("year_month", month_key("order_purchase_timestamp"))
     return (og.filter(F.col("year_month").isNotNull()).groupBy("year_month")
-              .agg(F.count("order_id").alias("num_orders")))
+              .agg(F.count("order_id").alias("num_orders")).orderBy("year_month"))
 
 
 def date_range(master: DataFrame) -> DataFrame:
@@ -67,13 +68,14 @@ def status_distribution(master: DataFrame) -> DataFrame:
     """Orders per status with percentage."""
     c = (order_grain(master).filter(F.col("order_status").isNotNull())
          .groupBy("order_status").agg(F.count("order_id").alias("count")))
-    return _pct(c)
+    return _pct(c).orderBy(F.desc("count"), "order_status")
 
 
 def customers_by_state(master: DataFrame) -> DataFrame:
     """Distinct customers (per-order ids) per customer state."""
     return (master.filter(F.col("customer_state").isNotNull()).groupBy("customer_state")
-                  .agg(F.countDistinct("customer_id").alias("num_customers")))
+                  .agg(F.countDistinct("customer_id").alias("num_customers"))
+                  .orderBy(F.desc("num_customers"), "customer_state"))
 
 
 def top_k(df: DataFrame, value: str, key: str, k: int) -> DataFrame:

@@ -296,6 +296,15 @@ register("delay_target_balance", with_master(f"""
 SELECT is_delayed, count(*) AS count, {pct('count(*)')} AS pct FROM delay GROUP BY 1""", _DELAY_ROWS),
     ("pct",))(lambda s, d: rp.target_balance(fe.delay_features(master_of(s, d)), "is_delayed"))
 
+register("delay_target_balance_by_split", with_master(f"""
+SELECT split, is_delayed, count(*) AS count, {pct('count(*)', 'split')} AS pct
+FROM (SELECT is_delayed, CASE WHEN row_number() OVER (ORDER BY order_purchase_timestamp, order_id)
+                      <= floor(count(*) OVER () * 0.8) THEN 'train' ELSE 'test' END AS split FROM delay) GROUP BY 1, 2""",
+    _DELAY_ROWS), ("pct",))(
+    lambda s, d: rp.target_balance(
+        sp.temporal_split(fe.delay_features(master_of(s, d)).select("order_id", "order_purchase_timestamp", "is_delayed"),
+                          ["order_purchase_timestamp", "order_id"]), "is_delayed", ["split"]))
+
 register("ref_date", with_master("SELECT max(order_purchase_timestamp) AS ref_date FROM master"))(
     lambda s, d: fe.ref_date(master_of(s, d)))
 
@@ -679,7 +688,6 @@ register("keyword_sentiment", with_master(
                                               "confidence"))
 
 register("keyword_sentiment_eval", with_master("""
-WITH_CLASSES""".replace("WITH_CLASSES", """
 SELECT coalesce(CAST(sum(tp) AS DOUBLE) / nullif(sum(support), 0), 0.0) AS accuracy, avg(f1) AS f1_macro,
        coalesce(sum(f1 * support) / nullif(sum(support), 0), 0.0) AS f1_weighted
 FROM (SELECT c, coalesce(tp, 0) AS tp, coalesce(support, 0) AS support,
@@ -687,9 +695,13 @@ FROM (SELECT c, coalesce(tp, 0) AS tp, coalesce(support, 0) AS support,
       FROM (SELECT sentiment AS c, count(*) AS support FROM kw GROUP BY 1) s
       FULL JOIN (SELECT predicted_sentiment AS c, count(*) AS predicted FROM kw GROUP BY 1) p USING (c)
       LEFT JOIN (SELECT sentiment AS c, count(*) AS tp FROM kw WHERE sentiment = predicted_sentiment GROUP BY 1) t
-        USING (c)) per"""), _KEYWORD), ("accuracy", "f1_macro", "f1_weighted"))(
+        USING (c)) per""", _KEYWORD), ("accuracy", "f1_macro", "f1_weighted"))(
     lambda s, d: ev.multiclass_metrics(_keyword_scored(s, d), "sentiment", "predicted_sentiment"))
 
+register("keyword_sentiment_confusion", with_master(
+    "SELECT sentiment AS actual, predicted_sentiment AS predicted, count(*) AS count FROM kw GROUP BY 1, 2", _KEYWORD))(
+    lambda s, d: ev.confusion_matrix(_keyword_scored(s, d), "sentiment", "predicted_sentiment"))
+
 register("negative_alerts", with_master(
     "SELECT review_id, predicted_sentiment, [" + ", ".join(f"'{a}'" for a in sc.NEGATIVE_REVIEW_ACTIONS) +
     "] AS actions FROM kw WHERE predicted_sentiment = 'negative'", _KEYWORD))(

@@ -1,4 +1,4 @@
-"""ETL plan: bind/read inputs -> build the master table -> persist it.
+"""ETL plan: bind/read inputs -> build the master table -> persist it (S8) -> feature and report tables.
 
 The master is written once as parquet, clustered by ``order_id`` (the key of the
 per-order joins and aggregates downstream), and every report / feature job reads
@@ -14,7 +14,10 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import features as fe
 from ..operators import master as ms
+from ..operators import prep as pp
+from ..operators import reports as rp
 from ..session import ensure_checkpoint_dir
 from ..sources.io import write_table
 
@@ -49,3 +52,24 @@ def run_etl(spark: SparkSession, tables: dict[str, DataFrame], out_root: str) ->
     for name, df in outs.items():
         paths[name] = write_table(df, out_root, name)
     return paths
+
+
+def run_features(master: DataFrame, reviews: DataFrame, out_root: str, sellers: DataFrame | None = None) -> dict[str, str]:
+    """Orders with their delay, the feature tables, the interaction matrix with its
+    ids, the KPIs and, where ``sellers`` gives them, the sellers with clusters and tiers."""
+    inter = fe.interactions(master)
+    outs = {
+        "orders_unique": ms.order_grain(master),
+        "delivered_with_delay": rp.delivered_with_delay(master),
+        "delay_features": fe.delay_features(master),
+        "customer_features": fe.customer_features(master),
+        "sentiment_dataset": fe.sentiment_dataset(reviews),
+        "interactions": inter,
+        "pricing_features": fe.pricing_features(master),
+        "seller_features": fe.seller_features(master),
+        "interaction_matrix": pp.index_ids(inter),
+        "kpis": rp.kpis(master),
+    }
+    if sellers is not None:
+        outs["sellers_with_clusters"] = sellers
+    return {name: write_table(df, out_root, name) for name, df in outs.items()}

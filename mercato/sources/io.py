@@ -6,7 +6,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 # fixed values: strings a CSV reader treats as missing (pandas defaults)
 NULL_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -26,27 +26,67 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(spark: SparkSession, root: str, name: str, schema: StructType | None = None,
-               fmt: str | None = None) -> DataFrame:
-    """Read ``root/name`` (parquet dir/file or CSV); fail clearly when absent."""
+               fmt: str | None = None, multi_line: bool = True) -> DataFrame:
+    """Read ``root/name`` (parquet dir/file or CSV); fail clearly when absent.
+
+    With a ``schema``, its columns must be there; CSV text is cast to its types by column name
+    (text that doesn't parse -> NULL), parquet keeps the types it has.  A CSV file is split over
+    tasks only without ``multi_line`` (quoted line breaks)."""
     candidates = [f"{root}/{name}.parquet", f"{root}/{name}", f"{root}/{name}.csv"]
     for path in candidates:
         if _exists(spark, path):
             kind = fmt or ("csv" if path.endswith(".csv") else "parquet")
             if kind == "csv":
-                reader = spark.read.option("header", True).option("multiLine", True) \
-                    .option("escape", '"')
-                reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", False)
-                return normalize_nulls(reader.csv(path))
-            reader = spark.read.schema(schema) if schema is not None else spark.read
-            return reader.parquet(path)
+                raw = spark.read.option("header", True).option("multiLine", multi_line) \
+                    .option("escape", '"').option("inferSchema", False).csv(path)
+                raw = normalize_nulls(raw.toDF(*[c.removeprefix("\ufeff") for c in raw.columns]))
+                return typed(raw, schema, name) if schema is not None else raw
+            df = spark.read.parquet(path)
+            return require(df, schema.fieldNames(), name) if schema is not None else df
     raise MissingTableError(f"table '{name}' not found under {root} (tried {candidates})")
 
 
-def load_marketplace(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The nine marketplace tables from a folder of parquet/CSV files."""
-    names = ["orders", "order_items", "payments", "reviews", "customers", "sellers",
-             "products", "geolocation", "category_translation"]
-    t = {n: read_table(spark, root, n) for n in names}
+def typed(df: DataFrame, schema: StructType, what: str = "table") -> DataFrame:
+    """The columns of ``schema``, by name, cast to its types; text that doesn't parse -> NULL."""
+    require(df, schema.fieldNames(), what)
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+_TYPES = {"string": StringType(), "int": IntegerType(), "bigint": LongType(), "double": DoubleType()}
+
+
+def _schema(columns: str) -> StructType:
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in (c.split() for c in columns.split(","))])
+
+
+# fixed values: columns of the nine marketplace tables (timestamps are coerced after reading)
+SCHEMAS = {name: _schema(columns) for name, columns in {
+    "orders": "order_id string, customer_id string, order_status string, order_purchase_timestamp string, "
+              "order_approved_at string, order_delivered_carrier_date string, order_delivered_customer_date string, "
+              "order_estimated_delivery_date string",
+    "order_items": "order_id string, order_item_id int, product_id string, seller_id string, price double, "
+                   "freight_value double",
+    "payments": "order_id string, payment_sequential int, payment_type string, payment_installments int, "
+                "payment_value double",
+    "reviews": "review_id string, order_id string, review_score int, review_comment_title string, "
+               "review_comment_message string, review_creation_date string, review_answer_timestamp string",
+    "customers": "customer_id string, customer_unique_id string, customer_zip_code_prefix bigint, "
+                 "customer_city string, customer_state string",
+    "sellers": "seller_id string, seller_zip_code_prefix bigint, seller_city string, seller_state string",
+    "products": "product_id string, product_category_name string, product_weight_g double, product_length_cm double, "
+                "product_height_cm double, product_width_cm double, product_photos_qty double",
+    "geolocation": "geolocation_zip_code_prefix bigint, geolocation_lat double, geolocation_lng double, "
+                   "geolocation_city string, geolocation_state string",
+    "category_translation": "product_category_name string, product_category_name_english string",
+}.items()}
+MULTI_LINE = {"reviews"}            # the only table with free text
+
+
+def load_marketplace(spark: SparkSession, root: str, schemas: dict[str, StructType] | None = None
+                     ) -> dict[str, DataFrame]:
+    """The nine marketplace tables from a folder of parquet/CSV files, with their columns checked."""
+    schemas = SCHEMAS if schemas is None else schemas
+    t = {n: read_table(spark, root, n, schemas[n], multi_line=n in MULTI_LINE) for n in SCHEMAS}
     t["orders"] = coerce_timestamps(t["orders"], ORDER_TIMESTAMPS)
     t["reviews"] = coerce_timestamps(t["reviews"], REVIEW_TIMESTAMPS)
     return t
