@@ -1,10 +1,13 @@
 """Licence scans: MinHash bands over overlapping windows retrieve templates, containment verifies.
 
-Texts are lower-cased words of letters and digits; shingles are five words.  Templates are
-grouped by size class K (the next power of two of their number of shingles); a class scans
-windows of 2K shingles every K, so each run of K shingles lies whole within one window.
-Texts without any of a few words, one of which is in every template shingle, are left out
-first, and so are windows that hold no template shingle: neither could be verified.
+Texts are lower-cased words of letters and digits; shingles are five words (all words of a
+template that has fewer).  Templates are grouped by shingle width and size class K (the next
+power of two of their number of shingles); a class scans windows of 2K shingles every K, so each
+run of K shingles lies whole within one window.
+A window that reaches the containment bound holds all but so many of a template's shingles, so it
+holds one of any set of more than these: each template gets such a set of marks with few, rare
+words.  Texts without these words or too short for the class are left out first, and so are
+windows without a mark: neither could be verified.
 A window that holds at least 0.8 of a template's shingles has a Jaccard similarity of at least
 0.4K / 2.1K = 0.19 with it (the class holds templates of over K/2 shingles), and with one row
 in each of 48 bands the chance to share no band is below (1 - 0.19)^48 = 4e-5.  Retrieved templates
@@ -15,32 +18,32 @@ Only built-in functions run on the table; the templates are a parameter of bound
 
 from __future__ import annotations
 
+import json
+import os
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import pinned
+
 SHINGLE = 5
 BANDS = 48
 CONTAINMENT = 0.8
 
-# fixed values: notices by which common licences are declared
-TEMPLATES = {
-    "mit": "Released under the MIT License.",
-    "apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
-    "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-                 "associated documentation files, to deal in the Software without restriction, including without "
-                 "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
-                 "copies of the Software.",
-    "bsd-grant": "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                 "provided that the following conditions are met.",
-    "gpl-grant": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
-                 "General Public License as published by the Free Software Foundation.",
-    "apache-2.0-grant": "You may not use this file except in compliance with the License. You may obtain a copy of the "
-                        "License at",
-}
+# fixed values: short notices, SPDX lines, headers and full texts of the common licences; the
+# id is the licence's SPDX name, in lower case, and the form of the template
+with open(os.path.join(os.path.dirname(__file__), "license_templates.jsonl"), encoding="utf-8") as _lines:
+    _ALL = {r["license_id"]: r["text"] for r in map(json.loads, _lines)}
+TEMPLATES = {k: t for k, t in _ALL.items() if len(re.findall(r"[^\W_]+", t)) >= SHINGLE}
+SHORT_TEMPLATES = {k: t for k, t in _ALL.items() if k not in TEMPLATES}
+# words of many texts: marks are not chosen by them
+COMMON = set("""a an the of to in on by or and as is it be for with under from at any all no not that this
+    terms version public general free open source software foundation program work works code use used using
+    copy copies other may must shall you your such which can will new or available made published commons zero
+    attribution international generic universal domain library following conditions want do what rights
+    everyone these those their them than then when where who whom has have had are was were been being if its""".split())
 
 
 def _let(value: Column, body) -> Column:
@@ -53,17 +56,25 @@ def license_words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def shingle_texts(words: Column) -> Column:
-    n = F.size(words) - SHINGLE + 1
+def shingle_texts(words: Column, width: int = SHINGLE) -> Column:
+    n = F.size(words) - width + 1
     return F.when(n < 1, F.array().cast("array<string>")).otherwise(
-        F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.array_join(F.slice(words, i, SHINGLE), " ")))
+        F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.array_join(F.slice(words, i, width), " ")))
 
 
-def _hashes(words: Column) -> Column:
-    n = F.size(words) - SHINGLE + 1
+def _hashes(words: Column, width: int = SHINGLE) -> Column:
+    n = F.size(words) - width + 1
     return F.when(n < 1, F.array().cast("array<bigint>")).otherwise(
         F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1),
-                    lambda i: F.xxhash64(*[words[i + k] for k in range(SHINGLE)])))
+                    lambda i: F.xxhash64(*[words[i + k] for k in range(width)])))
+
+
+def _by_width(column: Column, made) -> Column:
+    """``made(width)`` for the value of ``column``."""
+    out = made(SHINGLE)
+    for width in range(1, SHINGLE):
+        out = F.when(column == width, made(width)).otherwise(out)
+    return out
 
 
 def bands(hashes: Column) -> Column:
@@ -72,69 +83,118 @@ def bands(hashes: Column) -> Column:
         b.alias("band"), F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, b))).alias("value")))
 
 
-def anchors(shingles: list[str]) -> list[str]:
-    """Few words such that every shingle has one of them: a text without any holds no shingle."""
-    left, out = [set(s.split()) for s in dict.fromkeys(shingles)], []
-    while left:
-        words = sorted(set().union(*left))
-        best = max(words, key=lambda w: (len(w) >= 6, sum(w in s for s in left), len(w), w))
+def needed(n: int, containment: float) -> int:
+    """The least number of ``n`` shingles that reaches the bound."""
+    return next((m for m in range(1, n + 1) if m / n >= containment), n)
+
+
+def anchors(templates: list[list[str]], containment: float) -> tuple[list[str], list[list[int]]]:
+    """Few words, and of each template the places of its marks: so many of its shingles that have one of
+    these words that a text without any mark holds too few of its shingles."""
+    sets = [[set(s.split()) for s in t] for t in templates]
+    want = [len(t) - needed(len(t), containment) + 1 for t in templates]
+    marks: list[list[int]] = [[] for _ in templates]
+    free = [list(range(len(t))) for t in templates]
+    out: list[str] = []
+    while any(want):
+        tally: Counter = Counter()
+        for t, places, n in zip(sets, free, want):
+            if n:
+                of = Counter(w for i in places for w in t[i])
+                tally.update({w: min(c, n) for w, c in of.items()})
+        best = max(tally, key=lambda w: (w not in COMMON and not w.isdigit() and len(w) > 1, tally[w], len(w), w))
         out.append(best)
-        left = [s for s in left if best not in s]
-    return out
+        for k, t in enumerate(sets):
+            if want[k]:
+                got = [i for i in free[k] if best in t[i]][:want[k]]
+                marks[k] += got
+                want[k] -= len(got)
+                free[k] = [i for i in free[k] if best not in t[i]]
+    return out, marks
 
 
 def template_table(spark, templates: dict[str, str]) -> DataFrame:
-    """license_id, size class, distinct shingles (texts and hashes) of each template."""
-    short = [k for k, t in templates.items() if len(re.findall(r"[^\W_]+", t)) < SHINGLE]
-    if short:
-        raise ValueError(f"templates of under {SHINGLE} words: {short}")
+    """license_id, shingle width, size class, distinct shingles (texts and hashes) of each template."""
+    empty = [k for k, t in templates.items() if not re.search(r"[^\W_]", t)]
+    if empty:
+        raise ValueError(f"templates without words: {empty}")
     rows = spark.createDataFrame(list(templates.items()), "license_id string, text string")
     rows = rows.withColumn("w", license_words(F.col("text")))
-    rows = rows.select("license_id", F.array_distinct(shingle_texts(F.col("w"))).alias("shingles"),
-                       F.array_distinct(_hashes(F.col("w"))).alias("hashes"), F.size("w").alias("n"))
-    size = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col("n") - SHINGLE + 1, F.lit(1))))).cast("int")
-    return rows.select("license_id", size.alias("size"), "shingles", "hashes")
+    rows = rows.withColumn("width", F.least(F.size("w"), F.lit(SHINGLE)))
+    both = _by_width(F.col("width"), lambda n: F.arrays_zip(
+        shingle_texts(F.col("w"), n).alias("s"), _hashes(F.col("w"), n).alias("h")))
+    rows = rows.select("license_id", "width", F.size("w").alias("n"), F.array_distinct(both).alias("both"))
+    size = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col("n") - F.col("width") + 1, F.lit(1))))).cast("int")
+    return rows.select("license_id", "width", size.alias("size"), F.transform("both", lambda b: b["s"]).alias("shingles"),
+                       F.transform("both", lambda b: b["h"]).alias("hashes"))
 
 
 def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, containment: float = CONTAINMENT) -> DataFrame:
-    """One row per document and licence found: doc_id, license_id, containment, window_start, n_windows.
+    """One row per document and template found: doc_id, license_id, containment, window_start, n_windows.
 
     ``containment`` is the largest share of the template's distinct shingles in one window,
     ``window_start`` the number of that window's first word (the first of equals), ``n_windows`` the
     windows that reach the bound.  Null, empty and short texts have no rows; rows with one doc_id
     (or none) are reported together; other columns are ignored."""
     spark = docs.sparkSession
-    known = template_table(spark, templates if templates is not None else TEMPLATES)
+    known = pinned(template_table(spark, templates if templates is not None else TEMPLATES | SHORT_TEMPLATES))
     listed = known.collect()                                          # the parameter, hashed by the same functions
-    sizes = sorted({r["size"] for r in listed})
-    marks = sorted({h for r in listed for h in r["hashes"]})
-
-    def windows(words: Column, hits: Column) -> Column:
-        near = lambda k: F.flatten(F.transform(hits, lambda p: F.array(F.floor(p / k) - 1, F.floor(p / k))))
-        cut = lambda k, j: F.struct(k.alias("size"), (j * k).cast("int").alias("start"),
-                                    F.slice(words, (j * k + 1).cast("int"), 2 * k + SHINGLE - 1).alias("words"))
-        return F.flatten(F.transform(F.array(*map(F.lit, sizes)), lambda k: F.transform(
-            F.filter(F.array_distinct(near(k)), lambda j: j >= 0), lambda j: cut(k, j))))
-
-    def hits(words: Column) -> Column:
-        return F.filter(F.transform(_hashes(words), lambda h, i: F.when(h.isin(marks), i)), lambda p: p.isNotNull())
-
-    some = F.array(*[F.lit(w) for w in anchors([s for r in listed for s in r["shingles"]])])
-    hint = _let(F.lower("text"), lambda t: F.exists(some, lambda w: F.contains(t, w)))
-    found = docs.filter(hint).select("doc_id", F.explode(_let(license_words(F.col("text")),
-                                                 lambda w: _let(hits(w), lambda p: windows(w, p)))).alias("at")) \
-        .select("doc_id", "at.size", "at.start", "at.words")
-    banded = found.select("doc_id", "size", "start", "words", F.explode(_let(_hashes(F.col("words")), bands)).alias("b")) \
-        .select("doc_id", "size", "start", "words", F.col("b.band").alias("band"), F.col("b.value").alias("value"))
+    classes: dict[tuple[int, int], list] = {}
+    for r in listed:
+        classes.setdefault((r["width"], r["size"]), []).append(r)
+    marks: dict[tuple[int, int], list[int]] = {}
+    hint = F.lit(False)
+    for (width, size), rs in sorted(classes.items()):
+        words, places = anchors([r["shingles"] for r in rs], containment)
+        marks[width, size] = sorted({r["hashes"][i] for r, at in zip(rs, places) for i in at})
+        least = min(needed(len(r["shingles"]), containment) for r in rs) + width - 1        # words, one letter each
+        long = [w for w in words if len(w) >= 6]
+        short = [re.escape(w) for w in words if len(w) < 6]
+        some = F.lit(False)
+        for w in long:
+            some = some | F.contains(F.col("_lower"), F.lit(w))
+        if short:
+            some = some | F.col("_lower").rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(short)})(?![\p{{L}}\p{{N}}])")
+        hint = hint | ((F.length("_lower") >= 2 * least - 1) & some)
+
+    def cuts(words: Column, hits: Column, width: int, size: int) -> Column:
+        """The windows of a class around its marks."""
+        own = F.filter(hits, lambda x: x["h"].isin(marks[width, size]))
+        near = F.flatten(F.transform(own, lambda x: F.array(F.floor(x["i"] / size) - 1, F.floor(x["i"] / size))))
+        return F.transform(F.filter(F.array_distinct(near), lambda j: j >= 0), lambda j: F.struct(
+            F.lit(width).alias("width"), F.lit(size).alias("size"), (j * size).cast("int").alias("start"),
+            F.slice(words, (j * size + 1).cast("int"), 2 * size + width - 1).alias("words")))
+
+    def of_width(words: Column, width: int) -> Column:
+        sizes = [k for w, k in sorted(classes) if w == width]
+        any_of = sorted({h for k in sizes for h in marks[width, k]})
+        hits = F.filter(F.transform(_hashes(words, width), lambda h, i: F.when(
+            h.isin(any_of), F.struct(h.alias("h"), i.alias("i")))), lambda p: p.isNotNull())
+        return _let(hits, lambda p: F.concat(*[cuts(words, p, width, k) for k in sizes]))
+
+    def windows(words: Column) -> Column:
+        return F.concat(*[of_width(words, width) for width in sorted({w for w, _ in classes})])
+
+    found = docs.select("doc_id", "text", F.lower("text").alias("_lower")).filter(hint) \
+        .select("doc_id", F.explode(_let(license_words(F.col("text")), windows)).alias("at"))
+    # the windows wait while their bands are looked up: they are numbered, so that their words move once
+    found = pinned(found.select(F.monotonically_increasing_id().alias("window"), "doc_id", "at.*"))
+    hashes = _by_width(F.col("width"), lambda n: _hashes(F.col("words"), n))
+    banded = found.select("window", "width", "size", F.explode(_let(hashes, bands)).alias("b")) \
+        .select("window", "width", "size", F.col("b.band").alias("band"), F.col("b.value").alias("value"))
     # at most `templates` x BANDS rows
-    index = known.select("license_id", "size", "shingles", F.explode(bands(F.col("hashes"))).alias("b")) \
-        .select("license_id", F.col("size").alias("_size"), "shingles", F.col("b.band").alias("_band"), F.col("b.value").alias("_value"))
-    index = F.broadcast(index) if len(listed) <= 1000 else index
-    share = F.size(F.array_intersect(F.col("shingles"), shingle_texts(F.col("words")))) / F.size("shingles")
-    verified = banded.join(index, (F.col("band") == F.col("_band")) & (F.col("value") == F.col("_value"))
-                           & (F.col("size") == F.col("_size"))) \
-        .groupBy("doc_id", "license_id", "start", "words", "shingles").agg(F.count("*")) \
-        .withColumn("share", share).filter(F.col("share") >= containment)
+    index = known.select("license_id", F.col("width").alias("_width"), F.col("size").alias("_size"), F.explode(bands(F.col("hashes"))).alias("b")) \
+        .select("license_id", "_width", "_size", F.col("b.band").alias("_band"), F.col("b.value").alias("_value"))
+    few = len(listed) <= 5000
+    index = F.broadcast(index) if few else index
+    pairs = banded.join(index, (F.col("band") == F.col("_band")) & (F.col("value") == F.col("_value"))
+                        & (F.col("size") == F.col("_size")) & (F.col("width") == F.col("_width"))) \
+        .select("window", "license_id").distinct()
+    shingles = known.select("license_id", "shingles")
+    held = _by_width(F.col("width"), lambda n: shingle_texts(F.col("words"), n))
+    share = F.size(F.array_intersect(F.col("shingles"), held)) / F.size("shingles")
+    verified = pairs.join(found, "window").join(F.broadcast(shingles) if few else shingles, "license_id") \
+        .select("doc_id", "license_id", "start", share.alias("share")).filter(F.col("share") >= containment)
     return verified.groupBy("doc_id", "license_id").agg(
         F.max("share").alias("containment"), F.max_by("start", F.struct("share", -F.col("start"))).cast("long").alias("window_start"),
         F.countDistinct("start").alias("n_windows"))

@@ -185,6 +185,54 @@ def test_license_scan(spark, docs, none):
     assert rows(lc.license_scan(docs)) == [] and rows(lc.license_scan(none)) == []
 
 
+@pytest.mark.parametrize("text,licence", [
+    ("Distributed under the MIT License", "mit"), ("Licensed under the Apache License 2.0", "apache-2.0"),
+    ("you may copy it under the terms of the GNU Lesser General Public License v2.1 or later", "lgpl-2.1"),
+    ("available under the GNU AGPLv3", "agpl-3.0"), ("This code is made available under version 2 of the GNU General Public License.", "gpl-2.0"),
+    ("The crate is dual licensed under MPL 2.0", "mpl-2.0"), ("made available under the Eclipse Public License v2.0", "epl-2.0"),
+    ("published under an ISC license", "isc"), ("given away under the Unlicense", "unlicense"), ("dedicated under CC0 1.0 Universal", "cc0-1.0"),
+    ("Text is under a Creative Commons Attribution-ShareAlike 4.0 International licence, see CC-BY-SA 4.0", None),
+    ("shared under CC-BY-SA 4.0", "cc-by-sa-4.0"), ("photos under Creative Commons Attribution 4.0", "cc-by-4.0"),
+    ("// SPDX-License-Identifier: MIT", "mit"), ("# SPDX-License-Identifier: GPL-2.0-or-later", "gpl-2.0")])
+def test_common_notices(license_rows, text, licence):
+    forms = {re.sub(r"-(notice-\d+|spdx|header.*|text|grant)$", "", k) for k in license_rows[text]}
+    assert licence is None or licence in forms and all(f == licence or licence.startswith(f + "-") for f in forms), forms
+
+
+@pytest.fixture(scope="module")
+def license_rows(spark):
+    texts = [m.args[1] for m in test_common_notices.pytestmark][0]
+    texts = {t: f"Some words before it. {t}; and then a few words more." for t, _ in texts}
+    found = defaultdict(set)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts.values())], "doc_id long, text string")
+    for r in lc.license_scan(df).collect():
+        found[list(texts)[r.doc_id]].add(r.license_id)
+    return found
+
+
+def test_full_texts_with_changed_words(spark):
+    random.seed(6)
+    texts = []
+    for k, t in lc.TEMPLATES.items():
+        if k.endswith("-text"):
+            w = [x if random.random() > .02 else "changed" for x in t.split()]
+            texts.append((len(texts), k, "before " * 700 + " ".join(w) + " after" * 50))
+    found = {(r.doc_id, r.license_id) for r in lc.license_scan(spark.createDataFrame(texts, "doc_id long, k string, text string")).collect()}
+    assert {(i, k) for i, k, _ in texts} <= found
+
+
+def test_notices_of_other_versions_stay_apart():
+    tok = lambda t: re.findall(r"[^\W_]+", t.lower())
+    for a, b in (("gpl-2.0", "gpl-3.0"), ("lgpl-2.1", "lgpl-3.0"), ("gpl-3.0", "agpl-3.0"), ("gpl-3.0", "lgpl-3.0"), ("cc-by-4.0", "cc-by-sa-4.0"), ("epl-1.0", "epl-2.0")):
+        mine, other = ([tok(t) for k, t in lc.TEMPLATES.items() if re.match(re.escape(x) + "-(notice|spdx|header)", k)] for x in (a, b))
+        assert mine and other
+        for v in mine:
+            for w in other:
+                for x, y in ((v, w), (w, v)):
+                    s, u = ({tuple(z[i:i + 5]) for i in range(len(z) - 4)} for z in (x, y))
+                    assert len(s & u) / len(s) < 0.8, (x, y)
+
+
 # ---------------------------------------------------------------- 4 packing
 
 def test_packing(spark, docs, none):
