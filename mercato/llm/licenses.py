@@ -143,19 +143,30 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, conta
     for r in listed:
         classes.setdefault((r["width"], r["size"]), []).append(r)
     marks: dict[tuple[int, int], list[int]] = {}
-    hint = F.lit(False)
+    lengths: dict[int, dict[str, int]] = {}                           # of texts that a word can matter for, by width
     for (width, size), rs in sorted(classes.items()):
         words, places = anchors([r["shingles"] for r in rs], containment)
         marks[width, size] = sorted({r["hashes"][i] for r, at in zip(rs, places) for i in at})
-        least = min(needed(len(r["shingles"]), containment) for r in rs) + width - 1        # words, one letter each
-        long = [w for w in words if len(w) >= 6]
-        short = [re.escape(w) for w in words if len(w) < 6]
-        some = F.lit(False)
-        for w in long:
-            some = some | F.contains(F.col("_lower"), F.lit(w))
-        if short:
-            some = some | F.col("_lower").rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(short)})(?![\p{{L}}\p{{N}}])")
-        hint = hint | ((F.length("_lower") >= 2 * least - 1) & some)
+        least = min(needed(len(r["shingles"]), containment) for r in rs) + width - 1        # words of one byte at least
+        of = lengths.setdefault(width, {})
+        of.update({w: min(2 * least - 1, of.get(w, 2 * least - 1)) for w in words})
+
+    def holds(text: Column, of: dict[str, int]) -> Column:
+        out = F.lit(False)
+        for w, least in of.items():
+            has = (F.octet_length(text) >= least) & F.contains(text, F.lit(w))
+            if len(w) < 6:
+                has = has & text.rlike(rf"(?<![\p{{L}}\p{{N}}]){re.escape(w)}(?![\p{{L}}\p{{N}}])")
+            out = out | has
+        return out
+
+    def hint(text: Column) -> Column:
+        """The widths whose marks the text can hold, one bit each."""
+        every = {w: min(of[w] for of in lengths.values() if w in of) for of in lengths.values() for w in of}
+        bits = F.lit(0)
+        for width, of in lengths.items():
+            bits = bits + F.when(holds(text, of), 1 << width).otherwise(0)
+        return F.when(holds(text, every), bits).otherwise(0)
 
     def cuts(words: Column, hits: Column, width: int, size: int) -> Column:
         """The windows of a class around its marks."""
@@ -173,9 +184,11 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, conta
         return _let(hits, lambda p: F.concat(*[cuts(words, p, width, k) for k in sizes]))
 
     def windows(words: Column) -> Column:
-        return F.concat(*[of_width(words, width) for width in sorted({w for w, _ in classes})])
+        kind = "array<struct<width:int,size:int,start:int,words:array<string>>>"
+        return F.concat(*[F.when(F.col("_widths").bitwiseAND(1 << w) > 0, of_width(words, w)).otherwise(F.array().cast(kind))
+                          for w in sorted(lengths)])
 
-    found = docs.select("doc_id", "text", F.lower("text").alias("_lower")).filter(hint) \
+    found = docs.select("doc_id", "text", _let(F.lower("text"), hint).alias("_widths")).filter("_widths > 0") \
         .select("doc_id", F.explode(_let(license_words(F.col("text")), windows)).alias("at"))
     # the windows wait while their bands are looked up: they are numbered, so that their words move once
     found = pinned(found.select(F.monotonically_increasing_id().alias("window"), "doc_id", "at.*"))
