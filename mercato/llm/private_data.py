@@ -1,6 +1,7 @@
 """Private data: detected entities get keyed surrogates of the same type, script and format.
 
-Entities are found with one regular expression.  Each is reduced to a canonical form (digits
+Entities are found with one regular expression; words of the names found after titles are found
+again wherever else the same document has them.  Each is reduced to a canonical form (digits
 of a phone or card number, lower-case e-mail, single words of a person's name), so that all
 its spellings are one entity, and gets one surrogate form from a keyed digest: digits for
 digits, letters for letters of the same script, given names by the gender of the title, cards
@@ -22,15 +23,27 @@ from .common import pinned
 MAX_ROUNDS = 50
 
 # fixed values: titles that lead a name, by the gender they state
-TITLES = {"m": ["Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr"],
-          "f": ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra"],
-          "n": ["Dr", "Prof"]}
+TITLES = {"m": ["Mr", "Mister", "Sir", "Lord", "Herr", "Monsieur", "Señor", "Sr", "Don", "Senhor", "Signor", "Sig",
+                "Господин", "господин", "Г-н", "г-н", "Пан", "пан", "Κύριος", "κύριος", "Κος", "κ", "Պարոն", "պարոն"],
+          "f": ["Mrs", "Ms", "Miss", "Lady", "Dame", "Frau", "Madame", "Mme", "Mademoiselle", "Mlle", "Señora", "Señorita", "Sra", "Srta",
+                "Doña", "Senhora", "Signora", "Госпожа", "госпожа", "Г-жа", "г-жа", "Пани", "пани", "Κυρία", "κυρία", "Κα", "κα",
+                "Տիկին", "տիկին"],
+          "n": ["Dr", "Prof", "Doctor", "Professor", "Доктор", "доктор", "Д-р", "д-р", "Профессор", "профессор", "Проф", "проф",
+                "Δρ", "Καθηγητής", "Καθηγήτρια", "Դոկտոր", "դոկտոր", "Պրոֆեսոր", "պրոֆեսոր"]}
 # fixed values: endings of surrogate given names, by script and gender
 ENDINGS = {"latin": {"m": ["n", "r", "s", "k"], "f": ["a", "ia", "e", "ina"], "n": ["y", "is", "o", "en"]},
-           "cyrillic": {"m": ["н", "р", "с", "к"], "f": ["а", "ия", "я", "ина"], "n": ["о", "и", "е", "ен"]}}
-SYLLABLES = {"latin": ("bdfgklmnprstvz", "aeiou"), "cyrillic": ("бвгдклмнпрст", "аеиоу")}
-
-_NAME = r"\p{Lu}[\p{L}\p{M}'’-]*"
+           "cyrillic": {"m": ["н", "р", "с", "к"], "f": ["а", "ия", "я", "ина"], "n": ["о", "и", "е", "ен"]},
+           "greek": {"m": ["νος", "ρης", "σος", "κης"], "f": ["α", "ια", "η", "ινα"], "n": ["ω", "ι", "ε", "εν"]},
+           "armenian": {"m": ["ն", "ր", "ս", "կ"], "f": ["ա", "իա", "ե", "ինա"], "n": ["ո", "ի", "ե", "են"]}}
+SYLLABLES = {"latin": ("bdfgklmnprstvz", "aeiou"), "cyrillic": ("бвгдклмнпрст", "аеиоу"),
+             "greek": ("βγδζκλμνπρστφχ", "αεηιουω"), "armenian": ("բգդզկլմնպրստվ", "աեիո")}
+# fixed values: words in small letters within names
+PARTICLES = ["de la", "de las", "de los", "de", "del", "della", "di", "da", "das", "dos", "do", "du", "des", "van der", "van den", "van de",
+             "van", "von der", "von", "vom", "zu", "zur", "ter", "ten", "den", "der", "le", "la", "el", "al", "bin", "ibn", "bint", "af", "av", "y", "e"]
+
+_NAME = r"\p{Lu}(?:[\p{L}\p{M}-]|['’](?!s(?![\p{L}\p{M}])))*"
+_INITIALS = r"(?:\p{Lu}\.)+"
+_LEAD = rf"(?:{_INITIALS}[ ]?|(?:{'|'.join(PARTICLES)})[ ]|(?:d|l|D|L)['’](?=\p{{Lu}}))"
 _TITLE = "|".join(t for ts in TITLES.values() for t in ts)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
@@ -42,7 +55,7 @@ PATTERNS = {
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}"
              r"|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)",
     "national_id": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "person": rf"(?<!\w)(?:{_TITLE})\.?[ ]{_NAME}(?:[ ]{_NAME}){{0,2}}",
+    "person": rf"(?<!\w)(?:{_TITLE})\.?[ ]{_LEAD}{{0,6}}{_NAME}(?:[ ]{_LEAD}{{0,4}}{_NAME}){{0,2}}",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _DIGITS = ["phone", "card", "national_id"]
@@ -112,12 +125,19 @@ def _name(key: str, script: str, ending: str | None) -> Column:
     return F.concat(body, F.array(*map(F.lit, ends))[_draw(key, F.lit("end"), len(ends))])
 
 
+def script_of(word: Column) -> Column:
+    out = F.lit("latin")
+    for script in ("armenian", "greek", "cyrillic"):
+        out = F.when(word.rlike(rf"\p{{Is{script.capitalize()}}}"), F.lit(script)).otherwise(out)
+    return out
+
+
 def surrogate_of(key: str) -> Column:
     """The surrogate form of (kind, canonical, attempt)."""
     out = _characters(key)
     out = F.when(F.col("kind") == "ip", _octets(key)).when(F.col("kind") == "card", _checked(_characters(key))).otherwise(out)
     for script in SYLLABLES:
-        mine = F.col("canonical").rlike(r"\p{IsCyrillic}") if script == "cyrillic" else ~F.col("canonical").rlike(r"\p{IsCyrillic}")
+        mine = script_of(F.col("canonical")) == script
         for kind, ending in (("surname", None), ("given_m", "m"), ("given_f", "f"), ("given_n", "n")):
             out = F.when((F.col("kind") == kind) & mine, _name(key, script, ending)).otherwise(out)
     return out
@@ -142,24 +162,69 @@ def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
     raise RuntimeError(f"no distinct surrogates after {MAX_ROUNDS} rounds")
 
 
-def _parts(entity: Column, kind: Column) -> Column:
+def _part(kind: Column, canonical: Column, surface: Column) -> Column:
+    return F.struct(kind.alias("kind"), canonical.alias("canonical"), surface.alias("surface"))
+
+
+def _plain(surface: Column) -> Column:
+    return _part(F.lit(None).cast("string"), F.lit(None).cast("string"), surface)
+
+
+def _initials(word: Column, key: str) -> Column:
+    """Other initials: letters are too few to keep each distinct."""
+    def one(c: Column, i: Column) -> Column:
+        out = c
+        for script, (consonants, _) in SYLLABLES.items():
+            digest = F.conv(F.substring(F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("initial"), c), 256), 1, 12), 16, 10).cast("long")
+            n = len(consonants)
+            at = (digest % n).cast("int")
+            # never the letter itself
+            at = F.when(_pick(consonants, at) == F.lower(c), (at + 1) % n).otherwise(at)
+            out = F.when((c != ".") & (script_of(c) == script), F.upper(_pick(consonants, at))).otherwise(out)
+        return out
+    return F.array_join(F.transform(F.split(word, ""), one), "")
+
+
+def person_parts(entity: Column, key: str) -> Column:
+    """A name after its title as parts: title, spaces and particles stay; the last name is the surname."""
+    words = F.regexp_extract_all(entity, F.lit(rf"[ ]|{_INITIALS}|[dlDL]['’](?=\p{{Lu}})|[^ .]+\.?"), F.lit(0))
+    title = F.regexp_replace(F.regexp_extract(entity, r"^([^ ]+)", 1), r"\.$", "")
+    gender = F.when(title.isin(TITLES["m"]), "m").when(title.isin(TITLES["f"]), "f").otherwise("n")
+    def word(ws: Column, w: Column, i: Column) -> Column:
+        own = F.when(i == F.size(ws) - 1, F.lit("surname")).otherwise(F.concat(F.lit("given_"), gender))
+        return (F.when((i == 0) | (w == " "), _plain(w)).when(w.rlike(rf"^{_INITIALS}$"), _plain(_initials(w, key)))
+                .when(w.rlike(r"^\p{Lu}") & ~w.rlike("^[dlDL]['’]$"), _part(own, F.lower(w), w)).otherwise(_plain(w)))
+    return F.transform(F.array(words), lambda ws: F.transform(ws, lambda w, i: word(ws, w, i)))[0]
+
+
+def names_of(text: Column, key: str) -> Column:
+    """The distinct words of the names that follow titles: (kind, canonical), surnames first."""
+    titled = F.regexp_extract_all(text, F.lit(PATTERNS["person"]), F.lit(0))
+    words = F.filter(F.flatten(F.transform(titled, lambda e: person_parts(e, key))), lambda p: p["kind"].isNotNull() & (F.length(p["surface"]) > 1))
+    return F.sort_array(F.array_distinct(words), asc=False)
+
+
+def entity_pattern(names: Column) -> Column:
+    """The entities, and further mentions of the names: as written, in capitals, or with a capital."""
+    forms = F.array_distinct(F.flatten(F.transform(names, lambda p: F.array(p["surface"], F.upper(p["surface"]), F.initcap(p["canonical"])))))
+    longest = F.transform(F.sort_array(F.transform(forms, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))), asc=False), lambda x: x["w"])
+    one = F.concat(F.lit("(?:"), F.array_join(longest, "|"), F.lit(")"))
+    mention = F.concat(F.lit(r"(?<![\p{L}\p{M}\p{N}'’-])"), one, F.lit("(?:[ ]"), one, F.lit(r"){0,3}(?![\p{L}\p{M}\p{N}-])"))
+    return F.when(F.size(names) > 0, F.concat(F.lit(ENTITY + "|"), mention)).otherwise(F.lit(ENTITY))
+
+
+def _parts(entity: Column, kind: Column, names: Column, key: str) -> Column:
     """An entity as parts: (kind, canonical, surface); a null kind marks text that stays."""
-    part = lambda k, c, s: F.struct(k.alias("kind"), c.alias("canonical"), s.alias("surface"))
-    plain = lambda s: part(F.lit(None).cast("string"), F.lit(None).cast("string"), s)
     head = F.regexp_extract(entity, r"^(.*[=:][ \t]{0,3}[\"']?)", 1)
     secret = F.substring(entity, F.length(head) + 1, F.length(entity))
-    words = F.split(entity, " ")
-    title = F.regexp_replace(words[0], r"\.$", "")
-    gender = F.when(title.isin(TITLES["m"]), "m").when(title.isin(TITLES["f"]), "f").otherwise("n")
-    names = F.size(words) - 1
-    def word(w: Column, i: Column) -> Column:
-        own = F.when(i == names, F.lit("surname")).otherwise(F.concat(F.lit("given_"), gender))
-        return F.when(i == 0, plain(w)).otherwise(part(own, F.lower(w), w))
-    spaced = F.flatten(F.transform(F.transform(words, word), lambda p, i: F.when(i == 0, F.array(p)).otherwise(F.array(plain(F.lit(" ")), p))))
-    return (F.when(kind == "person", spaced)
-            .when(kind == "secret", F.array(plain(head), part(kind, secret, secret)))
-            .when(kind.isin(_DIGITS), F.array(part(kind, F.regexp_replace(entity, r"\D", ""), entity)))
-            .otherwise(F.array(part(kind, F.lower(entity), entity))))
+    def again(w: Column) -> Column:
+        known = F.filter(names, lambda p: p["canonical"] == F.lower(w))
+        return F.when(w == " ", _plain(w)).otherwise(_part(F.get(known, F.lit(0))["kind"], F.lower(w), w))
+    mentions = F.transform(F.regexp_extract_all(entity, F.lit("[ ]|[^ ]+"), F.lit(0)), again)
+    return (F.when(kind == "person", person_parts(entity, key)).when(kind == "mention", mentions)
+            .when(kind == "secret", F.array(_plain(head), _part(kind, secret, secret)))
+            .when(kind.isin(_DIGITS), F.array(_part(kind, F.regexp_replace(entity, r"\D", ""), entity)))
+            .otherwise(F.array(_part(kind, F.lower(entity), entity))))
 
 
 def _filled(surface: Column, surrogate: Column, kind: Column) -> Column:
@@ -190,11 +255,13 @@ def replace_private_data(docs: DataFrame, key: str) -> DataFrame:
         "doc_id", F.lit(0).alias("n_entities"), F.array().cast("array<string>").alias("kinds"), "text")
     rows = rows.filter("_hint").select(
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.xxhash64("text").alias("_h"),
-        F.length("text").alias("_len"), "doc_id", "text")
+        F.length("text").alias("_len"), "doc_id", "text", names_of(F.col("text"), key).alias("_names")) \
+        .withColumn("_pattern", entity_pattern(F.col("_names")))
     row = ["_id", "_h", "_len"]
-    found = rows.select(*row, F.posexplode(F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0))).alias("pos", "entity"))
-    found = found.withColumn("kind", kind_of(F.col("entity")))
-    parts = pinned(found.select(*row, "pos", F.col("kind").alias("of"), F.posexplode(_parts(F.col("entity"), F.col("kind"))).alias("k", "p"))
+    found = rows.select(*row, "_names", F.posexplode(F.regexp_extract_all("text", F.col("_pattern"), F.lit(0))).alias("pos", "entity"))
+    found = found.withColumn("kind", F.coalesce(kind_of(F.col("entity")), F.lit("mention")))
+    of = F.when(F.col("kind") == "mention", "person").otherwise(F.col("kind"))
+    parts = pinned(found.select(*row, "pos", of.alias("of"), F.posexplode(_parts(F.col("entity"), F.col("kind"), F.col("_names"), key)).alias("k", "p"))
                    .select(*row, "pos", "of", "k", "p.kind", "p.canonical", "p.surface"))
     table = distinct_surrogates(parts.filter("kind is not null").select("kind", "canonical").distinct(), key)
     table = table.select(F.col("kind").alias("_kind"), F.col("canonical").alias("_canonical"), "surrogate")
@@ -203,7 +270,7 @@ def replace_private_data(docs: DataFrame, key: str) -> DataFrame:
     entities = written.groupBy(*row, "pos", "of").agg(F.array_sort(F.collect_set(F.struct("k", "new"))).alias("ks"))
     by_row = entities.groupBy(*row).agg(F.array_sort(F.collect_list(F.struct(
         "pos", F.array_join(F.col("ks.new"), "").alias("new"), "of"))).alias("all"))
-    between = F.split("text", ENTITY, -1)
+    between = F.split("text", F.col("_pattern"), -1)
     text = F.when(F.col("all").isNull(), F.col("text")).otherwise(F.array_join(
         F.zip_with(between, F.concat(F.col("all.new"), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), ""))
     done = rows.join(by_row, row, "left").select(

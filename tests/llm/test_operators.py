@@ -485,6 +485,25 @@ def test_private_data(spark, none):
     assert rows(pd_.replace_private_data(none, "k")) == []
 
 
+NAMES = [(1, "Mr. John Smith came. Smith said that John Smith, SMITH and Smith's dog were there; Smithson was not."),
+         (2, "Dr. J. Smith, Dr. J.R. Tolkien, Mrs. de la Cruz and Herr Ludwig van Beethoven met; Beethoven left."),
+         (3, "Г-н Петров и Кυρία x; Κυρία Παπαδοπούλου, Պարոն Հակոբյան. Петров ушёл."), (4, "Smith has no title here.")]
+
+
+def test_names_with_initials_particles_and_later_mentions(spark):
+    df = spark.createDataFrame(NAMES, "doc_id long, text string")
+    got = {r.doc_id: r for r in pd_.replace_private_data(df, "k1").collect()}
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) came\. (\w+) said that (\w+) (\w+), (\w+) and (\w+)'s dog were there; Smithson was not\.", got[1].text)
+    assert m and m[1] == m[4] != "John" and {m[2], m[3], m[5], m[6].capitalize(), m[7]} == {m[2]} and m[2] != "Smith" and m[6].isupper()
+    assert got[1].n_entities == 5 and set(got[1].kinds) == {"person"}
+    m2 = re.fullmatch(r"Dr\. ([A-Z])\. (\w+), Dr\. [A-Z]\.[A-Z]\. (\w+), Mrs\. de la (\w+) and Herr (\w+) van (\w+) met; (\w+) left\.", got[2].text)
+    assert m2 and m2[1] != "J" and m2[2] == m[2] and m2[6] == m2[7]
+    assert not {"Smith", "Tolkien", "Cruz", "Ludwig", "Beethoven"} & set(m2.groups())
+    m = re.fullmatch(r"Г-н ([А-Яа-я]+) и Кυρία x; Κυρία ([Α-Ωα-ω]+), Պարոն ([\u0531-\u0587]+)\. ([А-Яа-я]+) ушёл\.", got[3].text)
+    assert m and m[1] == m[4] != "Петров" and m[2] != "Παπαδοπούλου" and m[3] != "Հակոբյան"
+    assert got[4].text == NAMES[3][1]
+
+
 def test_surrogates_stay_distinct(spark):
     # three-digit entities: several draws meet an earlier surrogate or a real one
     data = [("phone", f"{i}") for i in range(100, 160)]
