@@ -5,7 +5,8 @@ a non-space character, and at a comma or full stop that follows a letter.  A tex
 concatenation of such pieces and each can be encoded alone.  A batch of texts is therefore
 encoded by its *distinct* pieces (each once) and the ids are gathered back with numpy;
 natural text repeats its pieces, which makes this several times cheaper than encoding
-every text.  Texts in which a space or line break follows white space are encoded whole.
+every text.  Texts in which a space or line break follows white space
+or that hold the string of a special token are encoded whole.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ def ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 class BatchEncoder:
     """Encodes batches of texts; ids equal ``Tokenizer.encode(text, add_special_tokens=False)``.
-    Strings of special tokens inside a text count as ordinary text."""
+    A text that holds the string of a special token is encoded whole."""
 
     _open: dict[str, BatchEncoder] = {}
 
@@ -56,7 +57,7 @@ class BatchEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tk = Tokenizer.from_file(path)
-        self.tk.encode_special_tokens = True
+        self.added = [t.content for t in self.tk.get_added_tokens_decoder().values()]
         vocab = self.tk.get_vocab(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if max(vocab.values()) < 65536 else np.dtype("<u4")
         self.lead = {" ": np.zeros(max(vocab.values()) + 1, bool), "\n": np.zeros(max(vocab.values()) + 1, bool)}
@@ -112,7 +113,10 @@ class BatchEncoder:
         n = len(texts)
         if n == 0:
             return np.empty(0, self.dtype), np.zeros(1, np.int64)
-        whole = pc.match_substring_regex(texts, _WHOLE).to_numpy(zero_copy_only=False)
+        whole = pc.match_substring_regex(texts, _WHOLE)
+        for token in self.added:
+            whole = pc.or_(whole, pc.match_substring(texts, token))
+        whole = whole.to_numpy(zero_copy_only=False)
         cut = pc.replace_substring(pc.if_else(pa.array(whole), "", texts), "\n", " " + _MARK)
         parts = pc.split_pattern(cut, " ")
         bounds = parts.offsets.to_numpy().astype(np.int64)

@@ -65,6 +65,16 @@ def test_batch_encoder_equals_the_library():
     assert at[-1] == at[-2]
 
 
+def test_special_token_strings_as_the_library_does():
+    from tokenizers import Tokenizer
+    fresh, e = Tokenizer.from_file(default_tokenizer()), BatchEncoder.of(default_tokenizer())
+    texts = ["one, two <|endoftext|> three", "<|endoftext|>", "a<|endoftext|>b.", "plain words, here", "x <|endoftext|>\n\ny", "<|endoftext"]
+    ids, at = e.encode(pa.array(texts))
+    for i, t in enumerate(texts):
+        assert ids[at[i]:at[i + 1]].tolist() == fresh.encode(t, add_special_tokens=False).ids, t
+    assert 50256 in ids.tolist()
+
+
 def test_text_batches_keep_every_row():
     b = pa.record_batch({"text": pa.array(["a" * k if k % 3 else None for k in range(50)])})
     got = [x for c in text_batches([b.slice(0, 7), b.slice(7)], "text", 100) for x in c.column("text").to_pylist()]
