@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from . import divergence as dv
 from . import embedding_dedup as em
 from . import exact_dedup as ed
 from . import langid as li
@@ -72,9 +73,14 @@ def op10_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pd.replace_private_data(table(spark, sf_dir, "documents"), key="surrogate-key")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dv.divergence_audit(table(spark, sf_dir, "documents"), min_docs=3, top_terms=200)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash_near_dedup, op2_substring_dedup, op3_license_scan, op4_best_fit_packing, op5_embedding_near_dedup, op6_exact_dedup, op7_mixing, op8_token_files,
-                              op9_language_id, op10_private_data)}
+    f.__name__: f for f in (
+        op1_simhash_near_dedup, op2_substring_dedup, op3_license_scan, op4_best_fit_packing, op5_embedding_near_dedup,
+        op6_exact_dedup, op7_mixing, op8_token_files, op9_language_id, op10_private_data, op11_source_divergence)}
 
 ORACLES: dict[str, str] = {
     "op5_embedding_near_dedup": """
@@ -98,4 +104,30 @@ ORACLES: dict[str, str] = {
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_id AS kept,
                sha256(d.t) AS text_sha256
         FROM d JOIN g USING (t)""",
+    "op11_source_divergence": r"""
+        WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms,
+                          row_number() OVER () AS id FROM documents),
+        o AS (SELECT lang, source, id, unnest(terms) AS term FROM d),
+        c AS (SELECT lang, source, term, count(*) AS n FROM o GROUP BY ALL),
+        k AS (SELECT lang, term, count(*) AS total FROM o GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+        v AS (SELECT lang, count(*) AS v, sum(total)::BIGINT AS size FROM k GROUP BY lang),
+        g AS (SELECT d.lang, d.source, coalesce(any_value(v.v), 0) AS v,
+                     coalesce((SELECT sum(n) FROM c JOIN k USING (lang, term) WHERE c.lang = d.lang AND c.source = d.source), 0)::BIGINT AS size
+              FROM d LEFT JOIN v ON v.lang = d.lang GROUP BY d.lang, d.source),
+        p AS (SELECT g.lang, g.source, k.term, k.total, coalesce(c.n, 0) AS n,
+                     1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (g.size + g.v) AS p
+              FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+        s AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p)::BIGINT AS value
+              FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+                 FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                 LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+        f AS (SELECT p.lang, source, 'term' AS part, term AS item, p, 1 + (1000000000 * (total + 1)) // (v.size + v.v) AS q
+              FROM p JOIN v ON v.lang = p.lang WHERE n > 0),
+        term AS (SELECT lang, source, part, item, ((p - q) * (p - q)) // q AS value FROM f WHERE p > q),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+                   FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+        SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200""",
 }
