@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from . import ann as an
 from . import conversations as cv
 from . import divergence as dv
 from . import embedding_dedup as em
@@ -82,11 +83,15 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cv.repair_report(cv.damaged(table(spark, sf_dir, "conversations")))
 
 
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return an.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_substring_dedup, op3_license_scan, op4_best_fit_packing, op5_embedding_near_dedup,
         op6_exact_dedup, op7_mixing, op8_token_files, op9_language_id, op10_private_data, op11_source_divergence,
-        op12_conversation_repair)}
+        op12_conversation_repair, op13_nearest_neighbours)}
 
 ORACLES: dict[str, str] = {
     "op5_embedding_near_dedup": """
