@@ -195,8 +195,8 @@ def block_sums(rows_a: np.ndarray, zero_a: np.ndarray, entries_a: tuple, rows_b:
     return np.concatenate([one, two]), np.concatenate([two, one]), np.concatenate([first, second]), np.concatenate([seen, seen])
 
 
-def _block(key: tuple, table: pa.Table) -> pa.Table:
-    """Sums of one block: rows are (row, term_id, p), with a null term for each source's zero count."""
+def _block(key: tuple, table: pa.Table, size: int) -> pa.Table:
+    """Sums of one block of bands of ``size`` rows: (row, term_id, p), with a null term for each source's zero count."""
     lang, i, j = (x.as_py() for x in key[:3])
     row, term, p = (table.column(c).combine_chunks() for c in ("row", "term_id", "p"))
     mark = term.is_null().to_numpy(zero_copy_only=False)
@@ -212,14 +212,15 @@ def _block(key: tuple, table: pa.Table) -> pa.Table:
     col = place[col]
 
     def band(n: int):
-        of, mine = rows // BAND == n, row // BAND == n
+        of, mine = rows // size == n, row // size == n
         return rows[of], zero[of], (np.searchsorted(rows[of], row[mine]), col[mine], p[mine])
 
     a, b, value, seen = block_sums(*band(i), *band(j), i == j)
     return pa.table({"lang": pa.array([lang] * len(a), pa.string()), "row": a, "other": b, "part_sum": value, "seen": seen})
 
 
-def divergence_audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS) -> DataFrame:
+def divergence_audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS, band: int = BAND,
+                     stripe: int = STRIPE) -> DataFrame:
     """Rows of (lang, source, part, item, value, rank) over ``docs`` (``text``, ``lang``, ``source``).
 
     Part ``pair`` has, for every group (lang, source), each other source of the lang with its cost
@@ -227,7 +228,8 @@ def divergence_audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int =
     more than its lang does.  Null text, lang and source count as ''; a row is a document, repeated
     rows are several.  Terms in fewer than ``min_docs`` documents of a lang are left out; in a lang
     without terms every pair's value is 0.  Equal values rank by item in byte order.  A lang with one
-    source has no ``pair`` rows, an empty table gives an empty result, other columns are ignored."""
+    source has no ``pair`` rows, an empty table gives an empty result, other columns are ignored.
+    ``band`` and ``stripe`` bound a block; they change cost, never results."""
     docs = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     of_term = Window.partitionBy("lang", "term")
     # a (lang, term) window has a row a source; ids are made before the one write that fixes them
@@ -242,25 +244,25 @@ def divergence_audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int =
     by_lang = Window.partitionBy("lang").orderBy("source")
     groups = pinned(groups.fillna(0, ["size", "terms", "lang_size", "entries"])
                     .withColumn("row", F.row_number().over(by_lang).cast("long") - 1)
-                    .withColumn("bands", F.ceil(F.count("*").over(Window.partitionBy("lang")) / BAND))
-                    .withColumn("stripes", F.greatest(F.lit(1), F.ceil(F.col("entries") / STRIPE)))
+                    .withColumn("bands", F.ceil(F.count("*").over(Window.partitionBy("lang")) / band))
+                    .withColumn("stripes", F.greatest(F.lit(1), F.ceil(F.col("entries") / stripe)))
                     .withColumn("zero", F.when(F.col("terms") > 0, probability(F.lit(0).cast("long"), F.col("size"), F.col("terms")))
                                 .otherwise(F.lit(1)).cast("long")))
     p = probability(F.col("n"), F.col("size"), F.col("terms"))
     known = entries.join(groups, ["lang", "source"]).withColumn("p", p)
-    return _pairs(known, groups).unionByName(_terms(known, top_terms))
+    return _pairs(known, groups, band).unionByName(_terms(known, top_terms))
 
 
-def _pairs(known: DataFrame, groups: DataFrame) -> DataFrame:
+def _pairs(known: DataFrame, groups: DataFrame, size: int) -> DataFrame:
     each_band = F.explode(F.sequence(F.lit(0).cast("long"), F.col("bands") - 1)).alias("band")
-    band = F.floor(F.col("row") / BAND)
+    band = F.floor(F.col("row") / size)
     ij = [F.least("band", band).alias("i"), F.greatest("band", band).alias("j")]
     cells = known.select("lang", "row", "term_id", "p", F.pmod(F.xxhash64("term_id"), F.col("stripes")).alias("stripe"), each_band)
     marks = groups.filter("terms > 0").select("lang", "row", F.lit(None).cast("long").alias("term_id"), F.col("zero").alias("p"), "bands",
                                               F.explode(F.sequence(F.lit(0).cast("long"), F.col("stripes") - 1)).alias("stripe")) \
         .select("lang", "row", "term_id", "p", "stripe", each_band)
     sums = cells.unionByName(marks).select("lang", *ij, "stripe", "row", "term_id", "p").groupBy("lang", "i", "j", "stripe") \
-        .applyInArrow(_block, "lang string, row long, other long, part_sum long, seen long") \
+        .applyInArrow(lambda key, table: _block(key, table, size), "lang string, row long, other long, part_sum long, seen long") \
         .groupBy("lang", "row", "other").agg(F.sum("part_sum").alias("part_sum"), F.sum("seen").alias("seen"))
     # the result's pairs, met by pairs of bands; those that no block holds share no quadrant at all
     banded = groups.select("lang", "source", "row", "zero", "terms", "bands", band.alias("own"), each_band)
