@@ -1,12 +1,14 @@
 """Language identification: known words first, shorter and shorter character n-grams for the rest.
 
 Training counts every word and every character n-gram (1 to ``MAX_N`` letters, with word
-borders) of the labelled rows, by language.  A word is scored by its per-language log
+borders) of a sample of labelled rows, by language.  A word is scored by its per-language log
 frequency if the model knows it; else by its n-grams of the longest length of which the
 model knows any.  A document's score for a language is the mean over its words.
 
-Counts cover all labelled rows; the model keeps at most ``MAX_WORDS`` words and ``MAX_GRAMS``
-n-grams, the most frequent ones, which bounds what is collected and broadcast.
+The sample is bounded in rows, the same number for every language, so a rare language keeps its rows
+however large the others are.  Of what the sample holds every word and n-gram is kept.  The model
+is sparse: a frequency of zero is a constant of the language and the kind of gram, and only what
+exceeds it is stored, so its size follows the sample and not the number of languages.
 """
 
 from __future__ import annotations
@@ -17,15 +19,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import pinned
-from .tokenize import text_batches
+from .divergence import folded
+from .tokenize import ragged, text_batches
 
 MAX_N = 4
-MAX_WORDS = 100_000
-MAX_GRAMS = 50_000
+ROWS = 60_000                      # labelled rows that the model is fitted on, shared evenly by the languages
 FLUSH = 200_000                    # distinct words a task holds
 BATCH_BYTES = 16 << 20
 EVIDENCE = 10                      # words whose agreement the score counts as independent
@@ -80,110 +83,166 @@ def _counted(rows) -> pa.RecordBatch:
                            names=["lang", "gram", "count"])
 
 
-class _Rows(dict):
-    """Row numbers of words in a growing table; a word that is asked for first is scored then."""
-
-    def __init__(self, model: Model):
-        super().__init__()
-        self.model, self.n = model, 1
-        self.table = np.zeros((1 << 16, len(model.langs)))       # row 0: not a letter is known
+class Model:
+    """Log frequencies by language: for every known word and n-gram, how far they exceed those of a count of zero.
 
-    def __missing__(self, w: str) -> int:
-        score = self.model.score(w)
-        k = 0
-        if score is not None:
-            if self.n == len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            k, self.n = self.n, self.n + 1
-            self.table[k] = score
-        self[w] = k
-        return k
+    ``grams`` gives rows by kind (0: words, n: n-grams of n letters); row r has the languages
+    ``lang[begin[r]:begin[r + 1]]`` and what they exceed ``floor[kind, language]`` by in ``more``."""
 
+    def __init__(self, langs: list[str], grams: list[dict[str, int]], begin: np.ndarray, lang: np.ndarray, more: np.ndarray,
+                 floor: np.ndarray, usual: int = 0):
+        self.langs, self.grams, self.begin, self.lang, self.more, self.floor, self.usual = langs, grams, begin, lang, more, floor, usual
+        self._forget()
 
-class Model:
-    """Log frequencies by language: one row of ``table`` for each known word and n-gram."""
-
-    def __init__(self, langs: list[str], words: dict[str, int], grams: dict[str, int], table: np.ndarray):
-        self.langs, self.words, self.grams, self.table = langs, words, grams, table
-        self._rows: _Rows | None = None
+    def _forget(self) -> None:
+        # what is known of words met before: kind, and a sparse row; tokens are words or hold some
+        self.tokens: dict[str, int] = {}
+        self.token_words: list[tuple[int, ...]] = []
+        self.words: dict[str, int] = {}
+        self.kind: list[int] = []
+        self.sparse: list[tuple[np.ndarray, np.ndarray]] = []
+        self.packed: tuple | None = None
 
     def __getstate__(self):
-        return self.__dict__ | {"_rows": None}
+        return {k: v for k, v in self.__dict__.items() if k in ("langs", "grams", "begin", "lang", "more", "floor", "usual")}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._forget()
 
-    def score(self, w: str) -> np.ndarray | None:
-        """A word's log frequencies; null if not even a letter of it is known."""
-        if (k := self.words.get(w)) is not None:
-            return self.table[k]
+    def score(self, w: str) -> tuple[int, np.ndarray, np.ndarray]:
+        """(kind, languages, excess) of a word; kind -1 if not even a letter of it is known."""
+        if (k := self.grams[0].get(w)) is not None:
+            return 0, self.lang[self.begin[k]:self.begin[k + 1]], self.more[self.begin[k]:self.begin[k + 1]]
         for n in range(MAX_N, 0, -1):
-            if known := [k for g in grams(w, n) if (k := self.grams.get(g)) is not None]:
-                return self.table[known].sum(axis=0) / len(known)
-        return None
+            if known := [k for g in grams(w, n) if (k := self.grams[n].get(g)) is not None]:
+                if len(known) == 1:
+                    k = known[0]
+                    return n, self.lang[self.begin[k]:self.begin[k + 1]], self.more[self.begin[k]:self.begin[k + 1]]
+                return n, np.concatenate([self.lang[self.begin[k]:self.begin[k + 1]] for k in known]), \
+                    np.concatenate([self.more[self.begin[k]:self.begin[k + 1]] for k in known]) / len(known)
+        return -1, self.lang[:0], self.more[:0]
+
+    def _token(self, token: str) -> int:
+        """Number of a piece of text without ASCII separators, whose words are scored if they are new."""
+        words = LETTERS.findall(token) if token.isascii() else LETTERS.findall(token.lower())
+        found = []
+        for w in words:
+            k = self.words.get(w)
+            if k is None:
+                k = self.words[w] = len(self.kind)
+                kind, lang, more = self.score(w)
+                self.kind.append(kind)
+                self.sparse.append((lang, more))
+            found.append(k)
+        self.tokens[token] = len(self.token_words)
+        self.token_words.append(tuple(found))
+        return self.tokens[token]
+
+    def _pack(self) -> tuple:
+        """Arrays of all words and tokens met so far."""
+        if self.packed is None or self.packed[0] != len(self.token_words):
+            n = np.fromiter(map(len, self.token_words), np.int64, len(self.token_words))
+            size = np.fromiter((len(x) for x, _ in self.sparse), np.int64, len(self.sparse))
+            self.packed = (len(self.token_words), np.cumsum(n) - n, n, np.array([k for t in self.token_words for k in t], np.int64),
+                           np.array(self.kind, np.int64), np.cumsum(size) - size, size,
+                           np.concatenate([x for x, _ in self.sparse] or [self.lang[:0]]), np.concatenate([x for _, x in self.sparse] or [self.more[:0]]))
+        return self.packed[1:]
+
+    def predict_batch(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+        """Predicted languages and scores of a batch: each distinct word is scored once and summed by place."""
+        parts = pc.split_pattern(folded(texts), " ")
+        doc = np.repeat(np.arange(len(parts)), np.diff(parts.offsets.to_numpy()))
+        flat = parts.flatten()
+        some = pc.greater(pc.binary_length(flat), 0)
+        coded = flat.filter(some).dictionary_encode()
+        doc = doc[some.to_numpy(zero_copy_only=False)]
+        if len(self.tokens) > FLUSH:
+            self._forget()
+        known = self.tokens
+        number = np.array([k if (k := known.get(t)) is not None else self._token(t) for t in coded.dictionary.to_pylist()], np.int64)
+        token = number[coded.indices.to_numpy()] if len(coded) else np.empty(0, np.int64)
+        t_begin, t_size, t_words, kind, begin, size, lang, more = self._pack()
+        # a token that is not one word, as most are, stands for none or several
+        doc, word = np.repeat(doc, t_size[token]), t_words[ragged(t_begin[token], t_size[token])] if len(token) else token
+        n, langs = len(parts), len(self.langs)
+        words = np.bincount(doc, minlength=n)
+        doc, word = doc[kind[word] >= 0], word[kind[word] >= 0]
+        kinds = np.bincount(doc * (MAX_N + 1) + kind[word], minlength=n * (MAX_N + 1)).reshape(n, MAX_N + 1)
+        total = kinds.sum(axis=1)
+        names, score = np.array(["und", *self.langs], object), np.zeros(n)
+        best = np.zeros(n, np.int64)
+        if langs:
+            each = size[word]
+            at = ragged(begin[word], each)
+            sums = np.bincount(np.repeat(doc, each) * langs + lang[at], more[at], n * langs).reshape(n, langs) + kinds @ self.floor
+            mean = sums / np.maximum(total, 1)[:, None]
+            p = np.exp((mean - mean.max(axis=1, keepdims=True)) * np.minimum(total, EVIDENCE)[:, None])
+            p /= p.sum(axis=1, keepdims=True)
+            best = np.where(total > 0, p.argmax(axis=1), self.usual) + 1
+            score = p[np.arange(n), best - 1]
+        told = words > 0
+        return names[np.where(told, best, 0)].tolist(), np.where(told & (best > 0), score, 0.0)
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = Counter(LETTERS.findall((text or "").lower()))
-        if not words or not self.langs:
-            return "und", 0.0
-        if self._rows is None or len(self._rows) > FLUSH:
-            self._rows = _Rows(self)
-        rows = np.fromiter(map(self._rows.__getitem__, words), np.int64, len(words))
-        weight = np.fromiter(words.values(), float, len(words)) * (rows > 0)
-        total = weight.sum()
-        if not total:
-            return self.langs[0], 1.0 / len(self.langs)
-        mean = weight @ self._rows.table[rows] / total
-        p = np.exp((mean - mean.max()) * min(total, EVIDENCE))
-        p /= p.sum()
-        best = int(p.argmax())
-        return self.langs[best], float(p[best])
-
-
-def most_frequent(counted: DataFrame, most: int) -> DataFrame:
-    """Rows of (gram, total, of) for the most frequent grams, ``most`` at most: all that are more
-    frequent than a bound, which a histogram of log frequencies (under 20,000 rows) gives."""
-    by_gram = pinned(counted.groupBy("gram").agg(
-        F.sum("count").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "count"))).alias("of")))
-    level = F.floor(F.log2("total") * 256)
-    left, least = most, None
-    for r in sorted(by_gram.groupBy(level.alias("level")).count().collect(), reverse=True):
-        if r["count"] > left:
-            break
-        left, least = left - r["count"], r["level"]
-    return by_gram.filter(level >= least) if least is not None else by_gram.limit(0)
-
-
-def fit(labelled: DataFrame, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
-    """A model from rows of (lang, text); rows with a null lang or text teach nothing."""
-    words = pinned(word_counts(labelled.filter("lang is not null and text is not null")))
-    found, rows, langs = [], [], sorted(r[0] for r in words.select("lang").distinct().collect())
-    for counted, most in ((words, max_words), (gram_counts(words).withColumn("n", F.length("gram")), max_grams)):
-        counted = pinned(counted)
-        # grams are compared with those of their length, words with words
-        kind = F.col("n") if "n" in counted.columns else F.lit(0)
-        sizes = {(r[0], r[1]): r[2] for r in counted.groupBy(kind.alias("n"), "lang").agg(F.sum("count")).collect()}
-        kinds = {r[0]: r[1] for r in counted.groupBy(kind.alias("n")).agg(F.countDistinct("gram")).collect()}
-        index = {}
-        for r in most_frequent(counted, most).select("gram", "of").collect():
-            n = len(r["gram"]) if "n" in counted.columns else 0
-            index[r["gram"]] = len(rows)
-            rows.append([np.log((r["of"].get(x, 0) + 0.5) / (sizes.get((n, x), 0) + 0.5 * kinds[n])) for x in langs])
-        found.append(index)
-    return Model(langs, *found, np.array(rows, float).reshape(len(rows), len(langs)))
+        names, score = self.predict_batch(pa.array([text], pa.string()))
+        return names[0], float(score[0])
+
+
+def sample(labelled: DataFrame, rows: int = ROWS) -> tuple[DataFrame, dict[str, int]]:
+    """Rows of ``labelled`` (lang, text, key), about ``rows`` / languages of each at most, chosen by a hash of
+    their key and text; and the number of rows of each language."""
+    labelled = labelled.filter("lang is not null and text is not null")
+    sizes = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}          # a row a language
+    share = F.lit(1.0)
+    for lang, n in sizes.items():
+        if n > rows / len(sizes):
+            share = F.when(F.col("lang") == lang, rows / len(sizes) / n).otherwise(share)
+    bits = 1 << 30
+    return labelled.filter(F.pmod(F.xxhash64("key", "text", F.lit(29)), F.lit(bits)) < share * bits), sizes
+
+
+def fit(labelled: DataFrame, rows: int = ROWS, key: Column | None = None) -> Model:
+    """A model from rows of (lang, text), of which about ``rows`` are read at most; ``key`` helps to tell rows apart.
+    Rows with a null lang or text teach nothing."""
+    chosen, sizes = sample(labelled.select("lang", "text", (F.lit(0) if key is None else key).alias("key")), rows)
+    langs = sorted(sizes)
+    number = {x: k for k, x in enumerate(langs)}
+    words = pinned(word_counts(chosen))
+    tables = [words.withColumn("n", F.lit(0)), gram_counts(words).withColumn("n", F.length("gram"))]
+    counted = tables[0].unionByName(tables[1]).toArrow()       # every gram of a bounded sample
+    kind, lang = counted.column("n").to_numpy(), np.array([number[x] for x in counted.column("lang").to_pylist()], np.int64)
+    count = counted.column("count").to_numpy().astype(float)
+    total = np.bincount(kind * len(langs) + lang, count, (MAX_N + 1) * len(langs)).reshape(MAX_N + 1, len(langs))
+    coded = counted.column("gram").combine_chunks().dictionary_encode()
+    text, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    rows_of, at = np.unique(kind * (len(text) + 1) + code, return_inverse=True)
+    kinds = np.bincount(rows_of // (len(text) + 1), minlength=MAX_N + 1)
+    below = total + 0.5 * kinds[:, None]
+    floor = np.log(0.5 / np.where(kinds[:, None] > 0, below, 1))
+    found: list[dict[str, int]] = [{} for _ in range(MAX_N + 1)]
+    for k, r in enumerate(rows_of.tolist()):
+        found[r // (len(text) + 1)][text[r % (len(text) + 1)]] = k
+    order = np.lexsort((lang, at))
+    begin = np.searchsorted(at[order], np.arange(len(rows_of) + 1))
+    usual = max(range(len(langs)), key=lambda k: (sizes[langs[k]], -k), default=0)
+    return Model(langs, found, begin, lang[order].astype(np.int32), np.log((count[order] + 0.5) / 0.5), floor, usual)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of ``docs`` (``doc_id``, ``text``): doc_id, lang_pred, score.
 
     ``und`` with score 0 for null texts, texts without letters, and every text if the model was
-    fitted on no rows.  Of languages that score alike the first by name wins.  A document's other
-    columns are not read."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)     # at most max_words + max_grams rows
+    fitted on no rows.  Of languages that score alike the first by name wins; a text of which no letter
+    is known gets the language with most rows.  A document's other columns are not read."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)     # grows with the sample's rows alone
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in text_batches(batches, "text", BATCH_BYTES):
-            found = [own.predict(t) for t in batch.column("text").to_pylist()]
-            yield pa.record_batch([batch.column("doc_id"), pa.array([x for x, _ in found], pa.string()),
-                                   pa.array([y for _, y in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
+            names, scores = own.predict_batch(batch.column("text"))
+            yield pa.record_batch([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                                  names=["doc_id", "lang_pred", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
         .mapInArrow(run, "doc_id long, lang_pred string, score double")
@@ -196,7 +255,7 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in text_batches(batches, "text", BATCH_BYTES):
-            yield batch.filter(pa.array([own.predict(t)[0] != "und" for t in batch.column("text").to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([x != "und" for x in own.predict_batch(batch.column("text"))[0]], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -206,5 +265,5 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit_on_training_rows(docs: DataFrame) -> Model:
-    return fit(docs.filter(~held_out()).select("lang", "text"))
+def fit_on_training_rows(docs: DataFrame, rows: int = ROWS) -> Model:
+    return fit(docs.filter(~held_out()), rows, F.col("doc_id"))

@@ -456,11 +456,14 @@ def test_language_id(spark, docs, none):
 
 def test_unseen_words_back_off():
     table = np.log([[.9, .1], [.1, .9], [.8, .2]])
-    m = li.Model(["x", "y"], {"known": 0}, {"zzz": 1, "a": 2}, table)
-    assert m.score("known").tolist() == table[0].tolist()
-    assert m.score("azzz").tolist() == table[1].tolist()
-    assert m.score("ab").tolist() == table[2].tolist() and m.score("q") is None
-    assert m.predict("azzz")[0] == "y" and m.predict("12 !")[0] == "und"
+    # rows 0: a word, 1: a 3-gram, 2: a letter; both languages have all, and what a count of zero gives is 0
+    m = li.Model(["x", "y"], [{"known": 0}, {"a": 2}, {}, {"zzz": 1}, {}], np.array([0, 2, 4, 6]), np.array([0, 1] * 3, np.int32),
+                 table.ravel(), np.zeros((5, 2)))
+    dense = {w: (kind, np.bincount(lang, more, 2).tolist()) for w in ("known", "azzz", "ab", "q") for kind, lang, more in [m.score(w)]}
+    assert dense["known"] == (0, table[0].tolist())
+    assert dense["azzz"] == (3, table[1].tolist())
+    assert dense["ab"] == (1, table[2].tolist()) and m.score("q")[0] == -1
+    assert m.predict("azzz")[0] == "y" and m.predict("12 !") == ("und", 0.0)
 
 
 # ---------------------------------------------------------------- 10 private data
