@@ -34,9 +34,17 @@ def n_words(text: Column) -> Column:
 
 
 def rows_with(docs: DataFrame, keys: DataFrame, named: dict[str, Column]) -> DataFrame:
-    """The rows of ``docs``, its columns alone, whose ``named`` values are a row of ``keys``."""
+    """The rows of ``docs`` (see ``boxed``) whose ``named`` values are a row of ``keys``."""
     match = F.lit(True)
     for k, (name, value) in enumerate(named.items()):
         match = match & value.eqNullSafe(F.col(f"_key_{k}_"))
     keys = keys.select(*[F.col(name).alias(f"_key_{k}_") for k, name in enumerate(named)])
     return docs.join(keys, match, "left_semi")
+
+
+def boxed(docs: DataFrame, needed: list[str]) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with its columns renamed apart and the ``needed`` ones under their own names too, so that names used
+    inside an operator clash with none of its columns; and the columns as they were, to be selected at the end."""
+    place = {c: i for i, c in enumerate(docs.columns)}
+    inner = docs.toDF(*[f"in_{i}" for i in range(len(docs.columns))]).withColumns({c: F.col(f"in_{place[c]}") for c in needed})
+    return inner, [F.col(f"in_{i}").alias(c) for i, c in enumerate(docs.columns)]

@@ -56,7 +56,9 @@ def block_bounds(d: int) -> list[tuple[int, int]]:
 
 
 def _matrix(column: pa.Array, rows: np.ndarray, d: int) -> np.ndarray:
-    return column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), d)
+    """Vectors as doubles, each scaled by a power of two, which changes no cosine, so that squares stay in range."""
+    x = column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), d)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
 
 
 def cells(classes: DataFrame, budget: float, grid_dims: int, carried: str) -> DataFrame:
@@ -168,7 +170,10 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.98, grid_dims:
     components of their own.  n_links counts rows, copies included; component_id is the smallest
     vec_id that links reach (null only if all ids are).  ``grid_dims`` (block coordinates that the
     grid uses) follows the number of vectors if not given; it changes cost, never links."""
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"),
+    # vectors keep their own type, so that none is rounded before cosines are taken
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    kind = kind if kind in ("array<float>", "array<double>") else "array<double>"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"),
                           F.col("label").cast("string").alias("label"), _valid().alias("_valid"))
     classes = pinned(rows.filter("_valid").groupBy("label", "embedding").agg(
         F.min("vec_id").alias("least"), F.count("*").alias("mult")).withColumn("id", F.monotonically_increasing_id()))
@@ -179,7 +184,7 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.98, grid_dims:
     # vectors are placed twice, the first time for the cells' sizes alone: cheaper than to keep all copies
     sizes = cells(classes, budget, grid_dims, "label string").groupBy(*by).agg(F.count("*").alias("n")).filter("n > 1") \
         .withColumn("parts", F.ceil(F.col("n") / CELL).cast("int"))
-    placed = cells(classes, budget, grid_dims, "id long, embedding array<float>, mult long, label string")
+    placed = cells(classes, budget, grid_dims, f"id long, embedding {kind}, mult long, label string")
     placed = placed.join(sizes, by).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))) \
         .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pinned, rows_with
+from .common import boxed, pinned, rows_with
 
 BLOCK_CHARS = 4096
 HOT_SHARE = 200                    # content of over one in so many rows is named apart
@@ -103,9 +103,10 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, of which ``exact_dedup`` keeps one for each text.
 
     Rows that repeat both id and text are one row in the result."""
+    inner, columns = boxed(docs, ["doc_id", "text"])
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
-    kept = pinned(exact_dedup(docs).filter("kept").groupBy("doc_id", "text_sha256").count())
-    out = rows_with(docs, kept, {"doc_id": F.col("doc_id"), "text_sha256": digest})
+    kept = pinned(exact_dedup(inner).filter("kept").groupBy("doc_id", "text_sha256").count())
+    out = rows_with(inner, kept, {"doc_id": F.col("doc_id"), "text_sha256": digest})
     if kept.filter("count > 1").isEmpty():
-        return out
-    return out.withColumn("_digest", digest).dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+        return out.select(*columns)
+    return out.withColumn("_digest", digest).dropDuplicates(["doc_id", "_digest"]).select(*columns)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words, pinned, trimmed
+from .common import boxed, n_words, pinned, trimmed
 
 BUCKETS = 4096
 MAX_SENT = 100_000                 # sources whose plan is sent to every task
@@ -107,8 +107,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs:
 
 def repeated(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3, seed: str = "mix") -> DataFrame:
     """The rows of ``docs``, all columns, as often as ``mix_sources`` takes them."""
-    plan = mixing_plan(_sized(docs, seed), weights, max_epochs)
-    columns = docs.columns
-    taken = _with_plan(docs, plan.withColumnsRenamed({"source_size": "_source_size", "target": "_target"}))
+    inner, columns = boxed(docs, ["doc_id", "text", "source"])
+    taken = _with_plan(inner, mixing_plan(_sized(inner, seed), weights, max_epochs))
     times = _repeats(F.length(trimmed(F.col("text"))), _hash(seed, 1) % BUCKETS, _hash(seed, 9))
-    return taken.select(*columns, F.explode(F.array_repeat(F.lit(0), times.cast("int"))).alias("_again")).drop("_again")
+    return taken.withColumn("_again", F.explode(F.array_repeat(F.lit(0), times.cast("int")))).select(*columns)

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pinned, rows_with
+from .common import boxed, pinned, rows_with
 from .graph import connected_components
 from .tokenize import text_batches
 
@@ -178,6 +178,7 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Da
     """The rows of ``docs``, all columns, whose doc_id is their component's smallest.
 
     Rows without an id stay only in components that hold no id."""
-    kept = _components(docs, shingle, max_bits).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
+    inner, columns = boxed(docs, ["doc_id", "text"])
+    kept = _components(inner, shingle, max_bits).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
         .select("doc_id", "digest").distinct()
-    return rows_with(docs, kept, {"doc_id": F.col("doc_id"), "digest": F.xxhash64("text")})
+    return rows_with(inner, kept, {"doc_id": F.col("doc_id"), "digest": F.xxhash64("text")}).select(*columns)
