@@ -273,7 +273,10 @@ def _indexes(classes: DataFrame, k: int, target: float) -> dict[int, Index]:
     """An index for each length of vectors, fitted on a sample that hashes choose."""
     v = F.transform("embedding", lambda x: F.abs(x.cast("double")))
     top = F.array_max(v)
-    norm = F.log(top) + F.log(F.aggregate(v, F.lit(0.0), lambda a, x: a + (x / top) * (x / top))) / 2
+    square = F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)
+    # squares that leave the range of doubles are taken again of scaled numbers
+    norm = F.when((square > 1e-280) & (square < 1e300), F.log(square) / 2) \
+        .otherwise(F.log(top) + F.log(F.aggregate(v, F.lit(0.0), lambda a, x: a + (x / top) * (x / top))) / 2)
     out = {}
     for d, n, peak in classes.groupBy("d").agg(F.count("*"), F.max(norm)).collect():
         most = max(64, min(SAMPLE, SAMPLE_VALUES // d))
