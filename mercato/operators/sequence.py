@@ -2,8 +2,9 @@
 
 ``row_number() OVER (PARTITION BY k ORDER BY o)`` puts every row of a key into one task, and
 without a PARTITION BY it puts the whole table into one task.  Here the table is sorted by
-``(k, o)`` and a seeded random number, so that neither a key nor a value that a third of the
-rows have stays in one range partition.  Then
+``(k, o)``, a hash of the row and, for copies of a row, their number, so that neither a key nor a
+value that a third of the rows have stays in one range partition.  All sort keys are values of the
+row: a task that runs again after a lost executor sends each row to the same range.  Then
 
 1. ``monotonically_increasing_id`` gives each sorted row its partition and place in it (in the
    same stage as the sort), and the result is written once to the shared checkpoint folder,
@@ -35,11 +36,22 @@ def pin(df: DataFrame, prefix: str = "pinned") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _numbered_copies(df: DataFrame) -> DataFrame:
+    """Adds ``_TIE``, the number of a row among its copies in one partition of ``df``.
+
+    Copies are counted by partition, so a row that a third of the table repeats is many groups; which
+    copy gets which number doesn't matter, and the set of numbered rows is the same in every run."""
+    counted = df.withColumn(_PID, F.spark_partition_id()).groupBy(*df.columns, _PID).agg(F.count(F.lit(1)).alias("__copies"))
+    return counted.withColumn(_TIE, F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))) \
+        .withColumn(_TIE, F.col(_TIE) * (1 << 24) + F.col(_PID)).drop(_PID, "__copies")
+
+
 def _sorted(df: DataFrame, order_by: list[str], keys: list[str]) -> DataFrame:
     """Globally sorted rows with their partition and place in it, written once."""
     order = [F.col(c).asc_nulls_first() for c in [*keys, *order_by]]
+    ties = [F.xxhash64(*[c for c in df.columns if c != _TIE])] + ([F.col(_TIE)] if _TIE in df.columns else [])
     place = F.monotonically_increasing_id()
-    return pin(df.withColumn(_TIE, F.rand(7)).orderBy(*order, _TIE).drop(_TIE)
+    return pin(df.orderBy(*order, *ties).drop(_TIE)
                  .withColumn(_AT, place).withColumn(_PID, F.shiftright(_AT, 33))
                  .withColumn(_AT, F.col(_AT).bitwiseAND(F.lit((1 << 33) - 1))), "sequence")
 
@@ -70,7 +82,7 @@ def exact_sequence(df: DataFrame, order_by: list[str], partition_by: list[str] |
 
     ``order_by`` should make the order total (ties are numbered arbitrarily but
     consistently, as in ``row_number``)."""
-    placed = _with_offset(_sorted(df, list(order_by), list(partition_by)), F.count(F.lit(1)))
+    placed = _with_offset(_sorted(_numbered_copies(df), list(order_by), list(partition_by)), F.count(F.lit(1)))
     placed = placed.withColumn(out, F.col("_before") + F.col(_AT)).drop("_before", _PID, _AT)
     return _within_key(placed, list(partition_by), F.col(out), out).withColumn(out, F.col(out) + 1)
 

@@ -60,7 +60,10 @@ b_reviews AS (
              ELSE 'title ' || e.event_type END END AS review_comment_title,
          CASE WHEN e.event_type <> 'error' THEN d.text END AS review_comment_message,
          e.ts AS review_creation_date, e.ts AS review_answer_timestamp
-  FROM events e LEFT JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents)),
+  FROM events e LEFT JOIN (
+    SELECT min(text) AS text, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents
+    WHERE doc_id IS NOT NULL GROUP BY doc_id) d
+  ON d.place = e.event_id % (SELECT count(DISTINCT doc_id) FROM documents)),
 b_sellers AS (
   SELECT s.s_suppkey AS seller_id, s.s_nationkey * 10 + s.s_suppkey % 10 AS seller_zip_code_prefix,
          'city_' || CAST(s.s_suppkey % 50 AS VARCHAR) AS seller_city, n.n_name AS seller_state

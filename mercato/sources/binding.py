@@ -5,13 +5,15 @@ nation) plus ``events`` and ``documents``.  This module derives the nine
 marketplace tables from them with deterministic formulas (FIXTURES.md section C);
 ``plans/oracle.py`` states the same formulas in SQL for the DuckDB oracle.
 
-Everything is lazy and column-pruned: each derived table reads only the test
-columns it needs, so parquet scans carry a narrow ``ReadSchema``.
+Everything is lazy and column-pruned: a table is derived when it is asked for, and reads
+only the test columns it needs, so parquet scans carry a narrow ``ReadSchema``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.scoring import NEGATIVE_WORDS, POSITIVE_WORDS
@@ -78,9 +80,11 @@ def bind_customers(spark, sf_dir) -> DataFrame:
 
 
 def _numbered_lineitems(spark, sf_dir) -> DataFrame:
+    """Lineitems with their number in the order.  The window's key is that of the joins that follow,
+    and an order has a few items."""
     li = _read(spark, sf_dir, "lineitem", ["l_orderkey"] + ITEM_ORDER)
-    return exact_sequence(li, ITEM_ORDER, ["l_orderkey"], out="order_item_id") \
-        .withColumn("order_item_id", F.col("order_item_id").cast("int"))
+    place = Window.partitionBy("l_orderkey").orderBy(*[F.col(c).asc_nulls_first() for c in ITEM_ORDER])
+    return li.withColumn("order_item_id", F.row_number().over(place))
 
 
 def bind_items_and_payments(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -105,10 +109,12 @@ def bind_items_and_payments(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 def bind_reviews(spark, sf_dir) -> DataFrame:
     e = _read(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
-    d = _read(spark, sf_dir, "documents", ["doc_id", "text"])
-    n = _read(spark, sf_dir, "documents", ["doc_id"]).agg(F.count(F.lit(1)).alias("_n"))   # one row
-    e = e.crossJoin(F.broadcast(n)).withColumn("_doc", F.try_mod(F.col("event_id"), F.col("_n")))
-    j = e.join(d, F.col("_doc") == F.col("doc_id"), "left")
+    # documents by position among the distinct ids, so that gaps between ids leave none unread
+    ids = exact_sequence(_read(spark, sf_dir, "documents", ["doc_id"]).filter("doc_id is not null").distinct(), ["doc_id"], out="_at")
+    d = _read(spark, sf_dir, "documents", ["doc_id", "text"]).groupBy("doc_id").agg(F.min("text").alias("text"))
+    n = ids.agg(F.count(F.lit(1)).alias("_n"))                                          # one row
+    e = e.crossJoin(F.broadcast(n)).withColumn("_at", F.try_mod(F.col("event_id"), F.col("_n")) + 1)
+    j = e.join(ids, "_at", "left").join(d, "doc_id", "left")
     word = F.expr("event_id div 3")
     title = (F.when(F.col("event_id") % 3 == 0, F.array(*map(F.lit, POSITIVE_WORDS))[(word % len(POSITIVE_WORDS)).cast("int")])
              .when(F.col("event_id") % 3 == 1, F.array(*map(F.lit, NEGATIVE_WORDS))[(word % len(NEGATIVE_WORDS)).cast("int")])
@@ -168,20 +174,25 @@ def bind_geolocation(spark, sf_dir) -> DataFrame:
                         F.col("n_name").alias("geolocation_state")))
 
 
+class LazyTables(dict):
+    """Tables by name, each derived when it is first asked for."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        super().__init__()
+        self.makers = makers
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self.makers[name]()
+        return self[name]
+
+
 def bind_marketplace(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The nine marketplace tables derived from the test tables under ``sf_dir``."""
-    items, payments = bind_items_and_payments(spark, sf_dir)
-    return {
-        "orders": bind_orders(spark, sf_dir),
-        "order_items": items,
-        "payments": payments,
-        "reviews": bind_reviews(spark, sf_dir),
-        "customers": bind_customers(spark, sf_dir),
-        "sellers": bind_sellers(spark, sf_dir),
-        "products": bind_products(spark, sf_dir),
-        "geolocation": bind_geolocation(spark, sf_dir),
-        "category_translation": bind_category_translation(spark, sf_dir),
-    }
+    makers = {"orders": bind_orders, "order_items": lambda s, d: bind_items_and_payments(s, d)[0],
+              "payments": lambda s, d: bind_items_and_payments(s, d)[1], "reviews": bind_reviews, "customers": bind_customers,
+              "sellers": bind_sellers, "products": bind_products, "geolocation": bind_geolocation,
+              "category_translation": bind_category_translation}
+    return LazyTables({name: lambda make=make: make(spark, sf_dir) for name, make in makers.items()})
 
 
 def bind_review_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
