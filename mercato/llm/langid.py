@@ -28,9 +28,10 @@ from .divergence import folded
 from .tokenize import ragged, text_batches
 
 MAX_N = 4
-ROWS = 60_000                      # labelled rows that the model is fitted on, shared evenly by the languages
+ROWS = 40_000                      # labelled rows that the model is fitted on, shared evenly by the languages
 FLUSH = 200_000                    # distinct words a task holds
 BATCH_BYTES = 16 << 20
+SCORED_BYTES = 4 << 20             # of text that is scored at once: its words take some ten times as much
 EVIDENCE = 10                      # words whose agreement the score counts as independent
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -83,6 +84,19 @@ def _counted(rows) -> pa.RecordBatch:
                            names=["lang", "gram", "count"])
 
 
+class _Grown:
+    """An array that chunks are added to, in amortised constant time a value."""
+
+    def __init__(self, dtype):
+        self.held, self.n = np.empty(1024, dtype), 0
+
+    def add(self, values) -> None:
+        while self.n + len(values) > len(self.held):
+            self.held = np.concatenate([self.held, np.empty_like(self.held)])
+        self.held[self.n:self.n + len(values)] = values
+        self.n += len(values)
+
+
 class Model:
     """Log frequencies by language: for every known word and n-gram, how far they exceed those of a count of zero.
 
@@ -95,13 +109,11 @@ class Model:
         self._forget()
 
     def _forget(self) -> None:
-        # what is known of words met before: kind, and a sparse row; tokens are words or hold some
+        # words met before, with their kind and sparse row, and tokens, which are a word or hold some
         self.tokens: dict[str, int] = {}
-        self.token_words: list[tuple[int, ...]] = []
         self.words: dict[str, int] = {}
-        self.kind: list[int] = []
-        self.sparse: list[tuple[np.ndarray, np.ndarray]] = []
-        self.packed: tuple | None = None
+        self.token_size, self.token_words, self.kind, self.size, self.langs_of, self.more_of = (
+            _Grown(t) for t in (np.int64, np.int64, np.int64, np.int64, np.int32, np.float64))
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k in ("langs", "grams", "begin", "lang", "more", "floor", "usual")}
@@ -123,34 +135,33 @@ class Model:
                     np.concatenate([self.more[self.begin[k]:self.begin[k + 1]] for k in known]) / len(known)
         return -1, self.lang[:0], self.more[:0]
 
-    def _token(self, token: str) -> int:
-        """Number of a piece of text without ASCII separators, whose words are scored if they are new."""
-        words = LETTERS.findall(token) if token.isascii() else LETTERS.findall(token.lower())
-        found = []
-        for w in words:
-            k = self.words.get(w)
-            if k is None:
-                k = self.words[w] = len(self.kind)
-                kind, lang, more = self.score(w)
-                self.kind.append(kind)
-                self.sparse.append((lang, more))
-            found.append(k)
-        self.tokens[token] = len(self.token_words)
-        self.token_words.append(tuple(found))
-        return self.tokens[token]
-
-    def _pack(self) -> tuple:
-        """Arrays of all words and tokens met so far."""
-        if self.packed is None or self.packed[0] != len(self.token_words):
-            n = np.fromiter(map(len, self.token_words), np.int64, len(self.token_words))
-            size = np.fromiter((len(x) for x, _ in self.sparse), np.int64, len(self.sparse))
-            self.packed = (len(self.token_words), np.cumsum(n) - n, n, np.array([k for t in self.token_words for k in t], np.int64),
-                           np.array(self.kind, np.int64), np.cumsum(size) - size, size,
-                           np.concatenate([x for x, _ in self.sparse] or [self.lang[:0]]), np.concatenate([x for _, x in self.sparse] or [self.more[:0]]))
-        return self.packed[1:]
-
-    def predict_batch(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
-        """Predicted languages and scores of a batch: each distinct word is scored once and summed by place."""
+    def _learn(self, tokens: list[str]) -> None:
+        """Splits new pieces of text without ASCII separators into words, and scores the new ones."""
+        sizes, found, kinds, langs, more = [], [], [], [], []
+        for token in tokens:
+            words = LETTERS.findall(token) if token.isascii() else LETTERS.findall(token.lower())
+            for w in words:
+                k = self.words.get(w)
+                if k is None:
+                    k = self.words[w] = len(self.words)
+                    kind, of, excess = self.score(w)
+                    kinds.append(kind)
+                    langs.append(of)
+                    more.append(excess)
+                found.append(k)
+            self.tokens[token] = len(self.tokens)
+            sizes.append(len(words))
+        for grown, values in ((self.token_size, sizes), (self.token_words, found), (self.kind, kinds), (self.size, [len(x) for x in langs]),
+                              (self.langs_of, np.concatenate(langs or [self.lang[:0]])), (self.more_of, np.concatenate(more or [self.more[:0]]))):
+            grown.add(values)
+
+    def predict_batch(self, batch: pa.RecordBatch) -> tuple[list[str], np.ndarray]:
+        """Predicted languages and scores of the batch's texts, some at a time."""
+        parts = [self._predict(b.column("text")) for b in text_batches([batch], "text", SCORED_BYTES)]
+        return [x for names, _ in parts for x in names], np.concatenate([s for _, s in parts] or [np.empty(0)])
+
+    def _predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+        """Each distinct word is scored once and summed by place."""
         parts = pc.split_pattern(folded(texts), " ")
         doc = np.repeat(np.arange(len(parts)), np.diff(parts.offsets.to_numpy()))
         flat = parts.flatten()
@@ -159,10 +170,13 @@ class Model:
         doc = doc[some.to_numpy(zero_copy_only=False)]
         if len(self.tokens) > FLUSH:
             self._forget()
-        known = self.tokens
-        number = np.array([k if (k := known.get(t)) is not None else self._token(t) for t in coded.dictionary.to_pylist()], np.int64)
+        distinct = coded.dictionary.to_pylist()
+        self._learn([t for t in distinct if t not in self.tokens])
+        number = np.fromiter(map(self.tokens.__getitem__, distinct), np.int64, len(distinct))
         token = number[coded.indices.to_numpy()] if len(coded) else np.empty(0, np.int64)
-        t_begin, t_size, t_words, kind, begin, size, lang, more = self._pack()
+        t_size, t_words, kind, size, lang, more = (g.held[:g.n] for g in (
+            self.token_size, self.token_words, self.kind, self.size, self.langs_of, self.more_of))
+        t_begin, begin = np.cumsum(t_size) - t_size, np.cumsum(size) - size
         # a token that is not one word, as most are, stands for none or several
         doc, word = np.repeat(doc, t_size[token]), t_words[ragged(t_begin[token], t_size[token])] if len(token) else token
         n, langs = len(parts), len(self.langs)
@@ -185,7 +199,7 @@ class Model:
         return names[np.where(told, best, 0)].tolist(), np.where(told & (best > 0), score, 0.0)
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        names, score = self.predict_batch(pa.array([text], pa.string()))
+        names, score = self._predict(pa.array([text], pa.string()))
         return names[0], float(score[0])
 
 
@@ -240,7 +254,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in text_batches(batches, "text", BATCH_BYTES):
-            names, scores = own.predict_batch(batch.column("text"))
+            names, scores = own.predict_batch(batch)
             yield pa.record_batch([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                   names=["doc_id", "lang_pred", "score"])
 
@@ -255,7 +269,7 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in text_batches(batches, "text", BATCH_BYTES):
-            yield batch.filter(pa.array([x != "und" for x in own.predict_batch(batch.column("text"))[0]], pa.bool_()))
+            yield batch.filter(pa.array([x != "und" for x in own.predict_batch(batch)[0]], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
