@@ -28,10 +28,10 @@ from .divergence import folded
 from .tokenize import ragged, text_batches
 
 MAX_N = 4
-ROWS = 40_000                      # labelled rows that the model is fitted on, shared evenly by the languages
+ROWS = 16_000                      # labelled rows that the model is fitted on, shared evenly by the languages
 FLUSH = 200_000                    # distinct words a task holds
-BATCH_BYTES = 16 << 20
-SCORED_BYTES = 4 << 20             # of text that is scored at once: its words take some ten times as much
+BATCH_BYTES = 8 << 20
+SCORED_BYTES = 2 << 20             # of text that is scored at once: its words take some ten times as much
 EVIDENCE = 10                      # words whose agreement the score counts as independent
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -122,37 +122,48 @@ class Model:
         self.__dict__.update(state)
         self._forget()
 
-    def score(self, w: str) -> tuple[int, np.ndarray, np.ndarray]:
-        """(kind, languages, excess) of a word; kind -1 if not even a letter of it is known."""
+    def known(self, w: str) -> tuple[int, list[int]]:
+        """(kind, rows) of a word: its own row, or those of its longest known n-grams; kind -1 if not even a letter is known."""
         if (k := self.grams[0].get(w)) is not None:
-            return 0, self.lang[self.begin[k]:self.begin[k + 1]], self.more[self.begin[k]:self.begin[k + 1]]
+            return 0, [k]
         for n in range(MAX_N, 0, -1):
-            if known := [k for g in grams(w, n) if (k := self.grams[n].get(g)) is not None]:
-                if len(known) == 1:
-                    k = known[0]
-                    return n, self.lang[self.begin[k]:self.begin[k + 1]], self.more[self.begin[k]:self.begin[k + 1]]
-                return n, np.concatenate([self.lang[self.begin[k]:self.begin[k + 1]] for k in known]), \
-                    np.concatenate([self.more[self.begin[k]:self.begin[k + 1]] for k in known]) / len(known)
-        return -1, self.lang[:0], self.more[:0]
+            of = self.grams[n]
+            if rows := [of[g] for g in grams(w, n) if g in of]:
+                return n, rows
+        return -1, []
+
+    def score(self, w: str) -> tuple[int, np.ndarray, np.ndarray]:
+        """(kind, languages, excess) of a word: the mean over its known grams."""
+        kind, rows = self.known(w)
+        return kind, *self._excess(np.array(rows, np.int64), np.full(len(rows), len(rows)))[1:]
+
+    def _excess(self, rows: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(entries of each row, languages, excess): sparse rows one after another, each divided by its ``share``."""
+        size = self.begin[rows + 1] - self.begin[rows]
+        at = ragged(self.begin[rows], size)
+        return size, self.lang[at], self.more[at] / np.repeat(share, size)
 
     def _learn(self, tokens: list[str]) -> None:
         """Splits new pieces of text without ASCII separators into words, and scores the new ones."""
-        sizes, found, kinds, langs, more = [], [], [], [], []
+        sizes, found, kinds, rows, counts = [], [], [], [], []
         for token in tokens:
             words = LETTERS.findall(token) if token.isascii() else LETTERS.findall(token.lower())
             for w in words:
                 k = self.words.get(w)
                 if k is None:
                     k = self.words[w] = len(self.words)
-                    kind, of, excess = self.score(w)
+                    kind, own = self.known(w)
                     kinds.append(kind)
-                    langs.append(of)
-                    more.append(excess)
+                    rows += own
+                    counts.append(len(own))
                 found.append(k)
             self.tokens[token] = len(self.tokens)
             sizes.append(len(words))
-        for grown, values in ((self.token_size, sizes), (self.token_words, found), (self.kind, kinds), (self.size, [len(x) for x in langs]),
-                              (self.langs_of, np.concatenate(langs or [self.lang[:0]])), (self.more_of, np.concatenate(more or [self.more[:0]]))):
+        count = np.array(counts, np.int64)
+        of_row, lang, more = self._excess(np.array(rows, np.int64), np.repeat(count, count))
+        size = np.add.reduceat(np.append(of_row, 0), np.cumsum(count) - count) * (count > 0) if len(count) else count
+        for grown, values in ((self.token_size, sizes), (self.token_words, found), (self.kind, kinds), (self.size, size),
+                              (self.langs_of, lang), (self.more_of, more)):
             grown.add(values)
 
     def predict_batch(self, batch: pa.RecordBatch) -> tuple[list[str], np.ndarray]:
