@@ -93,7 +93,7 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
 
 def with_balanced_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
     w = balanced_weights(df, label).withColumnRenamed("class_weight", weight_col)
-    return df.join(F.broadcast(w), label, "left")   # one row per class
+    return df.join(w, label, "left")                # one row per class; sent to every task if Spark finds it small
 
 
 def fit_scaler(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from .sequence import exact_sequence
+from .cutoff import cutoffs
 
 
 def _le_struct(cols: list[str], bound: str) -> F.Column:
@@ -15,29 +18,21 @@ def _le_struct(cols: list[str], bound: str) -> F.Column:
         F.expr(f"struct({', '.join(f'`{c}`' for c in cols)}) <= `{bound}`")) if cols else F.lit(False)
 
 
-def _cutoffs(keys_df: DataFrame, order_by: list[str], group: list[str], count_expr) -> DataFrame:
-    """Per group: the ``order_by`` key of the row at 1-based position ``count_expr(n)``
-    (NULL when that count is 0).  Only the narrow key columns are ranked."""
-    narrow = keys_df.select(*group, *order_by)
-    counts = narrow.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")) if group else \
-        narrow.agg(F.count(F.lit(1)).alias("_n"))
-    ranked = exact_sequence(narrow, order_by, group, out="_pos")
-    want = counts.select(*group, count_expr(F.col("_n")).cast("long").alias("_k"))
-    j = ranked.join(F.broadcast(want), group) if group else ranked.crossJoin(F.broadcast(want))
-    hit = j.filter(F.col("_pos") == F.col("_k"))
-    cut = hit.select(*group, F.struct(*[F.col(c) for c in order_by]).alias("_cut"))
-    return want.join(cut, group, "left").drop("_k") if group else \
-        want.crossJoin(cut.select("_cut").unionByName(
-            keys_df.sparkSession.range(0).select(F.lit(None).cast(cut.schema["_cut"].dataType).alias("_cut")))
-            .agg(F.first("_cut", ignorenulls=True).alias("_cut"))).drop("_k")
+def _cutoffs(df: DataFrame, order_by: list[str], group: list[str], position) -> DataFrame:
+    """Per group: the ``order_by`` key ``_cut`` of the row at 1-based ``position(n)`` (NULL where that is 0), as a
+    table of a row a group, whose number ``cutoffs`` bounds."""
+    found = cutoffs(df, order_by, group, position)
+    key = StructType([StructField(c, df.schema[c].dataType) for c in order_by])
+    schema = StructType([StructField(c, df.schema[c].dataType) for c in group] + [StructField("_cut", key)])
+    return df.sparkSession.createDataFrame([(*g, cut) for g, cut in found], schema)
 
 
 def temporal_split(df: DataFrame, order_by: list[str], frac: float = 0.8, out: str = "split") -> DataFrame:
     """The first ``floor(frac * n)`` rows in ``order_by`` order (a total order)
-    are 'train', the rest 'test'.  The key at that position is found by ranking
-    only the key columns (distributed exact sequence); the wide rows are then
-    labelled by comparing with that one-row cutoff -- a narrow, broadcast filter."""
-    cut = _cutoffs(df, order_by, [], lambda n: F.floor(n * F.lit(frac)))
+    are 'train', the rest 'test'.  The key at that position is found from histograms
+    of the key columns; the wide rows are then labelled by comparing with that
+    one-row cutoff -- a narrow, broadcast filter.  No row is sorted or moved."""
+    cut = _cutoffs(df, order_by, [], lambda n: math.floor(n * frac))
     j = df.crossJoin(F.broadcast(cut))                                  # one row
     return j.withColumn(out, F.when(_le_struct(order_by, "_cut"), "train").otherwise("test")).drop("_cut")
 
@@ -52,8 +47,9 @@ def stratified_split(df: DataFrame, id_col: str, label: str, test_frac: float =
     """M6: per label, the ``round(test_frac * n_label)`` rows with the smallest
     md5(seed:id) are 'test' -- exact class proportions, reproducible anywhere."""
     h = df.withColumn("_h", split_hash(id_col, seed))
-    cut = _cutoffs(h, ["_h", id_col], [label], lambda n: F.round(n * F.lit(test_frac)))
-    j = h.join(F.broadcast(cut), label, "left")                         # one row per class
+    cut = _cutoffs(h, ["_h", id_col], [label], lambda n: math.floor(n * test_frac + 0.5))
+    cut = cut.withColumnRenamed(label, "_of")
+    j = h.join(F.broadcast(cut), F.col(label).eqNullSafe(F.col("_of")), "left").drop("_of")     # at most MAX_GROUPS rows
     return j.withColumn(out, F.when(_le_struct(["_h", id_col], "_cut"), "test").otherwise("train")) \
         .drop("_h", "_cut")
 
