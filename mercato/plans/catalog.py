@@ -18,33 +18,33 @@ from ..operators import features as fe
 from ..operators import master as ms
 from ..operators import reports as rp
 from ..sources.binding import bind_marketplace
+from .bundles import data_fingerprint
 from .etl import master_location, materialize_master
 from .oracle import mode_cte, rounded, with_master
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-_BOUND: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_BOUND: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
 
 
 def bound(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Binding of ``sf_dir`` (memoised per application: the item numbering is a
-    checkpointed job, done once per session)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """Binding of ``sf_dir``, remembered while its files stay as they are."""
+    key = (spark.sparkContext.applicationId, sf_dir, data_fingerprint(spark, sf_dir))
     if key not in _BOUND:
         _BOUND[key] = bind_marketplace(spark, sf_dir)
     return _BOUND[key]
 
 
-_MASTER: dict[tuple[str, str], DataFrame] = {}
+_MASTER: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def master_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The master table of ``sf_dir``: built once per application, written to the
     shared checkpoint folder and read back (downstream jobs scan parquet)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, data_fingerprint(spark, sf_dir))
     if key not in _MASTER:
-        _MASTER[key] = materialize_master(spark, bound(spark, sf_dir), master_location(spark, sf_dir))
+        _MASTER[key] = materialize_master(spark, bound(spark, sf_dir), f"{master_location(spark, sf_dir)}_{key[2][:12]}")
     return _MASTER[key]
 
 
@@ -825,36 +825,29 @@ SELECT * FROM seller WHERE seller_id IN (SELECT seller_id FROM delay WHERE is_de
                                      fe.delay_features(master_of(s, d)).filter(F.col("is_delayed") == 1)))
 
 # ---------------------------------------------------------------- model training (rows-only checks)
+from . import models as md  # noqa: E402
 from . import train as tr  # noqa: E402
 
 
-_TRAINED: dict[tuple[str, str, str], object] = {}
+def _bundle(s, d, name):
+    """The newest bundle of these data, trained and saved if there is none; scoring reads it from disk."""
+    return md.current(s, d, name, lambda table: master_of(s, d) if table == "master" else bound(s, d)[table])
 
 
-def _trained(name: str, fn):
-    """Train once per application and input folder (later queries reuse the result)."""
-    def get(s, d):
-        key = (s.sparkContext.applicationId, d, name)
-        if key not in _TRAINED:
-            _TRAINED[key] = fn(s, d)
-        return _TRAINED[key]
-    return get
+def _saved(query: str, name: str, table: str) -> None:
+    """A query that is a table of a bundle."""
+    register(query)(lambda s, d: _bundle(s, d, name).tables[table])
 
 
-_delay = _trained("delay", lambda s, d: tr.train_delay(master_of(s, d)))
-_churn = _trained("churn", lambda s, d: tr.train_churn_ltv(master_of(s, d)))
-_pricing = _trained("pricing", lambda s, d: tr.train_pricing(master_of(s, d)))
-_sentiment = _trained("sentiment", lambda s, d: tr.train_sentiment(bound(s, d)["reviews"]))
-_clusters = _trained("clusters", lambda s, d: tr.cluster_sellers(master_of(s, d)))
-_als = _trained("als", lambda s, d: tr.train_als(fe.interactions(master_of(s, d))))
+for _query, _name, _table in (
+        ("train_delay", "delay", "metrics"), ("train_churn_ltv", "customers", "metrics"), ("train_pricing", "pricing", "metrics"),
+        ("train_sentiment", "sentiment", "metrics"), ("cluster_sellers", "sellers", "metrics"), ("train_als", "recommender", "metrics"),
+        ("k_selection", "sellers", "k_table"), ("cluster_profile", "sellers", "profile"),
+        ("als_recommendations", "recommender", "recommendations"), ("popular_recommendations", "recommender", "popular"),
+        ("delay_feature_importance", "delay", "delay_importance"), ("churn_feature_importance", "customers", "churn_importance"),
+        ("ltv_feature_importance", "customers", "ltv_importance"), ("pricing_feature_importance", "pricing", "pricing_importance")):
+    _saved(_query, _name, _table)
 
-register("train_delay")(lambda s, d: _delay(s, d).metrics)
-register("train_churn_ltv")(lambda s, d: _churn(s, d).metrics)
-register("train_pricing")(lambda s, d: _pricing(s, d).metrics)
-register("train_sentiment")(lambda s, d: _sentiment(s, d).metrics)
-register("cluster_sellers")(lambda s, d: _clusters(s, d).metrics)
-register("k_selection")(lambda s, d: _clusters(s, d).extras["k_table"])
-register("train_als")(lambda s, d: _als(s, d).metrics)
 register("recommender_metrics", with_master("""
 SELECT count(DISTINCT customer_unique_id) AS num_customers, count(DISTINCT product_id) AS num_products,
        count(*) AS num_interactions, 50 AS top_n_products FROM inter""", _INTER))(
@@ -863,72 +856,22 @@ SELECT count(DISTINCT customer_unique_id) AS num_customers, count(DISTINCT produ
 
 # ---------------------------------------------------------------- model-based scoring (rows-only checks)
 
-
-def _delay_risk(s, d):
-    r = _delay(s, d)
-    rows = fe.delay_features(master_of(s, d)).select("order_id", *tr.DELAY_FEATURES)
-    scored = tr.score_with_model(r.model, rows, tr.DELAY_FEATURES, r.extras["label_maps"], r.extras["medians"],
-                                 "prob_delay")
-    return sc.risk_band(scored, "prob_delay").select("order_id", "prob_delay", "risk_band", "actions")
-
-
-def _customer_scores(s, d):
-    r = _churn(s, d)
-    churn_model, ltv_model = r.model
-    c = fe.customer_features(master_of(s, d))
-    churn = tr.score_with_model(churn_model, c.select("customer_unique_id", *tr.CHURN_FEATURES),
-                                tr.CHURN_FEATURES, r.extras["churn_maps"], r.extras["churn_medians"], "prob_churn")
-    ltv = tr.score_with_model(ltv_model, c.select("customer_unique_id", *tr.LTV_FEATURES), tr.LTV_FEATURES,
-                              r.extras["ltv_maps"], r.extras["ltv_medians"], None) \
-        .select("customer_unique_id", F.col("prediction").alias("ltv_pred"))
-    out = sc.churn_status(churn.select("customer_unique_id", "prob_churn"), "prob_churn").join(
-        ltv, "customer_unique_id")
-    return sc.ltv_segment(out, "ltv_pred").select("customer_unique_id", "prob_churn", "churn_status", "retention",
-                                                  "ltv_pred", "segment")
-
-
-def _price_suggestions(s, d):
-    r = _pricing(s, d)
-    rows = fe.pricing_features(master_of(s, d)).select("order_id", "order_item_id", "product_id",
-                                                       *tr.PRICING_FEATURES)
-    scored = tr.score_with_model(r.model, rows, tr.PRICING_FEATURES, r.extras["label_maps"], r.extras["medians"],
-                                 None).withColumnRenamed("prediction", "base_price")
-    return sc.price_bands(scored).select("order_id", "order_item_id", "product_id", "base_price",
-                                         "competitive_price", "premium_price")
-
-
-def _sentiment_scores(s, d):
-    r = _sentiment(s, d)
-    pred = r.extras["predictions"].join(
-        r.extras["classes"].select(F.col("code").cast("double").alias("prediction"),
-                                   F.col("value").alias("predicted_sentiment")), "prediction")
-    return pred.select("review_id", "sentiment", "predicted_sentiment", "confidence")
-
-
-register("delay_risk_scores")(_delay_risk)
-register("customer_scores")(_customer_scores)
-register("price_suggestions")(_price_suggestions)
-register("sentiment_scores")(_sentiment_scores)
+register("delay_risk_scores")(lambda s, d: md.score_delay(_bundle(s, d, "delay"), fe.delay_features(master_of(s, d))))
+register("customer_scores")(lambda s, d: md.score_customers(_bundle(s, d, "customers"), fe.customer_features(master_of(s, d))))
+register("price_suggestions")(lambda s, d: md.score_prices(_bundle(s, d, "pricing"), fe.pricing_features(master_of(s, d))))
+register("sentiment_scores")(lambda s, d: md.score_sentiment(_bundle(s, d, "sentiment"), bound(s, d)["reviews"]))
 register("model_negative_alerts")(
-    lambda s, d: sc.negative_alerts(_sentiment_scores(s, d)).select("review_id", "predicted_sentiment", "confidence",
-                                                                    "actions"))
-register("seller_clusters")(lambda s, d: _clusters(s, d).extras["sellers"].select("seller_id", "cluster", "tier"))
-register("cluster_profile")(lambda s, d: _clusters(s, d).extras["profile"])
+    lambda s, d: sc.negative_alerts(md.score_sentiment(_bundle(s, d, "sentiment"), bound(s, d)["reviews"]))
+    .select("review_id", "predicted_sentiment", "confidence", "actions"))
+register("seller_clusters")(lambda s, d: _bundle(s, d, "sellers").tables["sellers"].select("seller_id", "cluster", "tier"))
 
 
-def _importance_table(s, pairs):
-    """E5 result (at most 10 (feature, importance) pairs) as a table."""
-    return s.createDataFrame([(i + 1, n, float(v)) for i, (n, v) in enumerate(pairs)],
-                             "rank int, feature string, importance double")
+def _top_terms(s, d):
+    b = _bundle(s, d, "sentiment")
+    return tr.top_terms(b.models["sentiment"], b.tables["vocab"], b.tables["classes"], 10)
 
 
-register("delay_feature_importance")(lambda s, d: _importance_table(s, _delay(s, d).extras["importance"]))
-register("churn_feature_importance")(lambda s, d: _importance_table(s, _churn(s, d).extras["churn_importance"]))
-register("ltv_feature_importance")(lambda s, d: _importance_table(s, _churn(s, d).extras["ltv_importance"]))
-register("pricing_feature_importance")(lambda s, d: _importance_table(s, _pricing(s, d).extras["importance"]))
-register("sentiment_top_terms")(
-    lambda s, d: tr.top_terms(_sentiment(s, d).model, _sentiment(s, d).extras["vocab"],
-                              _sentiment(s, d).extras["classes"], 10))
+register("sentiment_top_terms")(_top_terms)
 
 # ---------------------------------------------------------------- describe reports of the feature tables
 

@@ -1,4 +1,4 @@
-"""Model training and evaluation jobs (T1-T7, T9, E1-E8) on MLlib.
+"""Model training and evaluation jobs (T1-T7, T9, E1-E8), on MLlib but for K-means.
 
 Each job: feature table -> reference preprocessing (medians, 'unknown', sorted
 codes; fitted on the whole table as the reference does) -> split -> distributed
@@ -9,8 +9,8 @@ MLlib equivalents of the reference learners: gradient-boosted trees
 (``GBTClassifier`` / ``GBTRegressor``: 200 iterations, depth 5-6, step 0.05,
 row subsampling 0.8, feature subsampling 0.8 per node), multinomial logistic
 regression with balanced class weights and ``regParam = 1 / (C * sum(weights))``
-(the scikit-learn objective divided by the weight total), and K-means with
-restarts.  Trees differ from xgboost in details (per-node column sampling, no
+(the scikit-learn objective divided by the weight total), and ALS.  K-means runs all
+numbers of clusters and restarts together (``operators/kmeans.py``).  Trees differ from xgboost in details (per-node column sampling, no
 leaf L2 term), so tests bound metrics rather than compare them exactly.
 """
 
@@ -19,8 +19,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import GBTRegressor
@@ -29,7 +27,9 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate as ev
 from ..operators import features as fe
+from ..operators import kmeans as km
 from ..operators import prep as pp
+from ..operators import recommend as rc
 from ..operators import split as sp
 from ..operators import text as tx
 from ..operators.sequence import pin
@@ -90,6 +90,15 @@ def _gbt_regressor(p: TreeParams) -> GBTRegressor:
                         featureSubsetStrategy=p.feature_subset, seed=p.seed, maxBins=p.max_bins)
 
 
+ROWS_A_TASK = 50_000
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """Training rows in as many partitions as they fill: boosting runs a job for every level of every tree, and
+    on a table of one partition's size most of such a job would be the start of its other tasks."""
+    return df.coalesce(max(1, -(-df.count() // ROWS_A_TASK)))
+
+
 def _split_sizes(df: DataFrame) -> DataFrame:
     return df.agg(F.sum(F.when(F.col("split") == "train", 1).otherwise(0)).cast("long").alias("train_size"),
                   F.sum(F.when(F.col("split") == "test", 1).otherwise(0)).cast("long").alias("test_size"))
@@ -98,7 +107,8 @@ def _split_sizes(df: DataFrame) -> DataFrame:
 def _classify(prepared: DataFrame, features: list[str], label: str, params: TreeParams,
               prefix: str = "") -> TrainResult:
     data = pp.assemble(prepared, features).withColumn("label", F.col(label).cast("double")) \
-        .select("split", "label", label, "features").persist()     # reused by fit and evaluation
+        .select("split", "label", label, "features")
+    data = sized(data).persist()                                   # reused by fit and evaluation
     train = pp.with_pos_weight(data.filter(F.col("split") == "train"), label, "weight")
     test = data.filter(F.col("split") == "test")
     model = _gbt_classifier(params, "weight").fit(train)
@@ -131,8 +141,10 @@ def train_churn_ltv(master: DataFrame, params: TreeParams | None = None) -> Trai
     params = params or TreeParams(max_depth=5)
     c = pin(sp.churn_split(pin(fe.customer_features(master), "customers")), "customer_split")
     churn_prep, churn_maps, churn_medians = pp.prepare_features(c, CHURN_FEATURES)
+    churn_prep = pin(churn_prep, "churn_prepared")
     churn = _classify(churn_prep, CHURN_FEATURES, "is_churn", params, prefix="churn_")
     ltv_prep, ltv_maps, ltv_medians = pp.prepare_features(c, LTV_FEATURES)
+    ltv_prep = pin(ltv_prep, "ltv_prepared")
     ltv = _regress(ltv_prep, LTV_FEATURES, "ltv", params, prefix="ltv_")
     m = _materialize(churn.metrics.crossJoin(ltv.metrics.drop("train_size", "test_size")).withColumn(
         "leakage_alarm", F.col("churn_auc_roc") > 0.95))
@@ -145,7 +157,8 @@ def train_churn_ltv(master: DataFrame, params: TreeParams | None = None) -> Trai
 def _regress(prepared: DataFrame, features: list[str], label: str, params: TreeParams,
              prefix: str = "") -> TrainResult:
     data = pp.assemble(prepared, features).withColumn("label", F.col(label).cast("double")) \
-        .select("split", "label", "features").persist()            # reused by fit and evaluation
+        .select("split", "label", "features")
+    data = sized(data).persist()                                   # reused by fit and evaluation
     train, test = data.filter(F.col("split") == "train"), data.filter(F.col("split") == "test")
     model = _gbt_regressor(params).fit(train)
     pred = model.transform(test)
@@ -162,8 +175,8 @@ def train_pricing(master: DataFrame, params: TreeParams | None = None) -> TrainR
     params = params or TreeParams(max_depth=6)
     p = fe.pricing_features(master)
     p, maps, medians = pp.prepare_features(p, PRICING_FEATURES)
-    p = p.withColumn("_ym", F.col("purchase_year") * 100 + F.col("purchase_month"))
-    p = sp.temporal_split(p, ["_ym", "order_id", "order_item_id"])
+    p = p.withColumn("_ym", (F.col("purchase_year") * 100 + F.col("purchase_month")).cast("long"))
+    p = pin(sp.temporal_split(p, ["_ym", "order_id", "order_item_id"]), "pricing_prepared")
     r = _regress(p, PRICING_FEATURES, "price", params)
     r.extras.update(label_maps=maps, medians=medians)
     return r
@@ -183,7 +196,8 @@ def train_sentiment(reviews: DataFrame, c: float = 1.0, max_iter: int = 1000, ma
     classes = pp.fit_label_map(split, "sentiment")              # sorted labels -> 0..k-1
     vec = pp.apply_label_map(vec.withColumn("_lbl", F.col("sentiment")), "_lbl", classes, "label") \
         .withColumn("label", F.col("label").cast("double")) \
-        .select("review_id", "sentiment", "split", "label", "features").persist()
+        .select("review_id", "sentiment", "split", "label", "features")
+    vec = sized(pin(vec, "sentiment_vectors")).persist()
     train = pp.with_balanced_weights(vec.filter(F.col("split") == "train"), "sentiment", "weight")
     n_train = train.count()
     lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", family="multinomial",
@@ -215,56 +229,58 @@ def top_terms(model, vocab: DataFrame, classes: DataFrame, k: int = 10) -> DataF
 
 
 def cluster_sellers(master: DataFrame, ks=range(2, 9), restarts: int = 10, seed: int = 42) -> TrainResult:
-    """T6 + T7: K-means on standardised seller features for each k; the best of
-    ``restarts`` seeds (lowest cost) per k; k chosen by the best silhouette.
-    Silhouette is MLlib's linear-time squared-Euclidean form (the exact Euclidean
-    one needs all pairs)."""
-    s = fe.seller_features(master)
-    x = pp.impute_median(s, SELLER_FEATURES)
-    x = pp.standardize(x, SELLER_FEATURES)
-    data = pp.assemble(x, SELLER_FEATURES).cache()
+    """T6 + T7 + E7: K-means on standardised seller features, all ``ks`` and ``restarts`` in one pass a round;
+    per k the restart of lowest inertia, and the k of the best Euclidean silhouette."""
+    s = pin(fe.seller_features(master), "sellers")
+    medians = pp.fit_medians(s, SELLER_FEATURES)
+    x = pp.impute_median(s, SELLER_FEATURES, medians)
+    scaler = pin(pp.fit_scaler(x, SELLER_FEATURES), "scaler")
+    x = pp.standardize(x, SELLER_FEATURES, scaler)
+    data = pin(x.select("seller_id", F.array(*[F.col(c).cast("double") for c in SELLER_FEATURES]).alias("features")), "seller_vectors")
     spark = data.sparkSession
-    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="cluster")
-    per_k, best = [], None
-    for k in ks:
-        fits = [KMeans(k=k, seed=seed + r, featuresCol="features", predictionCol="cluster",
-                       maxIter=300, tol=1e-4).fit(data) for r in range(restarts)]
-        model = min(fits, key=lambda m: m.summary.trainingCost)
-        sil = evaluator.evaluate(model.transform(data))
-        per_k.append((int(k), float(model.summary.trainingCost), float(sil)))
-        if best is None or sil > best[1]:
-            best = (k, sil, model)
-    k, sil, model = best
-    table = spark.createDataFrame(per_k, "k int, inertia double, silhouette double")   # one row per k
+    models = km.best_by_k(km.fit_kmeans(data, "features", list(ks), restarts, seed))
+    silhouettes = km.silhouettes(data, "features", models)
+    table = spark.createDataFrame([(m.k, m.inertia, silhouettes[m.k]) for m in models], "k int, inertia double, silhouette double")
+    model = max(models, key=lambda m: (silhouettes[m.k], -m.k))
     metrics = _materialize(data.agg(F.count(F.lit(1)).alias("num_sellers")).select(
-        "num_sellers", F.lit(int(k)).alias("best_k"), F.lit(float(sil)).alias("silhouette_score"),
-        F.lit(float(model.summary.trainingCost)).alias("inertia")))
-    labels = pin(model.transform(data).select("seller_id", "cluster"), "seller_clusters")
-    data.unpersist()
+        "num_sellers", F.lit(model.k).alias("best_k"), F.lit(silhouettes[model.k]).alias("silhouette_score"),
+        F.lit(model.inertia).alias("inertia")))
+    labels = pin(km.assign(data, "features", model).select("seller_id", "cluster"), "seller_clusters")
     # cluster labels on the raw (unscaled) seller table, as the profiles report raw means
     labelled = s.join(labels, "seller_id")
     from ..operators import scoring as sc
     profile = sc.cluster_profile(labelled)                      # A35 on the K-means labels
     tiers = sc.cluster_tiers(profile)                           # A36
+    centers = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(model.centers)], "cluster int, center array<double>")
     return TrainResult(metrics, model, {"k_table": table, "sellers": sc.seller_tiers(labelled, tiers),
                                         "sizes": sc.cluster_sizes(labelled), "profile": profile,
-                                        "tiers": tiers})
+                                        "tiers": tiers, "centers": centers, "medians": medians, "scaler": scaler})
 
 
-def train_als(inter: DataFrame, rank: int = 10, reg: float = 0.1, alpha: float = 1.0, seed: int = 42
+def train_als(purchases: DataFrame, rank: int = 10, reg: float = 0.1, alpha: float = 1.0, seed: int = 42, k: int = 10
               ) -> TrainResult:
-    """T9 (documented in the reference, not implemented there): implicit-feedback
-    ALS on the first-appearance ids."""
-    ids = pp.index_ids(inter)
+    """Implicit-feedback ALS on the first-appearance ids, judged by each person's last new product.
+
+    ``purchases`` has customer_unique_id, product_id and order_purchase_timestamp.  The product that a person with
+    several bought last for the first time is left out, the model is fitted on the rest and ranks, for every person, all
+    products that they haven't bought; recall and NDCG at ``k`` count how often and how high it stands.  The most
+    popular products of the same rest are ranked beside it (T8)."""
+    last, rest = rc.leave_last_out(purchases)
+    rest, last = pin(rest, "interactions_rest"), pin(last, "interactions_last")
+    ids = pin(pp.index_ids(rest), "interaction_ids")
     als = ALS(userCol="customer_idx", itemCol="product_idx", ratingCol="interaction_count", implicitPrefs=True,
               rank=rank, regParam=reg, alpha=alpha, seed=seed, coldStartStrategy="drop")
-    model = als.fit(ids.withColumn("customer_idx", F.col("customer_idx").cast("int"))
-                       .withColumn("product_idx", F.col("product_idx").cast("int"))
-                       .withColumn("interaction_count", F.col("interaction_count").cast("float")))
-    metrics = _materialize(ids.agg(F.countDistinct("customer_idx").alias("num_customers"),
-                                   F.countDistinct("product_idx").alias("num_products"),
-                                   F.count(F.lit(1)).alias("num_interactions")))
-    return TrainResult(metrics, model, {"ids": ids})
+    model = als.fit(sized(ids.withColumn("customer_idx", F.col("customer_idx").cast("int"))
+                             .withColumn("product_idx", F.col("product_idx").cast("int"))
+                             .withColumn("interaction_count", F.col("interaction_count").cast("float"))))
+    top = pin(rc.recommend(model.userFactors, model.itemFactors, ids, k), "recommendations")
+    popular = pin(rc.popular_unseen(ids, k), "popular")
+    every = rest.select("customer_unique_id", "product_id").unionByName(last.select("customer_unique_id", "product_id"))
+    metrics = every.agg(F.countDistinct("customer_unique_id").alias("num_customers"), F.countDistinct("product_id").alias("num_products"),
+                        F.count(F.lit(1)).alias("num_interactions")) \
+        .withColumns({"rank": F.lit(rank), "k": F.lit(k)}).crossJoin(rc.ranking_metrics(top, last, k, "")) \
+        .crossJoin(rc.ranking_metrics(popular, last, k, "popular_").drop("popular_judged"))
+    return TrainResult(_materialize(metrics), model, {"ids": ids, "recommendations": top, "popular": popular})
 
 
 def recommender_metrics(inter: DataFrame, top_n: int = 50) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
@@ -131,19 +129,3 @@ def write_table(df: DataFrame, root: str, name: str, partition_by: list[str] | N
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return path
-
-
-def append_metrics(spark: SparkSession, metrics: dict, root: str, name: str) -> DataFrame:
-    """Append one metrics row stamped with ``trained_at`` (never overwrites)."""
-    row = {"trained_at": _dt.datetime.now().replace(microsecond=0), **metrics}
-    df = spark.createDataFrame([row])
-    df.write.mode("append").parquet(f"{root}/{name}")
-    return df
-
-
-def save_model(model, path: str) -> str:
-    """Persist an MLlib model / pipeline model."""
-    model.write().overwrite().save(path)
-    return path
-
-
