@@ -55,7 +55,8 @@ def payments_by_order(payments: DataFrame) -> DataFrame:
             .agg(F.count("payment_sequential").alias("payment_count"),
                  modal("payment_type").alias("payment_type_main"),
                  F.max("payment_installments").alias("payment_installments_max"),
-                 sum0("payment_value").alias("payment_value_total")))
+                 # money added exactly: the total doesn't depend on the order in which rows meet
+                 F.coalesce(F.sum(F.col("payment_value").try_cast("decimal(30,8)")).cast("double"), F.lit(0.0)).alias("payment_value_total")))
 
 
 def reviews_by_order(reviews: DataFrame) -> DataFrame:

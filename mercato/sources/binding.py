@@ -11,7 +11,7 @@ only the test columns it needs, so parquet scans carry a narrow ``ReadSchema``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -174,19 +174,25 @@ def bind_geolocation(spark, sf_dir) -> DataFrame:
                         F.col("n_name").alias("geolocation_state")))
 
 
-class LazyTables(dict):
+class LazyTables(Mapping):
     """Tables by name, each derived when it is first asked for."""
 
     def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
-        super().__init__()
-        self.makers = makers
+        self.makers, self.made = makers, {}
 
-    def __missing__(self, name: str) -> DataFrame:
-        self[name] = self.makers[name]()
-        return self[name]
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.made:
+            self.made[name] = self.makers[name]()
+        return self.made[name]
 
+    def __iter__(self):
+        return iter(self.makers)
 
-def bind_marketplace(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    def __len__(self) -> int:
+        return len(self.makers)
+
+
+def bind_marketplace(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     """The nine marketplace tables derived from the test tables under ``sf_dir``."""
     makers = {"orders": bind_orders, "order_items": lambda s, d: bind_items_and_payments(s, d)[0],
               "payments": lambda s, d: bind_items_and_payments(s, d)[1], "reviews": bind_reviews, "customers": bind_customers,

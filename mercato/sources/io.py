@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from .csv_records import read_csv
+
 # fixed values: strings a CSV reader treats as missing (pandas defaults)
 NULL_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
                "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
@@ -28,15 +30,15 @@ def read_table(spark: SparkSession, root: str, name: str, schema: StructType | N
     """Read ``root/name`` (parquet dir/file or CSV); fail clearly when absent.
 
     With a ``schema``, its columns must be there; CSV text is cast to its types by column name
-    (text that doesn't parse -> NULL), parquet keeps the types it has.  A CSV file is split over
-    tasks only without ``multi_line`` (quoted line breaks)."""
+    (text that doesn't parse -> NULL), parquet keeps the types it has.  Large CSV files are split over
+    tasks, those with quoted line breaks (``multi_line``) too."""
     candidates = [f"{root}/{name}.parquet", f"{root}/{name}", f"{root}/{name}.csv"]
     for path in candidates:
         if _exists(spark, path):
             kind = fmt or ("csv" if path.endswith(".csv") else "parquet")
             if kind == "csv":
-                raw = spark.read.option("header", True).option("multiLine", multi_line) \
-                    .option("escape", '"').option("inferSchema", False).csv(path)
+                raw = read_csv(spark, path) if multi_line else \
+                    spark.read.option("header", True).option("escape", '"').option("inferSchema", False).csv(path)
                 raw = normalize_nulls(raw.toDF(*[c.removeprefix("\ufeff") for c in raw.columns]))
                 return typed(raw, schema, name) if schema is not None else raw
             df = spark.read.parquet(path)
