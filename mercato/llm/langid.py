@@ -28,10 +28,10 @@ from .divergence import folded
 from .tokenize import ragged, text_batches
 
 MAX_N = 4
-ROWS = 16_000                      # labelled rows that the model is fitted on, shared evenly by the languages
-FLUSH = 200_000                    # distinct words a task holds
+ROWS = 6_000                       # labelled rows that the model is fitted on, shared evenly by the languages
+FLUSH = 100_000                    # distinct words a task holds
 BATCH_BYTES = 8 << 20
-SCORED_BYTES = 2 << 20             # of text that is scored at once: its words take some ten times as much
+SCORED_BYTES = 1 << 20             # of text that is scored at once: its words take some ten times as much
 EVIDENCE = 10                      # words whose agreement the score counts as independent
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -268,6 +268,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             names, scores = own.predict_batch(batch)
             yield pa.record_batch([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                   names=["doc_id", "lang_pred", "score"])
+        own._forget()                                            # the worker serves other tasks next
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
         .mapInArrow(run, "doc_id long, lang_pred string, score double")
@@ -281,6 +282,7 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
         own = shared.value
         for batch in text_batches(batches, "text", BATCH_BYTES):
             yield batch.filter(pa.array([x != "und" for x in own.predict_batch(batch)[0]], pa.bool_()))
+        own._forget()
 
     return docs.mapInArrow(run, docs.schema)
 
