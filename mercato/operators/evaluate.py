@@ -68,6 +68,18 @@ def multiclass_metrics(pred: DataFrame, label: str = "label", prediction: str =
         _div0(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("f1_weighted"))
 
 
+def class_report(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """E3 by class: precision, recall, F1 (zero-division -> 0) and support of every label seen in either column."""
+    cm = pred.groupBy(F.col(label).alias("y"), F.col(prediction).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    hit = F.col("y") == F.col("p")
+    per = cm.select(F.explode(F.array(
+        F.struct(F.col("y").alias("class"), F.col("n").alias("support"), F.lit(0).cast("long").alias("predicted"), F.when(hit, F.col("n")).otherwise(0).alias("tp")),
+        F.struct(F.col("p").alias("class"), F.lit(0).cast("long").alias("support"), F.col("n").alias("predicted"), F.lit(0).cast("long").alias("tp")))).alias("c")) \
+        .select("c.*").filter("class is not null").groupBy("class").agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "tp")])
+    return per.select("class", _div0(F.col("tp"), F.col("predicted")).alias("precision"), _div0(F.col("tp"), F.col("support")).alias("recall"),
+                      _div0(2 * F.col("tp"), F.col("support") + F.col("predicted")).alias("f1_score"), "support")
+
+
 def confusion_matrix(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     return pred.groupBy(F.col(label).alias("actual"), F.col(prediction).alias("predicted")) \
         .agg(F.count(F.lit(1)).alias("count"))
@@ -92,8 +104,3 @@ def feature_importance(model, names: list[str], k: int = 10):
     imp = model.featureImportances.toArray().tolist()
     pairs = sorted(zip(names, imp), key=lambda t: (-t[1], t[0]))[:k]
     return [(n, round(v, 4)) for n, v in pairs]
-
-
-def leakage_alarm(auc: float | None, threshold: float = 0.95) -> bool:
-    """A suspiciously high AUC."""
-    return auc is not None and auc > threshold

@@ -1,16 +1,24 @@
-"""Review text preparation and TF-IDF (F11, F12, P7, M8) as DataFrame jobs.
+"""Review text preparation and TF-IDF.
 
 TF-IDF follows the reference vectoriser: accents folded, tokens of 2+ letters,
 unigrams + bigrams of consecutive tokens, document-frequency bounds (min count,
 max share), the ``max_features`` terms by corpus count (ties by term), sublinear
 tf ``1 + ln(tf)``, smooth idf ``ln((1 + n) / (1 + df)) + 1`` and L2 rows.
-Every step is explode / groupBy / join; the vocabulary is bounded by
-``max_features`` and is the only broadcast.
+
+A document's terms stand in one row, so its counts, weights and norm are found where the row is:
+Arrow batches of token arrays are coded by a dictionary and counted with numpy.  What is shuffled are
+the counts of the terms of each batch, and the vocabulary, bounded by ``max_features``, is the
+only broadcast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, fold_accents, review_text
@@ -25,23 +33,42 @@ def clean_reviews(df: DataFrame, id_col: str = "review_id") -> DataFrame:
     return t.filter(F.length("review_clean") > 0)
 
 
-def terms(df: DataFrame, text_col: str, id_col: str, ngram_max: int = 2, keep: tuple = ()) -> DataFrame:
-    """``(doc_id, *keep, term, tf)``: counts of unigrams and bigrams per document.
+def tokens(text: Column) -> Column:
+    """Tokens of 2 or more characters, accents folded."""
+    return F.filter(F.split(fold_accents(text), " "), lambda t: F.length(t) >= 2)
+
+
+def _coded(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """(row of each token, its code, the distinct tokens, places whose next token is in the same row)."""
+    arrays = batch.column("tokens")
+    rows = np.repeat(np.arange(len(arrays)), pc.fill_null(pc.list_value_length(arrays), 0).to_numpy(zero_copy_only=False))
+    coded = arrays.flatten().dictionary_encode()
+    return rows, coded.indices.to_numpy().astype(np.int64), coded.dictionary, np.flatnonzero(rows[1:] == rows[:-1])
+
 
-    Tokens (2+ characters) and the bigrams of consecutive tokens are built inside the
-    row's own array, so nothing is shuffled or sorted before the counts are combined
-    in each task, and rows that share an id never form bigrams with each other."""
-    toks = F.filter(F.split(fold_accents(F.col(text_col)), " "), lambda t: F.length(t) >= 2)
+def _counted(rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, rows that have each, occurrences of each)."""
+    distinct, at = np.unique(keys, return_inverse=True)
+    own = np.unique(rows * max(1, len(distinct)) + at)
+    n = len(distinct)
+    return distinct, np.bincount(own % max(1, n), minlength=n), np.bincount(at, minlength=n)
 
-    def both(t):
-        last = F.size(t) - 1
-        pairs = F.when(last < 1, F.array().cast("array<string>")).otherwise(F.transform(
-            F.sequence(F.lit(0), F.greatest(last, F.lit(1)) - 1), lambda i: F.concat(t[i], F.lit(" "), t[i + 1])))
-        return F.concat(t, pairs)
 
-    each = F.transform(F.array(toks), both)[0] if ngram_max >= 2 else toks
-    return df.select(F.col(id_col).alias("doc_id"), *keep, F.explode(each).alias("term")) \
-        .groupBy("doc_id", *keep, "term").agg(F.count(F.lit(1)).alias("tf"))
+def term_stats(docs: DataFrame, text_col: str, ngram_max: int = 2) -> DataFrame:
+    """``(term, df, total)``: documents with a term and its occurrences, over unigrams and bigrams.  A row is a document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, code, words, pairs = _coded(batch)
+            found = [(words.take(pa.array(k)), df, n) for k, df, n in [_counted(rows, code)]]
+            if ngram_max >= 2 and len(pairs):
+                k, df, n = _counted(rows[pairs], code[pairs] * len(words) + code[pairs + 1])
+                found.append((pc.binary_join_element_wise(words.take(pa.array(k // len(words))), words.take(pa.array(k % len(words))), " "), df, n))
+            for term, df, n in found:
+                yield pa.record_batch([term, pa.array(df.astype(np.int64)), pa.array(n.astype(np.int64))], names=["term", "df", "total"])
+
+    return docs.select(tokens(F.col(text_col)).alias("tokens")).mapInArrow(run, "term string, df long, total long") \
+        .groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
 
 
 def _vocabulary(stats: DataFrame, n_docs: DataFrame, max_features: int, min_df: int,
@@ -58,41 +85,73 @@ def _vocabulary(stats: DataFrame, n_docs: DataFrame, max_features: int, min_df:
 def fit_tfidf(train: DataFrame, text_col: str = "review_clean", id_col: str = "review_id",
               max_features: int = 5000, min_df: int = 5, max_df: float = 0.8) -> DataFrame:
     """M8 fit: vocabulary ``(term, term_index, df, idf)`` from the training docs."""
-    tf = terms(train, text_col, id_col)
-    stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
     n_docs = train.agg(F.count(F.lit(1)).alias("n_docs"))
-    return _vocabulary(stats, n_docs, max_features, min_df, max_df)
-
-
-def _weights(tf: DataFrame, vocab: DataFrame) -> DataFrame:
-    w = (tf.join(F.broadcast(vocab.select("term", "term_index", "idf")), "term")   # <= max_features
-           .withColumn("raw", (F.lit(1.0) + F.log(F.col("tf").cast("double"))) * F.col("idf")))
-    # a document has at most max_features terms: the per-document window is bounded
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("doc_id")))
-    return w.select("doc_id", "term", "term_index", (F.col("raw") / norm).alias("weight"))
+    return _vocabulary(term_stats(train, text_col), n_docs, max_features, min_df, max_df)
+
+
+class _Vocabulary:
+    """The terms of a vocabulary, found by the codes of a batch."""
+
+    def __init__(self, rows: list):
+        self.terms = [r["term"] for r in rows]
+        self.index = np.array([r["term_index"] for r in rows], np.int64)
+        self.idf = np.array([r["idf"] for r in rows], float)
+        words = sorted({w for t in self.terms for w in t.split(" ")})
+        self.words, number = pa.array(words, pa.string()), {w: k for k, w in enumerate(words)}
+        n = self.n = len(words) + 1
+        keys = [(number[t] if " " not in t else (number[t.split(" ")[0]] + 1) * n + number[t.split(" ")[1]]) for t in self.terms]
+        self.order = np.argsort(keys)                       # a word's number; for two, the first's and the second's
+        self.keys = np.array(keys, np.int64)[self.order]
+
+    def weights(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, place in the vocabulary, weight) of the batch's documents, by row."""
+        rows, code, words, pairs = _coded(batch)
+        known = pc.fill_null(pc.index_in(words, self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        own = known[code] if len(code) else code
+        a, b = (own[pairs], own[pairs + 1]) if len(pairs) else (own[:0], own[:0])
+        both = (a >= 0) & (b >= 0)
+        keys = np.concatenate([own[own >= 0], (a[both] + 1) * self.n + b[both]])
+        of = np.concatenate([rows[own >= 0], rows[pairs][both] if len(pairs) else rows[:0]])
+        if not len(self.keys) or not len(keys):
+            return of[:0], of[:0], np.empty(0)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        hit = self.keys[at] == keys
+        cells, tf = np.unique(of[hit] * len(self.keys) + self.order[at[hit]], return_counts=True)
+        row, term = cells // len(self.keys), cells % len(self.keys)
+        raw = (1 + np.log(tf.astype(float))) * self.idf[term]
+        return row, term, raw / np.sqrt(np.bincount(row, raw * raw, batch.num_rows))[row]
+
+
+def _weights(docs: DataFrame, vocab: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """``(doc_id, term, term_index, weight)`` of the vocabulary's terms, by document."""
+    shared = docs.sparkSession.sparkContext.broadcast(_Vocabulary(vocab.select("term", "term_index", "idf").collect()))   # <= max_features
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        terms = pa.array(own.terms, pa.string())
+        for batch in batches:
+            row, term, weight = own.weights(batch)
+            yield pa.record_batch([batch.column("doc_id").take(pa.array(row)), terms.take(pa.array(term)), pa.array(own.index[term].astype(np.int32)), pa.array(weight)],
+                                  names=["doc_id", "term", "term_index", "weight"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(F.col(id_col).alias("doc_id"), tokens(F.col(text_col)).alias("tokens")) \
+        .mapInArrow(run, f"doc_id {kind}, term string, term_index int, weight double")
 
 
 def apply_tfidf(df: DataFrame, vocab: DataFrame, text_col: str = "review_clean",
                 id_col: str = "review_id") -> DataFrame:
     """M8 apply: ``(doc_id, term, term_index, weight)`` with L2-normalised rows."""
-    return _weights(terms(df, text_col, id_col), vocab)
+    return _weights(df, vocab, text_col, id_col)
 
 
 def fit_apply_tfidf(docs: DataFrame, split_col: str = "split", text_col: str = "review_clean",
                     id_col: str = "review_id", max_features: int = 5000, min_df: int = 5,
                     max_df: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Fit on the 'train' rows and weight all rows from ONE tokenisation: the term
-    counts are written once to the shared checkpoint folder (lineage cut for the
-    longest text job) and read by both the vocabulary statistics -- conditional
-    aggregates counting training documents only -- and the weights."""
-    tf = pin(terms(docs, text_col, id_col, keep=(split_col,)), "term_counts")
-    is_train = F.col(split_col) == "train"
-    stats = (tf.groupBy("term")
-               .agg(F.count(F.when(is_train, 1)).alias("df"), F.sum(F.when(is_train, F.col("tf"))).alias("total"))
-               .filter(F.col("df") > 0))
-    n_docs = docs.agg(F.count(F.when(is_train, 1)).alias("n_docs"))
-    vocab = _vocabulary(stats, n_docs, max_features, min_df, max_df)
-    return vocab, _weights(tf.drop(split_col), vocab)
+    """Fit on the 'train' rows, weight all rows.  ``docs`` is written once, cleaned as it is, and read by both passes."""
+    docs = pin(docs.select(id_col, split_col, text_col), "tfidf_docs")
+    vocab = pin(fit_tfidf(docs.filter(F.col(split_col) == "train"), text_col, id_col, max_features, min_df, max_df), "vocab")
+    return vocab, _weights(docs, vocab, text_col, id_col)
 
 
 def tfidf_vectors(weights: DataFrame, docs: DataFrame, size: int, id_col: str = "review_id",

@@ -702,6 +702,14 @@ register("keyword_sentiment_confusion", with_master(
     "SELECT sentiment AS actual, predicted_sentiment AS predicted, count(*) AS count FROM kw GROUP BY 1, 2", _KEYWORD))(
     lambda s, d: ev.confusion_matrix(_keyword_scored(s, d), "sentiment", "predicted_sentiment"))
 
+register("keyword_sentiment_report", with_master("""
+SELECT c.class, CASE WHEN p > 0 THEN tp * 1.0 / p ELSE 0.0 END AS precision, CASE WHEN s > 0 THEN tp * 1.0 / s ELSE 0.0 END AS recall,
+       CASE WHEN s + p > 0 THEN 2.0 * tp / (s + p) ELSE 0.0 END AS f1_score, s AS support
+FROM (SELECT x AS class, (SELECT count(*) FROM kw WHERE sentiment = x) AS s, (SELECT count(*) FROM kw WHERE predicted_sentiment = x) AS p,
+             (SELECT count(*) FROM kw WHERE sentiment = x AND predicted_sentiment = x) AS tp
+      FROM (SELECT sentiment AS x FROM kw UNION SELECT predicted_sentiment FROM kw) u) c""", _KEYWORD), ("precision", "recall", "f1_score"))(
+    lambda s, d: ev.class_report(_keyword_scored(s, d), "sentiment", "predicted_sentiment"))
+
 register("negative_alerts", with_master(
     "SELECT review_id, predicted_sentiment, [" + ", ".join(f"'{a}'" for a in sc.NEGATIVE_REVIEW_ACTIONS) +
     "] AS actions FROM kw WHERE predicted_sentiment = 'negative'", _KEYWORD))(
@@ -843,11 +851,25 @@ for _query, _name, _table in (
         ("train_delay", "delay", "metrics"), ("train_churn_ltv", "customers", "metrics"), ("train_pricing", "pricing", "metrics"),
         ("train_sentiment", "sentiment", "metrics"), ("cluster_sellers", "sellers", "metrics"), ("train_als", "recommender", "metrics"),
         ("k_selection", "sellers", "k_table"), ("cluster_profile", "sellers", "profile"),
-        ("als_recommendations", "recommender", "recommendations"), ("popular_recommendations", "recommender", "popular"),
+        ("als_recommendations", "recommender", "recommendations"),
         ("delay_feature_importance", "delay", "delay_importance"), ("churn_feature_importance", "customers", "churn_importance"),
         ("ltv_feature_importance", "customers", "ltv_importance"), ("pricing_feature_importance", "pricing", "pricing_importance")):
     _saved(_query, _name, _table)
 
+register("popular_recommendations", with_master("""
+SELECT customer_unique_id, rank, product_id, score FROM (
+  SELECT c.customer_unique_id, n.product_id, CAST(n.n AS DOUBLE) AS score,
+         CAST(row_number() OVER (PARTITION BY c.customer_unique_id ORDER BY n.n DESC, n.product_id) AS INTEGER) AS rank
+  FROM (SELECT DISTINCT customer_unique_id FROM rest) c CROSS JOIN (SELECT product_id, count(*) AS n FROM rest GROUP BY product_id) n
+  WHERE NOT EXISTS (SELECT 1 FROM rest r WHERE r.customer_unique_id = c.customer_unique_id AND r.product_id = n.product_id)) x
+WHERE rank <= 10""", """
+firsts AS (SELECT customer_unique_id, product_id, min(order_purchase_timestamp) AS f FROM master
+           WHERE customer_unique_id IS NOT NULL AND product_id IS NOT NULL GROUP BY 1, 2),
+rest AS (SELECT customer_unique_id, product_id FROM (
+           SELECT *, count(*) OVER (PARTITION BY customer_unique_id) AS n,
+                  row_number() OVER (PARTITION BY customer_unique_id ORDER BY f DESC NULLS LAST, product_id DESC) AS k FROM firsts) x
+         WHERE n = 1 OR k > 1)"""))(
+    lambda s, d: _bundle(s, d, "recommender").tables["popular"])
 register("recommender_metrics", with_master("""
 SELECT count(DISTINCT customer_unique_id) AS num_customers, count(DISTINCT product_id) AS num_products,
        count(*) AS num_interactions, 50 AS top_n_products FROM inter""", _INTER))(

@@ -17,7 +17,8 @@ FAST = ["build_master", "kpis", "sales_by_month", "status_distribution", "top_ca
         "tfidf_weights", "index_ids", "delay_temporal_split", "sentiment_stratified_split",
         "encoded_delay_features", "churn_heuristic_eval", "keyword_sentiment_eval", "optimal_price",
         "recommend_by_category", "cluster_tiers_by_state", "best_sellers", "delay_target_balance_by_split",
-        "keyword_sentiment_confusion", "orders_by_month", "customers_by_state"]
+        "keyword_sentiment_confusion", "orders_by_month", "customers_by_state", "popular_recommendations",
+        "reviews_by_order", "pricing_temporal_split", "churn_split", "payments_by_order", "keyword_sentiment_report"]
 
 
 @pytest.fixture(scope="module")
@@ -58,7 +59,7 @@ def test_every_query_has_callable_and_named_oracle():
     from mercato.plans.catalog import QUERIES       # the training-data queries may be absent
     no_oracle = set(QUERIES) - set(o)
     assert no_oracle == {"train_delay", "train_churn_ltv", "train_pricing", "train_sentiment",
-                         "cluster_sellers", "k_selection", "train_als", "delay_risk_scores", "customer_scores",
+                         "cluster_sellers", "k_selection", "train_als", "als_recommendations", "delay_risk_scores", "customer_scores",
                          "price_suggestions", "sentiment_scores", "model_negative_alerts", "seller_clusters",
                          "cluster_profile", "delay_feature_importance", "churn_feature_importance",
                          "ltv_feature_importance", "pricing_feature_importance", "sentiment_top_terms"}
