@@ -29,16 +29,6 @@ def flag(cond: Column) -> Column:
     return F.coalesce(cond, F.lit(False)).cast("int")
 
 
-def safe_div(num: Column, den: Column) -> Column:
-    """Division that yields NULL on a zero denominator (ANSI mode would raise)."""
-    return F.try_divide(num, den)
-
-
-def money_round(c: str | Column, digits: int = 2) -> Column:
-    """Round half-up on the exact decimal value, returned as double."""
-    return F.round(col_(c).cast("decimal(38,10)"), digits).cast("double")
-
-
 def latest_non_null(value: str | Column, *order: str | Column) -> Column:
     """Value of the row with the greatest ``order`` tuple among rows where value is not null.
 

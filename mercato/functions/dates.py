@@ -33,8 +33,3 @@ DATE_PARTS = {
 def with_date_parts(df, ts: str, parts=("year", "month", "day", "weekday", "hour", "quarter"),
                     prefix: str = "purchase_"):
     return df.withColumns({f"{prefix}{p}": DATE_PARTS[p](F.col(ts)) for p in parts})
-
-
-def to_timestamp_ntz(c) -> Column:
-    """Parse text to a timezone-free timestamp; unparseable values become NULL."""
-    return F.expr(f"try_cast({c} AS timestamp_ntz)") if isinstance(c, str) else c.try_cast("timestamp_ntz")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.common import latest_non_null, modal, sum0
+from ..functions.common import latest_non_null, modal
 from ..functions.geo import haversine_km
 
 ORDER_COLS = ["order_id", "customer_id", "order_status", "order_purchase_timestamp",
