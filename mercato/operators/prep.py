@@ -23,9 +23,9 @@ def numeric_and_categorical(df: DataFrame, cols: list[str]) -> tuple[list[str],
     return [c for c in cols if c not in cat], cat
 
 
-def fit_medians(df: DataFrame, cols: list[str]) -> DataFrame:
-    """M1 fit: one row, one exact median per column (one distributed sort)."""
-    q = column_quantiles(df, cols, [0.5])
+def fit_medians(df: DataFrame, cols: list[str], accuracy: int | None = None) -> DataFrame:
+    """M1 fit: one row, one median per column: exact (one distributed sort), or sketched (see ``column_quantiles``)."""
+    q = column_quantiles(df, cols, [0.5], accuracy)
     return pin(q.groupBy().pivot("column_name", cols).agg(F.first("q_0")), "medians")
 
 

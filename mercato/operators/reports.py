@@ -128,7 +128,7 @@ def payment_mix(master: DataFrame) -> DataFrame:
 MONEY_COLS = ["price", "freight_value", "payment_value_total"]
 
 
-def _column_stats(df: DataFrame, cols: list[str], qs: list[float], qnames: list[str]) -> DataFrame:
+def _column_stats(df: DataFrame, cols: list[str], qs: list[float], qnames: list[str], accuracy: int | None = None) -> DataFrame:
     """Per column: count, mean, sample std, min, max (one aggregation pass) and exact
     quantiles (one distributed sort for all columns)."""
     agg = df.agg(*[e for c in cols for e in (
@@ -138,20 +138,22 @@ def _column_stats(df: DataFrame, cols: list[str], qs: list[float], qnames: list[
     stack = ", ".join(f"'{c}', `{c}__count`, `{c}__mean`, `{c}__std`, `{c}__min`, `{c}__max`"
                       for c in cols)
     base = agg.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, count, mean, std, min, max)")
-    q = column_quantiles(df, cols, qs)
+    q = column_quantiles(df, cols, qs, accuracy)
     q = q.select("column_name", *[F.col(f"q_{i}").alias(n) for i, n in enumerate(qnames)])
     return base.join(q, "column_name", "left")
 
 
-def price_stats(master: DataFrame, cols: list[str] = MONEY_COLS) -> DataFrame:
-    """Mean, median, min, max, sample std of each money column (nulls dropped)."""
-    st = _column_stats(master, cols, [0.5], ["median"])
+def price_stats(master: DataFrame, cols: list[str] = MONEY_COLS, accuracy: int | None = None) -> DataFrame:
+    """Mean, median, min, max, sample std of each money column (nulls dropped).  With ``accuracy`` the median is
+    sketched in one pass, off by at most rows / accuracy ranks."""
+    st = _column_stats(master, cols, [0.5], ["median"], accuracy)
     return st.select(F.col("column_name").alias("metric"), "mean", "median", "min", "max", "std")
 
 
-def describe_columns(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Count, mean, std, min, quartiles, max per column (long format)."""
-    st = _column_stats(df, cols, [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+def describe_columns(df: DataFrame, cols: list[str], accuracy: int | None = None) -> DataFrame:
+    """Count, mean, std, min, quartiles, max per column (long format).  With ``accuracy`` the quartiles are
+    sketched in one pass, off by at most rows / accuracy ranks."""
+    st = _column_stats(df, cols, [0.25, 0.5, 0.75], ["p25", "p50", "p75"], accuracy)
     return st.select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 

@@ -5,7 +5,7 @@ global percentile puts a whole column into one task.  Here equal values are
 counted first (with map-side combine, so a value that most rows have is one row
 per task), and the distinct values get the range of ranks they cover from a
 running total.  Several columns are handled in ONE sort by unpivoting them into
-``(column_name, value)``.
+``(column_name, value)``.  Where a stated error of rank will do, sketches take one pass.
 """
 
 from __future__ import annotations
@@ -56,10 +56,18 @@ def exact_quantiles(df: DataFrame, column: str, qs: list[float]) -> DataFrame:
     return quantiles_by(df.select(F.col(column).alias("_x")), [], "_x", qs)
 
 
-def column_quantiles(df: DataFrame, cols: list[str], qs: list[float]) -> DataFrame:
-    """Rows ``(column_name, q_0, ...)`` for several numeric columns, one sort in total."""
+def column_quantiles(df: DataFrame, cols: list[str], qs: list[float], accuracy: int | None = None) -> DataFrame:
+    """Rows ``(column_name, q_0, ...)`` for several numeric columns, one sort in total.
+
+    With ``accuracy`` the quantiles come from mergeable sketches instead, one a column, all filled in a single pass
+    without a sort or shuffle of rows: a result is then a value of the column whose rank differs from the wanted one by at most
+    rows / accuracy, and a sketch's size follows the accuracy, not the rows."""
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    if accuracy and cols:
+        sketched = df.agg(*[F.percentile_approx(F.col(c).cast("double"), list(qs), accuracy).alias(f"s{i}") for i, c in enumerate(cols)])
+        each = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"s{i}").alias("q")) for i, c in enumerate(cols)]))
+        return sketched.select(each.alias("v")).select("v.column_name", *[F.col("v.q")[i].alias(f"q_{i}") for i in range(len(qs))])
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
         .unpivot([], cols, "column_name", "_val") if cols else None
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
     res = quantiles_by(long, ["column_name"], "_val", qs)
     return names.join(res, "column_name", "left")
