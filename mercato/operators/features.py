@@ -169,23 +169,37 @@ def seller_delay_rate(delay: DataFrame) -> DataFrame:
                  .agg(F.avg("is_delayed").alias("delay_rate")))
 
 
+def distinct_counts(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
+    """Rows (key, one count a column) with the number of distinct non-null values by key.
+
+    Each column is a two-level aggregate of its own (values first, then their number), narrow and combined in
+    every task; several distinct counts in one aggregate would copy every row once a column."""
+    out = df.select(key).distinct()
+    for column, name in columns.items():
+        own = df.select(key, F.col(column).alias("_v")).filter("_v is not null").groupBy(key, "_v").agg(F.lit(1).alias("_one")) \
+            .groupBy(key).agg(F.count(F.lit(1)).alias(name))
+        out = out.join(own, key, "left").withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
+    return out
+
+
 def seller_features(master: DataFrame, delay: DataFrame | None = None) -> DataFrame:
     """A12 (+J13): seller profile; ``avg_order_value`` is the mean item price and the
     review mean is weighted by item rows (reference semantics)."""
     if delay is None:
         delay = delay_features(master)
-    s = (master.filter(F.col("seller_id").isNotNull()).groupBy("seller_id").agg(
-        F.countDistinct("order_id").alias("num_orders"),
+    rows = master.filter(F.col("seller_id").isNotNull())
+    distinct = distinct_counts(rows, "seller_id", {"order_id": "num_orders", "product_id": "num_unique_products",
+                                                   "customer_state": "num_states_served", "customer_id": "num_customers"})
+    s = (rows.groupBy("seller_id").agg(
         sum0("price").alias("total_revenue"),
         F.avg("price").alias("avg_order_value"),
         F.avg("freight_value").alias("avg_freight"),
-        F.countDistinct("product_id").alias("num_unique_products"),
-        F.countDistinct("customer_state").alias("num_states_served"),
-        F.countDistinct("customer_id").alias("num_customers"),
         modal("product_category_name_english").alias("main_category"),
         F.avg("review_score").alias("avg_review_score"),
         F.first("seller_state", ignorenulls=True).alias("seller_state"),
         F.avg("seller_lat").alias("seller_lat"),
         F.avg("seller_lng").alias("seller_lng")))
-    return (s.join(seller_delay_rate(delay), "seller_id", "left")
-             .withColumn("delay_rate", F.coalesce(F.col("delay_rate"), F.lit(0.0))))
+    return (s.join(distinct, "seller_id").join(seller_delay_rate(delay), "seller_id", "left")
+             .withColumn("delay_rate", F.coalesce(F.col("delay_rate"), F.lit(0.0))).select(
+                 "seller_id", "num_orders", "total_revenue", "avg_order_value", "avg_freight", "num_unique_products", "num_states_served",
+                 "num_customers", "main_category", "avg_review_score", "seller_state", "seller_lat", "seller_lng", "delay_rate"))
