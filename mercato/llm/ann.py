@@ -32,8 +32,7 @@ SAMPLE_VALUES = 1 << 22            # and numbers in them
 MAX_LISTS = 16_384
 ALONE = 512                        # vectors that are one list
 REPLICAS = 4                       # lists that a vector is in, at most
-SPREAD = 0.3                       # of a list's distance: how far it is from a vector's other lists, at least
-BORDER = 1.02                      # of a vector's nearest distance: the lists that it may also be in
+BORDER = 1.15                      # of a vector's nearest distance: the lists that it may also be in
 LINKS = 16                         # links of a graph's node
 WIDTH = 32                         # nodes that a walk holds
 TARGET = 0.95                      # share of the sample's neighbours that the ratio has to find
@@ -136,7 +135,7 @@ class Index:
             for i in range(j):
                 # a list nearer to one that is taken than to the vector adds little
                 between = np.sqrt(((self.centers[beam[:, i]] - self.centers[beam[:, j]]) ** 2).sum(axis=1))
-                may &= ~taken[:, i] | (between >= near[:, j] * SPREAD)
+                may &= ~taken[:, i] | (between >= near[:, j])
             taken[:, j] = may
         row, at = np.nonzero(taken)
         return row, beam[row, at]
