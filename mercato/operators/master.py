@@ -11,7 +11,7 @@ otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import latest_non_null, modal
@@ -79,9 +79,11 @@ def with_distance(master: DataFrame) -> DataFrame:
                              haversine_km("customer_lat", "customer_lng", "seller_lat", "seller_lng"))
 
 
-def build_master(t: dict[str, DataFrame]) -> DataFrame:
+def build_master(t: dict[str, DataFrame], partitions: int | None = None) -> DataFrame:
     """One row per order item; orders without items keep one row of NULL item
-    columns.  Column order follows the reference master table."""
+    columns.  Column order follows the reference master table.  With ``partitions`` the rows
+    come in so many partitions by ``order_id``: the orders are dealt so before the joins by
+    order, which need that shuffle anyway, and all other sides follow."""
     geo = geo_by_zip(t["geolocation"])
     customers_geo = attach_geo(t["customers"], geo, "customer")
     sellers_geo = attach_geo(t["sellers"], geo, "seller")
@@ -99,8 +101,10 @@ def build_master(t: dict[str, DataFrame]) -> DataFrame:
              .join(t["category_translation"].select("product_category_name",
                                                     "product_category_name_english"),
                    "product_category_name", "left"))
+    orders = orders.join(customers_geo, "customer_id", "left")
+    if partitions:
+        orders = orders.repartition(partitions, "order_id")
     m = (orders
-         .join(customers_geo, "customer_id", "left")
          .join(items, "order_id", "left")
          .join(payments_by_order(t["payments"]), "order_id", "left")
          .join(reviews_by_order(t["reviews"]), "order_id", "left"))
@@ -122,7 +126,7 @@ MASTER_COLS = ORDER_COLS + [
 
 def order_grain(master: DataFrame) -> DataFrame:
     """One row per order -- its item row with the lowest number, or the single
-    item-less row.  The lowest number is a partial aggregate over two columns."""
-    first = master.groupBy(F.col("order_id").alias("_first_order")).agg(F.min("order_item_id").alias("_first_item"))
-    return master.join(first, F.col("order_id").eqNullSafe(F.col("_first_order"))
-                       & F.col("order_item_id").eqNullSafe(F.col("_first_item")), "left_semi")
+    item-less row.  Every task keeps its lowest rows of an order before the shuffle on ``order_id``;
+    a master in buckets of ``order_id`` isn't shuffled."""
+    lowest = Window.partitionBy("order_id").orderBy(F.col("order_item_id").asc_nulls_last())
+    return master.withColumn("_place", F.rank().over(lowest)).filter("_place = 1").drop("_place")

@@ -29,13 +29,14 @@ def _money_sum(c: str):
 
 
 def kpis(master: DataFrame) -> DataFrame:
-    """Orders, revenue, customers, sellers, average ticket (one row)."""
+    """Orders, revenue, customers, sellers, average ticket (one row).  Orders are counted after
+    a group by their key, which a master in buckets has together; an order's rows have one customer."""
     og = order_grain(master)
-    o = og.agg(F.countDistinct("order_id").alias("total_orders"),
-               _money_sum("payment_value_total").alias("total_revenue"),
-               F.countDistinct("customer_id").alias("total_customers"))
+    o = og.groupBy("order_id").agg(F.sum(F.col("payment_value_total").cast("decimal(38,2)")).alias("_paid")) \
+          .agg(F.count("order_id").alias("total_orders"), _money_sum("_paid").alias("total_revenue"))
+    c = master.agg(F.countDistinct("customer_id").alias("total_customers"))
     s = master.agg(F.countDistinct("seller_id").alias("total_sellers"))
-    return (o.crossJoin(s)   # 1 row x 1 row
+    return (o.crossJoin(c).crossJoin(s)   # 1 row x 1 row x 1 row
              .select("total_orders", round_clean("total_revenue", 2).alias("total_revenue"),
                      "total_customers", "total_sellers",
                      round_clean(F.coalesce(F.try_divide(F.col("total_revenue"), F.col("total_orders")),

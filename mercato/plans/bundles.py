@@ -82,6 +82,12 @@ def _create(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, if it is there."""
+    jvm, at, fs = _fs(spark, path)
+    fs.delete(at, True)
+
+
 def _schema_hash(features: dict) -> str:
     return hashlib.sha256(json.dumps(features, sort_keys=True).encode()).hexdigest()
 

@@ -1,7 +1,7 @@
 """ETL plan: bind/read inputs -> build the master table -> persist it (S8) -> feature and report tables.
 
-The master is written once as parquet, clustered by ``order_id`` (the key of the
-per-order joins and aggregates downstream), and every report / feature job reads
+The master is written once as parquet, in buckets of ``order_id`` (the key of the
+per-order joins and aggregates downstream; ``master_table.py``), and every report / feature job reads
 the written table: downstream scans then prune columns and push predicates
 (e.g. ``order_status = 'delivered'``) into the parquet reader, and the lineage
 back to the raw inputs is cut.  The folder lives under the cluster's shared
@@ -20,6 +20,7 @@ from ..operators import prep as pp
 from ..operators import reports as rp
 from ..session import ensure_checkpoint_dir
 from ..sources.io import write_table
+from .master_table import write_master
 
 
 def master_location(spark: SparkSession, sf_dir: str) -> str:
@@ -29,15 +30,13 @@ def master_location(spark: SparkSession, sf_dir: str) -> str:
 
 
 def materialize_master(spark: SparkSession, tables: dict[str, DataFrame], path: str) -> DataFrame:
-    """Build the master table, write it clustered by order_id, return the written table."""
-    m = ms.build_master(tables)
-    write_table(m, path.rsplit("/", 1)[0], path.rsplit("/", 1)[1], sort_within=["order_id"])
-    return spark.read.parquet(path)
+    """Build the master table, write it in buckets of order_id, return the written table."""
+    return write_master(spark, tables, path)
 
 
-def run_etl(spark: SparkSession, tables: dict[str, DataFrame], out_root: str) -> dict[str, str]:
+def run_etl(spark: SparkSession, tables: dict[str, DataFrame], out_root: str, by_month: bool = False) -> dict[str, str]:
     """The ETL sinks (master, orders, customers/sellers with geo, products,
-    geo per zip, reviews)."""
+    geo per zip, reviews).  A master ``by_month`` can be refreshed by ``master_table.refresh_months``."""
     geo = ms.geo_by_zip(tables["geolocation"])
     outs = {
         "orders_processed": tables["orders"],
@@ -48,7 +47,7 @@ def run_etl(spark: SparkSession, tables: dict[str, DataFrame], out_root: str) ->
         "reviews_processed": tables["reviews"],
     }
     paths = {"master": f"{out_root}/master"}
-    materialize_master(spark, tables, paths["master"])
+    write_master(spark, tables, paths["master"], by_month=by_month)
     for name, df in outs.items():
         paths[name] = write_table(df, out_root, name)
     return paths
