@@ -20,6 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..functions.text import clean_text, fold_accents, review_text
 from .sequence import pin
@@ -154,19 +155,27 @@ def fit_apply_tfidf(docs: DataFrame, split_col: str = "split", text_col: str = "
     return vocab, _weights(docs, vocab, text_col, id_col)
 
 
-def tfidf_vectors(weights: DataFrame, docs: DataFrame, size: int, id_col: str = "review_id",
-                  out: str = "features") -> DataFrame:
-    """Sparse feature vectors per document (documents with no vocabulary term get an
-    empty vector).  Per-document arrays are bounded by the vocabulary size."""
-    from pyspark.ml.linalg import Vectors, VectorUDT
+def tfidf_vectors(docs: DataFrame, vocab: DataFrame, text_col: str = "review_clean", out: str = "features") -> DataFrame:
+    """``docs`` with the sparse vector of each row's weights by ``term_index``, as long as the vocabulary; a row without its
+    terms, or of null text, has an empty one.  Vectors are assembled in Arrow where the rows are: nothing is shuffled."""
+    from pyspark.ml.linalg import VectorUDT
 
-    per_doc = (weights.groupBy("doc_id")
-                      .agg(F.sort_array(F.collect_list(F.struct("term_index", "weight"))).alias("_e")))
-
-    @F.udf(VectorUDT())
-    def to_sparse(entries):
-        entries = entries or []
-        return Vectors.sparse(size, [e[0] for e in entries], [e[1] for e in entries])
+    shared = docs.sparkSession.sparkContext.broadcast(_Vocabulary(vocab.select("term", "term_index", "idf").collect()))   # <= max_features
+    kept = [c for c in docs.columns if c != out]
 
-    return (docs.join(per_doc, docs[id_col] == per_doc["doc_id"], "left").drop("doc_id")
-                .withColumn(out, to_sparse(F.col("_e"))).drop("_e"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            row, term, weight = own.weights(pa.record_batch([batch.column(len(kept))], names=["tokens"]))
+            place = own.index[term]
+            by = np.lexsort((place, row))
+            ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=batch.num_rows))]).astype(np.int32))
+            n = np.ones(batch.num_rows, np.int32)
+            vector = pa.StructArray.from_arrays(
+                [pa.array((0 * n).astype(np.int8)), pa.array(max(len(own.terms), 1) * n),      # 0: a sparse one
+                 pa.ListArray.from_arrays(ends, pa.array(place[by].astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(weight[by].astype(float)))],
+                names=["type", "size", "indices", "values"])
+            yield pa.record_batch([*batch.columns[:-1], vector], names=[*kept, out])
+
+    schema = StructType([*[docs.schema[c] for c in kept], StructField(out, VectorUDT())])
+    return docs.select(*kept, tokens(F.col(text_col)).alias("__tokens")).mapInArrow(run, schema)

@@ -134,7 +134,7 @@ def score_sentiment(bundle: Bundle, reviews: DataFrame) -> DataFrame:
     bundle.check("sentiment", ["review_clean"])
     rows = tx.clean_reviews(fe.sentiment_dataset(reviews)).select("review_id", "sentiment", "review_clean")
     vocab, classes = bundle.tables["vocab"], bundle.tables["classes"]
-    vectors = tx.tfidf_vectors(tx.apply_tfidf(rows, vocab), rows, max(vocab.count(), 1))
+    vectors = tx.tfidf_vectors(rows, vocab)
     pred = bundle.models["sentiment"].transform(vectors).withColumn("confidence", F.array_max(vector_to_array("probability")))
     names = classes.select(F.col("code").cast("double").alias("prediction"), F.col("value").alias("predicted_sentiment"))
     return pred.join(names, "prediction").select("review_id", "sentiment", "predicted_sentiment", "confidence")

@@ -190,9 +190,7 @@ def train_sentiment(reviews: DataFrame, c: float = 1.0, max_iter: int = 1000, ma
     cleaned = tx.clean_reviews(ds).select("review_id", "sentiment", "review_clean")
     split = pin(sp.stratified_split(cleaned, "review_id", "sentiment", 0.2, 42), "sentiment_split")
     vocab = pin(tx.fit_tfidf(split.filter(F.col("split") == "train"), max_features=max_features), "vocab")
-    size = vocab.count()
-    weights = tx.apply_tfidf(split, vocab)
-    vec = tx.tfidf_vectors(weights, split, max(size, 1))
+    vec = tx.tfidf_vectors(split, vocab)
     classes = pp.fit_label_map(split, "sentiment")              # sorted labels -> 0..k-1
     vec = pp.apply_label_map(vec.withColumn("_lbl", F.col("sentiment")), "_lbl", classes, "label") \
         .withColumn("label", F.col("label").cast("double")) \
