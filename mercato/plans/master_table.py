@@ -61,13 +61,13 @@ def write_master(spark: SparkSession, tables: dict[str, DataFrame], path: str, b
 def open_master(spark: SparkSession, path: str) -> DataFrame:
     """The table at ``path``, written by this session or any other one."""
     layout = spark.read.schema("buckets int, by_month boolean, schema string").json(f"{path}.layout").first()
-    name = _name(path)
+    name, at = _name(path), path.replace("\\", "\\\\").replace("'", "\\'")
     if not spark.catalog.tableExists(name):
         schema = StructType.fromJson(json.loads(layout["schema"]))
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         months = f"PARTITIONED BY ({MONTH})" if layout["by_month"] else ""
         spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {months} CLUSTERED BY ({KEY}) "
-                  f"SORTED BY ({', '.join(ORDER_IN_BUCKET)}) INTO {layout['buckets']} BUCKETS LOCATION '{path}'")
+                  f"SORTED BY ({', '.join(ORDER_IN_BUCKET)}) INTO {layout['buckets']} BUCKETS LOCATION '{at}'")
     if layout["by_month"]:
         spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")     # months that other sessions added or took away
     spark.catalog.refreshTable(name)
