@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,22 @@ def _name(path: str) -> str:
     return f"mercato_master_{hashlib.md5(path.encode()).hexdigest()[:16]}"
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _fewer_shuffle_partitions(spark: SparkSession, buckets: int):
+    """No more shuffle partitions than buckets: joins deal both sides anew where one comes in fewer partitions than the session's."""
+    key = "spark.sql.shuffle.partitions"
+    return _setting(spark, key, str(min(buckets, int(spark.conf.get(key)))))
+
+
 def _laid_out(tables: dict[str, DataFrame], by_month: bool, buckets: int) -> DataFrame:
     """The rows dealt as the table is: a task writes one bucket of every month, one file each."""
     rows = ms.build_master(tables, buckets)
@@ -52,7 +69,8 @@ def write_master(spark: SparkSession, tables: dict[str, DataFrame], path: str, b
     delete_folder(spark, f"{path}.layout")                        # a table without its layout isn't complete
     writer = _laid_out(tables, by_month, buckets).write.mode("overwrite").format("parquet") \
         .bucketBy(buckets, KEY).sortBy(*ORDER_IN_BUCKET).option("path", path)
-    (writer.partitionBy(MONTH) if by_month else writer).saveAsTable(name)
+    with _fewer_shuffle_partitions(spark, buckets):
+        (writer.partitionBy(MONTH) if by_month else writer).saveAsTable(name)
     spark.createDataFrame([(buckets, by_month, spark.table(name).schema.json())], "buckets int, by_month boolean, schema string") \
         .coalesce(1).write.json(f"{path}.layout")
     return spark.table(name)
@@ -96,13 +114,9 @@ def refresh_months(spark: SparkSession, tables: dict[str, DataFrame], path: str,
     part = orders_of_months(tables, months)
     left = {r[0] for r in part["orders"].select(month_key("order_purchase_timestamp")).distinct().collect()}   # among the months named
     rows = _laid_out(part, True, layout["buckets"]).select(*table.columns)
-    mode = "spark.sql.sources.partitionOverwriteMode"             # a table insert reads it from the session only
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
+    # a table insert reads the mode from the session only
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"), _fewer_shuffle_partitions(spark, layout["buckets"]):
         rows.write.mode("overwrite").insertInto(_name(path))
-    finally:
-        spark.conf.set(mode, before)
     for gone in set(months) - left:
         value = "__HIVE_DEFAULT_PARTITION__" if gone is None else gone
         literal = "null" if gone is None else f"'{gone}'"
