@@ -23,7 +23,7 @@ from .common import pinned
 from .tokenize import BatchEncoder, text_batches
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, max_len: int = 2048, end_id: int = 0) -> DataFrame:

@@ -31,7 +31,7 @@ from .graph import connected_components
 from .tokenize import text_batches
 
 POSTING = 1024
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 SHINGLE_BLOCK = 1 << 16
 
 

@@ -11,6 +11,7 @@ or that hold the string of a special token are encoded whole.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -181,6 +182,10 @@ def text_batches(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int)
     # worker processes serve other tasks and stages next: freed pages go back to the machine
     held = []
     pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):                               # not the GNU C library
+        pass
 
 
 def merged(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
