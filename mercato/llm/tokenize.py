@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import ctypes
 import os
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,9 +22,9 @@ import pyarrow.compute as pc
 # a separator after white space, or the mark that stands for a line break below
 _WHOLE = "[\\s\\x{0b}\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}][ \n]|\\x{02}"
 _MARK = "\x02"                      # leads pieces that begin with a line break
-_ALONE = re.compile(r"\s$|^$|<\|")
-_GROUP = 2000                      # distinct pieces encoded as one string
-_KEEP = 400_000                    # pieces remembered between batches
+_ALONE = "[\\s\\x{0b}\\x{1c}-\\x{1f}\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]$|^$|<\\|"
+_GROUP = 50                        # distinct pieces encoded as one string
+_KEEP = 1_000_000                  # pieces remembered between batches
 
 
 def default_tokenizer() -> str:
@@ -36,9 +35,11 @@ def default_tokenizer() -> str:
 
 def ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Positions begin[i] .. begin[i] + size[i] - 1 for every i, one after another."""
-    ends = np.cumsum(size)
+    ends = np.cumsum(size, dtype=np.int64)
     total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total, dtype=np.int64) + np.repeat(begin - (ends - size), size)
+    most = max(total, int(begin.max()) if len(begin) else 0)
+    kind = np.int32 if most < 1 << 30 else np.int64
+    return np.arange(total, dtype=kind) + np.repeat((begin - (ends - size)).astype(kind), size)
 
 
 class BatchEncoder:
@@ -80,7 +81,8 @@ class BatchEncoder:
     def _learn(self, pieces: list[str]) -> None:
         """Encodes pieces that aren't known yet."""
         parts, sizes, order = [self.store], [self.size], []
-        alone = [p for p in pieces if _ALONE.search(p)]
+        alone = pc.match_substring_regex(pa.array(pieces, pa.large_string()), _ALONE)
+        alone = [pieces[i] for i in np.flatnonzero(alone.to_numpy(zero_copy_only=False))]
         skip = set(alone)
         for lead in (" ", "\n"):
             of = [p for p in pieces if p not in skip and (p[0] == _MARK) == (lead == "\n")]
@@ -131,9 +133,9 @@ class BatchEncoder:
         dot = pc.ends_with(coded.dictionary, ".").to_numpy(zero_copy_only=False)
         stems = pc.if_else(pa.array(stop), pc.utf8_slice_codeunits(coded.dictionary, 0, -1),
                            coded.dictionary).dictionary_encode()
-        known = self._lookup(stems.dictionary.to_pylist())[stems.indices.to_numpy()]
+        known = self._lookup(stems.dictionary.to_numpy(zero_copy_only=False).tolist())[stems.indices.to_numpy()]
 
-        heads = flat.filter(pa.array(first)).to_pylist()
+        heads = flat.filter(pa.array(first)).to_numpy(zero_copy_only=False).tolist()
         for i, t in zip(np.flatnonzero(whole), texts.filter(pa.array(whole)).to_pylist()):
             heads[i] = t
         tails = self._each([",", "."]) + self._each(heads)
@@ -143,20 +145,23 @@ class BatchEncoder:
         size = np.concatenate([self.size, tail_size])
         k = len(self.size)                                          # "," is k, "." is k + 1, then the heads
 
-        # every distinct piece is a stem and perhaps a stop: two rows of the ragged gather
+        # every distinct piece is a stem and perhaps a stop: its ids are put together once
         table = np.full((len(known) + n, 2), -1, np.int64)
         table[:len(known), 0] = known
         table[:len(known), 1] = np.where(stop, np.where(dot, k + 1, k), -1)
         table[len(known):, 0] = k + 2 + np.arange(n)
-        row = np.empty(len(flat), np.int64)
+        own_size = size[table[:, 0]] + np.where(table[:, 1] >= 0, size[table[:, 1]], 0)
+        own_begin = np.cumsum(own_size) - own_size
+        seq = table.reshape(-1)
+        seq = seq[seq >= 0]
+        own = store[ragged(begin[seq], size[seq])]
+        # and gathered for the pieces in the texts
+        row = np.empty(len(flat), np.int32)
         row[~first] = coded.indices.to_numpy()
         row[first] = len(known) + np.arange(n)
-        pairs = table[row]
-        per_piece = size[pairs[:, 0]] + np.where(pairs[:, 1] >= 0, size[pairs[:, 1]], 0)
+        per_piece = own_size[row]
         offsets = np.concatenate([[0], np.cumsum(per_piece)])[bounds]
-        seq = pairs.reshape(-1)
-        seq = seq[seq >= 0]
-        return store[ragged(begin[seq], size[seq])], offsets
+        return own[ragged(own_begin[row], per_piece)], offsets
 
 
 def text_batches(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
