@@ -11,7 +11,8 @@ each other's way.  A query visits the lists whose distance is within a ratio of
 the ratio is the one that finds ``target`` of the sample's own neighbours.
 
 Lists and their queries are dealt in blocks of bounded size, so that a crowded list is many tasks'
-work.  Equal vectors are one class, searched once; a class names its first members alone, as many as
+work.  A query's nearest lists are searched first: the other ones return what reaches the best ``k`` found there,
+not ``k`` vectors each, so what is returned grows with the queries, not with the lists they visit.  Equal vectors are one class, searched once; a class names its first members alone, as many as
 an answer can hold.  Scores are inner products of the vectors themselves in double precision.
 """
 
@@ -39,6 +40,7 @@ TARGET = 0.95                      # share of the sample's neighbours that the r
 TRIALS = 256                       # vectors of the sample that the ratio is fitted on
 BLOCK = 4096                       # vectors, and queries, of a block
 ROWS = 512                         # vectors that walk the graph together
+HOME = 32                          # the lists searched first hold one in so many of the vectors
 FIELDS = "id long, d int, list int"
 
 
@@ -140,8 +142,10 @@ class Index:
         row, at = np.nonzero(taken)
         return row, beam[row, at]
 
-    def visit(self, x: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list): the lists within the ratio of each query's nearest one, and as many more as hold ``least`` vectors."""
+    def visit(self, x: np.ndarray, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, list, home): the lists within the ratio of each query's nearest one, and as many more as hold ``least`` vectors.
+        The nearest of them, which are searched first, are ``home``."""
+        first = max(least, int(sizes.sum()) // HOME)
         q, width, n = self.scaled(x, True), WIDTH, len(self.centers)
         rows, out = np.arange(len(q)), []
         while len(rows):
@@ -150,9 +154,9 @@ class Index:
             wanted = (near <= near[:, :1] * self.ratio) | (held < least)
             done = ~wanted[:, -1] | (beam.shape[1] >= n)                     # else the walk was too narrow
             r, at = np.nonzero(wanted & done[:, None])
-            out.append((rows[r], beam[r, at]))
+            out.append((rows[r], beam[r, at], held[r, at] < first))
             rows, width = rows[~done], width * 2
-        return tuple(np.concatenate(v) for v in zip(*out)) if out else (np.empty(0, np.int64),) * 2
+        return tuple(np.concatenate(v) for v in zip(*out)) if out else (np.empty(0, np.int64),) * 2 + (np.empty(0, bool),)
 
 
 def _linked(centers: np.ndarray) -> np.ndarray:
@@ -227,18 +231,18 @@ def _by_length(batches: Iterator[pa.RecordBatch], lists) -> Iterator[pa.RecordBa
             of = np.flatnonzero(d == length)
             for s in range(0, len(of), ROWS):
                 rows = of[s:s + ROWS]
-                r, c = lists(length, _matrix(batch.column("embedding"), rows, length))
-                yield pa.record_batch([pa.array(ids[rows[r]]), pa.array(np.full(len(r), length, np.int32)), pa.array(c.astype(np.int32))],
-                                      names=["id", "d", "list"])
+                r, c, *home = lists(length, _matrix(batch.column("embedding"), rows, length))
+                yield pa.record_batch([pa.array(ids[rows[r]]), pa.array(np.full(len(r), length, np.int32)), pa.array(c.astype(np.int32)),
+                                       *map(pa.array, home)], names=["id", "d", "list", "home"][:3 + len(home)])
 
 
 def block_search(k: int):
-    """The ``k`` best classes of a block's vectors for each of its queries, copies counted once."""
+    """The ``k`` best classes of a block's vectors for each of its queries, copies counted once, but none below the query's ``bar``."""
 
     def run(asked: pa.Table, held: pa.Table) -> pa.Table:
         asked, held = asked.combine_chunks(), held.combine_chunks()
         q_id, ids, least = asked.column("id").to_numpy(), held.column("id").to_numpy(), held.column("least").to_numpy()
-        out = []
+        floor, out = asked.column("bar").to_numpy(), []
         if len(q_id) and len(ids):
             d = asked.column("d")[0].as_py()
             q, x = (_matrix(t.column("embedding").combine_chunks(), np.arange(t.num_rows), d) for t in (asked, held))
@@ -249,9 +253,12 @@ def block_search(k: int):
                     size = np.sqrt((own * own).sum(axis=1))[:, None] * np.sqrt((x * x).sum(axis=1))
                     slack = np.nan_to_num(size * (1e-14 * d), posinf=0.0)
                     bar = np.partition(rough - slack, -k, axis=1)[:, [-k]] if len(x) > k else np.full((len(own), 1), -np.inf)
-                    i, j = np.nonzero(rough + slack >= bar)
+                    least_score = floor[s:s + ROWS, None]
+                    i, j = np.nonzero((rough + slack >= bar) & ~(rough + slack < least_score))
                     # rows alone are summed in one order whatever stands beside them
                     score = (own[i] * x[j]).sum(axis=1)
+                    reached = ~(score < least_score[i, 0])
+                    i, j, score = i[reached], j[reached], score[reached]
                     order = np.lexsort((ids[j], least[j], -np.nan_to_num(score, nan=-np.inf), i))
                     i, j, score = i[order], j[order], score[order]
                     first = np.flatnonzero(np.diff(i, prepend=-1))
@@ -317,24 +324,33 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = 20, target
     sizes = _counts(placed, shared.value)
     held = spark.sparkContext.broadcast(sizes)
     asked = pinned(classes.filter("asks").select("id", "d", "embedding").mapInArrow(
-        lambda it: _by_length(it, lambda d, x: shared.value[d].visit(x, held.value[d], REPLICAS * (k + 1))), FIELDS))
+        lambda it: _by_length(it, lambda d, x: shared.value[d].visit(x, held.value[d], REPLICAS * (k + 1))), f"{FIELDS}, home boolean"))
     # a list's vectors and queries meet in blocks of bounded size
     parts = _parts(placed, "parts").join(_parts(asked, "askers"), ["d", "list"])
     number = lambda c: F.pmod(F.xxhash64("id"), F.col(c))
     each = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
     by = ["d", "list", "part", "asker"]
     left = asked.join(parts, ["d", "list"]).withColumn("asker", number("askers")).withColumn("part", each("parts")) \
-        .join(own.drop("d"), "id").select(*[F.col(c).alias(c) for c in (*by, "id", "embedding")])
+        .join(own.drop("d"), "id").select(*[F.col(c).alias(c) for c in (*by, "id", "embedding", "home")])
     right = placed.join(parts, ["d", "list"]).withColumn("part", number("parts")).withColumn("asker", each("askers")) \
         .join(classes.select("id", "embedding", "least"), "id") \
         .select(*[F.col(c).alias(c) for c in (*by, "id", "embedding", "least")])
-    found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(block_search(k + 1), "id long, hit long, least long, score double")
     # lists that share a vector both return it: more are held until copies are gone
-    order = [F.col("score").desc(), "least", "hit"]
-    ranked = Window.partitionBy("id").orderBy(*order)
-    few = found.withColumn("_n", F.row_number().over(ranked)).filter(F.col("_n") <= REPLICAS * (k + 1)).drop("_n")
-    few = few.groupBy("id", "hit", "least").agg(F.max("score").alias("score")) \
-        .withColumn("_n", F.row_number().over(ranked)).filter(F.col("_n") <= k + 1)
+    ranked = Window.partitionBy("id").orderBy(F.col("score").desc(), "least", "hit")
+
+    def found(asking: DataFrame) -> DataFrame:
+        return asking.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(block_search(k + 1), "id long, hit long, least long, score double")
+
+    def best_of(some: DataFrame) -> DataFrame:
+        some = some.withColumn("_n", F.row_number().over(ranked)).filter(F.col("_n") <= REPLICAS * (k + 1)).drop("_n")
+        return some.groupBy("id", "hit", "least").agg(F.max("score").alias("score")) \
+            .withColumn("_n", F.row_number().over(ranked)).filter(F.col("_n") <= k + 1)
+
+    near = pinned(best_of(found(left.filter("home").withColumn("bar", F.lit(float("-inf"))))))
+    # what is below the last of k + 1 that are found can't be an answer
+    bars = near.filter(F.col("_n") == k + 1).select("id", F.col("score").alias("bar"))
+    far = left.filter("not home").join(bars, "id", "left").withColumn("bar", F.coalesce("bar", F.lit(float("-inf"))))
+    few = best_of(near.drop("_n").unionByName(found(far)))
     each_row = few.join(classes.select(F.col("id").alias("hit"), "members"), "hit").select("id", "score", F.explode("members").alias("m"))
     best = F.struct((-F.col("score")).alias("away"), F.col("m.vec_id").alias("vec_id"), F.col("m.row").alias("row"), "score")
     hits = pinned(each_row.groupBy("id").agg(F.slice(F.array_sort(F.collect_list(best)), 1, k + 1).alias("hits")))
