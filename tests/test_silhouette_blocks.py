@@ -26,3 +26,22 @@ def test_silhouettes_of_few_and_many_blocks(spark, monkeypatch, block, most):
     outside = np.array([away[i, own != own[i]].mean() for i in range(len(x))])
     want = ((outside - inside) / np.maximum(inside, outside)).mean()
     assert km.silhouettes(df, "v", [km.KMeansModel(2, 0, centers, 0.0)], block)[2] == pytest.approx(want, abs=1e-9)
+
+
+def test_distances_of_two_blocks_are_made_once(monkeypatch):
+    """Sums of both blocks by model and cluster from one tile each; equal rows are at distance 0, far from the origin too."""
+    monkeypatch.setattr(km, "TILE", (16, 32))
+    rng = np.random.default_rng(7)
+    x, y = rng.normal(size=(70, 3)) + 1e6, rng.normal(size=(90, 3)) + 1e6
+    y[:20] = x[:20]
+    begin = np.array([0, 2, 5])
+    labels = [[rng.integers(0, k, n) for k in (2, 3)] for n in (len(x), len(y))]
+    away = np.sqrt(((x[:, None] - y[None]) ** 2).sum(2))
+    one, two = km.summed_distances(x, labels[0], y, labels[1], begin)
+    for m, k in enumerate((2, 3)):
+        for c in range(k):
+            np.testing.assert_allclose(one[:, begin[m] + c], away[:, labels[1][m] == c].sum(1), rtol=1e-9)
+            np.testing.assert_allclose(two[:, begin[m] + c], away[labels[0][m] == c].sum(0), rtol=1e-9)
+    assert km.summed_distances(x, labels[0], y, labels[1], begin, False)[1].shape == (0, 5)
+    alone = km.summed_distances(x[:1], [l[:1] for l in labels[0]], y[:1], [l[:1] for l in labels[1]], begin)[0]
+    assert not alone.any()
