@@ -47,7 +47,7 @@ def test_larger_tables_grow_by_histograms_and_judge_as_well(rows, monkeypatch):
     p = tr.TreeParams(max_iter=12, max_depth=4, step_size=0.3)
     by_mllib = tr._regress(data, FEATURES, "y", p)
     small = by_mllib.metrics.first()
-    monkeypatch.setattr(tr, "ROWS_A_TASK", 1000)
+    monkeypatch.setattr(tr, "ROWS_BY_MLLIB", 1000)
     monkeypatch.setattr(tr.GBTRegressor, "fit", None)
     large = tr._regress(data, FEATURES, "y", p)
     m = large.metrics.first()
